@@ -532,8 +532,8 @@ def _price_table(spark: SparkSession, by: list[str] | None) -> str:
     name = f"barloom_{uuid.uuid4().hex}"
     root = scratch_path(spark, name)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION {sink.text_literal(root)}")
-    columns = "time timestamp, open double, close double, market string"
-    schema = schemas._ddl(f"{columns}, year int" if by else columns)
+    columns = {"time": "timestamp", "open": "double", "close": "double", "market": "string"}
+    schema = schemas.struct(**columns, **({"year": "int"} if by else {}))
     sink.create_table(spark, f"{name}.bars", schema, f"{root}/bars/v-0", by)
     return f"{name}.bars"
 

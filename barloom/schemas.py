@@ -20,55 +20,72 @@ BASIS_PREV = "prev"
 
 TOTAL = "total"
 
+_SIMPLE_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "binary": T.BinaryType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def _type(name: str) -> T.DataType:
+    if name.startswith("decimal"):
+        precision, scale = name.removeprefix("decimal(").rstrip(")").split(",")
+        return T.DecimalType(int(precision), int(scale))
+    return _SIMPLE_TYPES[name]
+
+
+def struct(**fields: str) -> T.StructType:
+    """Column names and type names; needs no running session, unlike parsing of DDL text."""
+    return T.StructType([T.StructField(name, _type(kind)) for name, kind in fields.items()])
+
+
 RAW = T.StructType(
     [T.StructField(c, T.StringType()) for c in RAW_COLUMNS] + [T.StructField(BAD_LINE, T.StringType())]
 )
 
 
-def _ddl(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
-
-
 def landing_schema() -> T.StructType:
-    return _ddl(
-        "time string, open string, high string, low string, close string, volume string, bad_line string, "
-        "source_file string, file_time timestamp, block_start bigint, row_no bigint, load_time timestamp, "
-        "market string, load_id string"
+    return struct(
+        **{c: "string" for c in [*RAW_COLUMNS, BAD_LINE]},
+        source_file="string", file_time="timestamp", block_start="bigint", row_no="bigint",
+        load_time="timestamp", market="string", load_id="string",
     )
 
 
 def staging_schema(price_type: str = DEFAULT_PRICE_TYPE) -> T.StructType:
-    return _ddl(
-        f"time timestamp, open {price_type}, close {price_type}, landed_by string, load_id string, "
-        "load_time timestamp, "
-        "market string, year int"
+    return struct(
+        time="timestamp", open=price_type, close=price_type, landed_by="string", load_id="string",
+        load_time="timestamp", market="string", year="int",
     )
 
 
 def slices_schema() -> T.StructType:
-    return _ddl("load_id string, market string, year int, rows bigint")
+    return struct(load_id="string", market="string", year="int", rows="bigint")
 
 
 def prices_schema(price_type: str = DEFAULT_PRICE_TYPE) -> T.StructType:
-    return _ddl(f"market string, year int, month int, open {price_type}, close {price_type}")
+    return struct(market="string", year="int", month="int", open=price_type, close=price_type)
 
 
 def changes_schema(percent_type: str = PERCENT_TYPE) -> T.StructType:
-    return _ddl(
-        f"market string, year int, month int, basis string, pct {percent_type}, updated_at timestamp"
+    return struct(
+        market="string", year="int", month="int", basis="string", pct=percent_type, updated_at="timestamp"
     )
 
 
 def overview_schema(names: list[str], percent_type: str = PERCENT_TYPE) -> T.StructType:
-    cells = ", ".join(f"{n} {percent_type}" for n in names)
-    return _ddl(
-        f"market string, year string, basis string, {cells}, total {percent_type}, updated_at timestamp"
+    return struct(
+        market="string", year="string", basis="string",
+        **{n: percent_type for n in [*names, TOTAL]}, updated_at="timestamp",
     )
 
 
-AUDIT = _ddl(
-    "layer string, event string, run_id string, event_time timestamp, market string, task string, "
-    "file string, checksum string, file_size bigint, file_time timestamp, rows bigint, status string"
+AUDIT = struct(
+    layer="string", event="string", run_id="string", event_time="timestamp", market="string", task="string",
+    file="string", checksum="string", file_size="bigint", file_time="timestamp", rows="bigint", status="string",
 )
 
 LANDING_KEY = ["market", "time"]

@@ -6,18 +6,15 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barloom.functions.parsing import base_name
-from barloom.schemas import BAD_LINE, RAW
+from barloom.schemas import BAD_LINE, RAW, struct
 
 # Files up to this size are hashed as one value, which has to fit in memory of one task several times.
 WHOLE_FILE_BYTES = 512 * 1024 * 1024
 
 # The schema Spark gives to files read as whole values.
-BINARY_FILE = T.StructType.fromDDL(
-    "path string, modificationTime timestamp, length bigint, content binary"
-)
+BINARY_FILE = struct(path="string", modificationTime="timestamp", length="bigint", content="binary")
 
 
 def literal_path(path: str) -> str:
@@ -125,6 +122,8 @@ def read_bars(spark: SparkSession, paths: str | list[str], separator: str = ";")
         .option("quote", '"')
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_LINE)
+        # A pruned scan counts only the fields it keeps and would miss rows that are short or long.
+        .option("columnPruning", False)
         .csv([literal_path(p) for p in paths] if isinstance(paths, list) else paths)
     )
     return raw.select(

@@ -1,0 +1,223 @@
+import math
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from barloom.functions.calendar import DAY, MONTH_NAMES, WEEKDAY_NAMES
+from barloom.operators.changes import daily_changes, monthly_changes
+from barloom.operators.merge import except_keys, latest_wins, only_keys, replace_slices, upsert
+from barloom.operators.periods import period_open_close
+from barloom.operators.pivots import (
+    average_row, monthly_overview, overview_of_changes, pivot_months, weekday_overview, with_total_row,
+)
+from barloom.operators.selection import any_row, newer_than, refresh_reach
+from conftest import rows_of, ts
+
+
+def bars(spark, rows):
+    return spark.createDataFrame(
+        [(m, ts(t), float(o), float(c)) for m, t, o, c in rows], "market string, time timestamp, open double, close double"
+    )
+
+
+def random_bars(seed, markets=("A", "B"), n=400):
+    """Unique times over three years, some months without bars."""
+    rng = random.Random(seed)
+    start = datetime(2020, 1, 1)
+    rows = []
+    for market in markets:
+        for minute in rng.sample(range(3 * 365 * 24), n):
+            time = start + timedelta(hours=minute)
+            if time.month != 6:
+                rows.append((market, time.isoformat(), rng.randint(1, 900), rng.randint(1, 900)))
+    return rows
+
+
+def brute_changes(rows, period, carry=False):
+    """Straight-line Python: sort, take first and last of each period, compare with the one before."""
+    first, last = {}, {}
+    for market, time, o, c in sorted(rows, key=lambda r: r[1]):
+        t = datetime.fromisoformat(time)
+        key = (market, t.year, period(t))
+        first.setdefault(key, o)
+        last[key] = c
+    out = {}
+    before = None
+    for key in sorted(first):
+        reference = first[key]
+        if before is not None and before[0] == key[0] and (carry or before[1] == key[1]):
+            reference = last[before]
+        out[key + ("open",)] = (last[key] - first[key]) / first[key] * 100
+        out[key + ("prev",)] = (last[key] - reference) / reference * 100
+        before = key
+    return out
+
+
+@pytest.mark.parametrize("carry", [False, True])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_changes_against_brute_force(spark, seed, carry):
+    rows = random_bars(seed)
+    found = {
+        (r.market, r.year, r.month, r.basis): r.pct
+        for r in monthly_changes(bars(spark, rows), carry=carry).collect()
+    }
+    expected = brute_changes(rows, lambda t: t.month, carry)
+    assert found.keys() == expected.keys()
+    assert all(math.isclose(found[k], expected[k], rel_tol=1e-12, abs_tol=1e-12) for k in expected)
+
+
+@pytest.mark.parametrize("cell", ["sum", "avg"])
+def test_weekdays_against_brute_force(spark, cell):
+    rows = random_bars(3)
+    expected = {}
+    for (market, _year, day, basis), pct in brute_changes(rows, lambda t: t.date()).items():
+        expected.setdefault((market, str(day.year), basis, day.weekday()), []).append(pct)
+    wide = weekday_overview(bars(spark, rows), cell=cell).where("year <> 'total'").collect()
+    assert {(r.market, r.year, r.basis) for r in wide} == {k[:3] for k in expected}
+    for row in wide:
+        for number, name in enumerate(WEEKDAY_NAMES):
+            values = expected.get((row.market, row.year, row.basis, number))
+            if values is None:
+                assert row[name] is None
+            else:
+                want = math.fsum(values) / (len(values) if cell == "avg" else 1)
+                assert math.isclose(row[name], want, rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_markets_do_not_mix(spark):
+    rows = [("A", "2020-01-01", 10, 11), ("B", "2020-01-01", 20, 22), ("A", "2020-01-31", 5, 15), ("B", "2020-01-31", 5, 30)]
+    both = rows_of(period_open_close(bars(spark, rows)), "market", "open", "close")
+    assert both == [("A", 10.0, 15.0), ("B", 20.0, 30.0)]
+    alone = monthly_overview(bars(spark, rows), market="A")
+    together = monthly_overview(bars(spark, rows)).where("market = 'A'")
+    assert rows_of(alone, *together.columns) == rows_of(together, *together.columns)
+
+
+def test_one_bar_and_one_month(spark):
+    row = [("A", "2020-05-05", 10, 12)]
+    assert {r.pct for r in monthly_changes(bars(spark, row)).collect()} == {20.0}
+    wide = monthly_overview(bars(spark, row), "open")
+    assert rows_of(wide, "year", "may", "total") == [("2020", 20.0, 20.0), ("total", 20.0, 20.0)]
+
+
+def test_previous_close_skips_months_without_bars(spark):
+    rows = [("A", "2020-01-05", 10, 20), ("A", "2020-04-05", 30, 40), ("A", "2021-01-05", 10, 20)]
+    reset = {(r.year, r.month): r.pct for r in monthly_changes(bars(spark, rows), "prev").collect()}
+    carried = {(r.year, r.month): r.pct for r in monthly_changes(bars(spark, rows), "prev", carry=True).collect()}
+    assert reset == {(2020, 1): 100.0, (2020, 4): 100.0, (2021, 1): 100.0}
+    assert carried == {(2020, 1): 100.0, (2020, 4): 100.0, (2021, 1): -50.0}
+
+
+def test_logs_of_carried_changes_telescope(spark):
+    rows = random_bars(4, markets=("A",))
+    changes = [r.pct for r in monthly_changes(bars(spark, rows), "prev", carry=True).collect()]
+    ordered = sorted(rows, key=lambda r: r[1])
+    assert math.isclose(
+        sum(math.log1p(p / 100) for p in changes), math.log(ordered[-1][3] / ordered[0][2]), rel_tol=1e-9
+    )
+
+
+def test_total_is_sum_of_months_and_average_of_years(spark):
+    wide = monthly_overview(bars(spark, random_bars(5)))
+    yearly = wide.where("year <> 'total'").collect()
+    for row in yearly:
+        assert math.isclose(row.total, math.fsum(row[m] for m in MONTH_NAMES if row[m] is not None), abs_tol=1e-6)
+    for row in wide.where("year = 'total'").collect():
+        mine = [r for r in yearly if (r.market, r.basis) == (row.market, row.basis)]
+        for name in [*MONTH_NAMES, "total"]:
+            values = [r[name] for r in mine if r[name] is not None]
+            assert row[name] is None if not values else math.isclose(row[name], math.fsum(values) / len(values), abs_tol=1e-6)
+    assert wide.where("june IS NOT NULL").count() == 0
+
+
+def test_average_leaves_out_earlier_averages(spark):
+    wide = with_total_row(pivot_months(monthly_changes(bars(spark, random_bars(6)))), MONTH_NAMES)
+    again = average_row(wide, MONTH_NAMES)
+    columns = ["market", "basis", *MONTH_NAMES, "total"]
+
+    def close(a, b):
+        return all(x == y or math.isclose(x, y, abs_tol=1e-9) for x, y in zip(a, b))
+
+    pairs = zip(rows_of(again, *columns), rows_of(wide.where("year = 'total'"), *columns))
+    assert all(close(a, b) for a, b in pairs)
+
+
+def test_unknown_options_raise(spark):
+    changes = monthly_changes(bars(spark, [("A", "2020-05-05", 10, 12)]))
+    with pytest.raises(ValueError):
+        overview_of_changes(changes, missing="none")
+    with pytest.raises(ValueError):
+        monthly_changes(bars(spark, [("A", "2020-05-05", 10, 12)]), basis="close")
+    with pytest.raises(ValueError):
+        weekday_overview(bars(spark, [("A", "2020-05-05", 10, 12)]), cell="max")
+
+
+def ticks(spark, seed):
+    """Times repeat; seq is unique."""
+    rng = random.Random(seed)
+    start = datetime(2020, 1, 1)
+    rows = [
+        (rng.choice("AB"), start + timedelta(hours=rng.randrange(0, 3000, 24)), float(i), float(i * 2 + 1), i)
+        for i in rng.sample(range(1, 900), 800)
+    ]
+    return spark.createDataFrame(rows, "market string, time timestamp, open double, close double, seq long")
+
+
+def test_newest_row_wins(spark):
+    df = ticks(spark, 7)
+    expected = {}
+    for r in df.collect():
+        key = (r.market, r.time)
+        if key not in expected or expected[key].seq < r.seq:
+            expected[key] = r
+    found = latest_wins(df, ["market", "time"], ["seq"])
+    assert found.columns == df.columns
+    assert {(r.market, r.time): r for r in found.collect()} == expected
+
+
+def test_period_prices_of_repeated_times(spark):
+    """One aggregation over all rows gives what dedup and then first/last gives."""
+    df = ticks(spark, 8)
+    columns = ["market", "year", "month", "open", "close"]
+    direct = rows_of(period_open_close(df, tie="seq"), *columns)
+    assert direct == rows_of(period_open_close(latest_wins(df, ["market", "time"], ["seq"])), *columns)
+
+
+def test_upsert_and_slices(spark):
+    schema = "k int, s string, v string"
+    old = spark.createDataFrame([(1, "a", "old"), (2, "a", "old"), (3, "b", "old")], schema)
+    new = spark.createDataFrame([(2, "a", "new"), (4, "a", "new")], schema)
+    assert rows_of(upsert(old, new, ["k"]), "k", "v") == [(1, "old"), (2, "new"), (3, "old"), (4, "new")]
+    assert rows_of(only_keys(old, new, ["k"]), "k") == [(2,)]
+    assert rows_of(except_keys(old, new, ["k"]), "k") == [(1,), (3,)]
+    assert rows_of(replace_slices(old, new, new, ["s"]), "k", "v") == [(2, "new"), (3, "old"), (4, "new")]
+
+
+def test_newer_than_mark(spark):
+    rows = spark.createDataFrame(
+        [("A", ts("2020-01-01")), ("A", ts("2020-01-02")), ("B", ts("1999-01-01"))], "market string, t timestamp"
+    )
+    marks = spark.createDataFrame([("A", ts("2020-01-01"))], "market string, mark timestamp")
+    found = rows_of(newer_than(rows, marks, "t", "mark", ["market"]), "market", "t")
+    assert found == [("A", ts("2020-01-02")), ("B", ts("1999-01-01"))]
+
+
+def test_reach_of_a_change(spark):
+    prices = spark.createDataFrame([("A", y, 1) for y in (2010, 2011, 2015, 2016)], "market string, year int, month int")
+    changed = spark.createDataFrame([("A", 2011)], "market string, year int")
+    assert rows_of(refresh_reach(prices, changed, False), "year") == [(2011,)]
+    assert rows_of(refresh_reach(prices, changed, True), "year") == [(2011,), (2015,)]
+
+
+def test_any_row(spark):
+    df = spark.range(10)
+    assert any_row(df) and any_row(df, F.col("id") == 3) and not any_row(df, F.col("id") > 10)
+
+
+def test_day_grain(spark):
+    rows = [("A", "2020-01-01T09:00:00", 10, 11), ("A", "2020-01-01T17:00:00", 11, 12), ("A", "2020-01-02T09:00:00", 12, 18)]
+    found = rows_of(daily_changes(bars(spark, rows), "prev"), "day", "pct")
+    assert [round(p, 6) for _, p in found] == [20.0, 50.0]
+    assert period_open_close(bars(spark, rows), DAY).count() == 2
