@@ -1,0 +1,240 @@
+"""Whole runs: incremental equals full, nothing is loaded twice, markets stay apart."""
+
+import os
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from barloom.functions.calendar import MONTH_NAMES
+from barloom.operators.pivots import monthly_overview
+from barloom.plans import audit, load
+from barloom.plans.load import clean_to_staging, landing_rejects, load_landing, load_staging
+from barloom.plans.refresh import overview, refresh, staged_bars
+from barloom.plans.run import run
+from barloom.streaming.ingest import ingest_stream
+from conftest import rows_of, ts
+
+TABLE = ["market", "year", "basis", *MONTH_NAMES, "total"]
+
+
+def some_bars(seed, n=120, years=(2019, 2020, 2021)):
+    rng = random.Random(seed)
+    rows = []
+    for day in rng.sample(range(365 * len(years)), n):
+        time = datetime(years[0], 1, 1) + timedelta(days=day)
+        rows.append((str(time), rng.randint(1000, 9000) / 10, rng.randint(1000, 9000) / 10))
+    return rows
+
+
+def as_text(df):
+    """Values as they are, whatever the decimal scale."""
+    return sorted([tuple(None if v is None else (v if isinstance(v, str) else round(float(v), 8)) for v in r)
+                   for r in df.select(*TABLE).collect()], key=repr)
+
+
+def expected(spark, wh, rows, market="M", carry=False, missing="null"):
+    newest = {t: (t, o, c) for t, o, c in rows}
+    typed = spark.createDataFrame([(market, ts(t), o, c) for t, o, c in newest.values()],
+                                  "market string, time timestamp, open double, close double")
+    exact = typed.selectExpr("market", "time", f"cast(open AS {wh.price_type}) open", f"cast(close AS {wh.price_type}) close")
+    return as_text(monthly_overview(exact, carry=carry, missing=missing))
+
+
+def unique_keys(wh):
+    for table, keys in [("staging", ["market", "time"]), ("prices", ["market", "year", "month"]),
+                        ("changes", ["market", "year", "month", "basis"]), ("overview", ["market", "year", "basis"])]:
+        rows = wh.table(table)
+        assert rows.count() == rows.select(*keys).distinct().count(), table
+
+
+@pytest.mark.parametrize("through_landing", [True, False])
+def test_full_run(spark, warehouse, tmp_path, bar_file, clock, through_landing):
+    wh = warehouse()
+    rows = some_bars(1)
+    bar_file(tmp_path / "in" / "a.csv", rows[:50])
+    bar_file(tmp_path / "in" / "b.csv", rows[50:])
+    found = run(wh, str(tmp_path / "in"), "M", "full", through_landing=through_landing, run_ts=clock())
+    assert as_text(found) == expected(spark, wh, rows)
+    unique_keys(wh)
+    only_open = overview(wh, "M", "open")
+    assert {r.basis for r in only_open.collect()} == {"open"}
+
+
+@pytest.mark.parametrize("carry", [False, True])
+def test_batches_equal_one_load(spark, warehouse, tmp_path, bar_file, clock, carry):
+    """Batches out of order, into stored months and between them, give what one full load gives."""
+    wh = warehouse(carry=carry)
+    rows = some_bars(2)
+    random.Random(3).shuffle(rows)
+    batches = [rows[:15], rows[15:40], rows[40:]]
+    for i, batch in enumerate(batches):
+        bar_file(tmp_path / "in" / f"{i}.csv", batch)
+        mode = "full" if i == 0 else "incremental"
+        found = run(wh, str(tmp_path / "in"), "M", mode, through_landing=False, run_ts=clock())
+        assert as_text(found) == expected(spark, wh, sum(batches[: i + 1], []), carry=carry)
+    unique_keys(wh)
+
+
+def test_same_content_is_loaded_once(spark, warehouse, tmp_path, bar_file, clock):
+    wh = warehouse()
+    rows = some_bars(4, n=20)
+    bar_file(tmp_path / "in" / "a.csv", rows)
+    run(wh, str(tmp_path / "in"), "M", "incremental", run_ts=clock())
+    before = as_text(overview(wh))
+    events = wh.table("audit").count()
+    bar_file(tmp_path / "in" / "copy.csv", rows)
+    assert load_landing(wh, str(tmp_path / "in"), "M", "incremental", clock()) == load.NOTHING
+    assert clean_to_staging(wh, "incremental", "M", clock()) == load.NOTHING
+    assert refresh(wh, "incremental", "M", clock()) is False
+    assert as_text(overview(wh)) == before and wh.table("audit").count() == events
+
+
+def test_corrected_prices_replace_stored_ones(spark, warehouse, tmp_path, bar_file, clock):
+    wh = warehouse()
+    rows = some_bars(5, n=30)
+    bar_file(tmp_path / "in" / "a.csv", rows)
+    run(wh, str(tmp_path / "in"), "M", "full", run_ts=clock())
+    fixed = [(t, o + 1, c + 2) for t, o, c in rows[:10]]
+    bar_file(tmp_path / "in" / "b.csv", fixed)
+    found = run(wh, str(tmp_path / "in"), "M", "incremental", run_ts=clock())
+    assert as_text(found) == expected(spark, wh, rows + fixed)
+    assert wh.table("staging").count() == 30
+    unique_keys(wh)
+
+
+def test_last_line_wins_within_a_load(spark, warehouse, tmp_path, bar_file, clock):
+    wh = warehouse()
+    old, new = tmp_path / "in" / "z.csv", tmp_path / "in" / "a.csv"
+    bar_file(old, [("2020-01-01 00:00:00", 1, 1), ("2020-01-02 00:00:00", 5, 5)])
+    bar_file(new, [("2020-01-01 00:00:00", 2, 2), ("2020-01-01 00:00:00", 3, 3)])
+    os.utime(old, (1_000_000_000, 1_000_000_000))
+    load_staging(wh, str(tmp_path / "in"), "M", "full", clock())
+    assert [(r.time.day, int(r.open)) for r in wh.table("staging").orderBy("time").collect()] == [(1, 3), (2, 5)]
+
+
+def test_years_not_touched_keep_their_rows(spark, warehouse, tmp_path, bar_file, clock):
+    wh = warehouse()
+    bar_file(tmp_path / "in" / "a.csv", [("2019-01-01 00:00:00", 10, 11), ("2020-01-01 00:00:00", 10, 12)])
+    first = clock()
+    run(wh, str(tmp_path / "in"), "M", "full", run_ts=first)
+    bar_file(tmp_path / "in" / "b.csv", [("2020-02-01 00:00:00", 10, 13)])
+    second = clock()
+    run(wh, str(tmp_path / "in"), "M", "incremental", run_ts=second)
+    stamps = dict(rows_of(overview(wh, basis="open"), "year", "updated_at"))
+    assert stamps == {"2019": first, "2020": second, "total": second}
+    changes = wh.table("changes").where("basis = 'open'")
+    assert rows_of(changes, "year", "month", "updated_at") == [(2019, 1, first), (2020, 1, second), (2020, 2, second)]
+
+
+def test_markets_stay_apart(spark, warehouse, tmp_path, bar_file, clock):
+    wh = warehouse()
+    a, b = some_bars(6, n=30), some_bars(7, n=30)
+    bar_file(tmp_path / "a" / "a.csv", a)
+    bar_file(tmp_path / "b" / "b.csv", b)
+    run(wh, str(tmp_path / "a"), "A", "full", run_ts=clock())
+    run(wh, str(tmp_path / "b"), "B's/1", "full", run_ts=clock())
+    found = as_text(overview(wh))
+    assert found == sorted(expected(spark, wh, a, "A") + expected(spark, wh, b, "B's/1"), key=repr)
+    # A full load of one market leaves the other alone.
+    more = some_bars(8, n=10)
+    os.remove(tmp_path / "a" / "a.csv")
+    bar_file(tmp_path / "a" / "c.csv", more)
+    run(wh, str(tmp_path / "a"), "A", "full", run_ts=clock())
+    found = as_text(overview(wh))
+    assert found == sorted(expected(spark, wh, more, "A") + expected(spark, wh, b, "B's/1"), key=repr)
+    assert wh.table("landing").where("market = 'A'").count() == 10
+    unique_keys(wh)
+    # All markets anew from staging.
+    assert refresh(wh, "full", run_ts=clock()) is True
+    assert as_text(overview(wh)) == found
+
+
+def test_loads_of_several_markets_refresh_together(spark, warehouse, tmp_path, bar_file, clock):
+    wh = warehouse(missing="zero")
+    sets = {m: some_bars(i, n=25) for i, m in enumerate(["A", "B", "C"], 10)}
+    for market, rows in sets.items():
+        bar_file(tmp_path / market / "x.csv", rows)
+        load_landing(wh, str(tmp_path / market), market, "incremental", clock())
+    clean_to_staging(wh, "incremental", run_ts=clock())
+    assert refresh(wh, "incremental", run_ts=clock()) is True
+    want = sum((expected(spark, wh, rows, m, missing="zero") for m, rows in sets.items()), [])
+    assert as_text(overview(wh)) == sorted(want, key=repr)
+
+
+def test_rejects_are_counted_and_kept(spark, warehouse, tmp_path, bar_file, clock):
+    wh = warehouse()
+    bar_file(tmp_path / "in" / "a.csv", [("2020-01-01 00:00:00", 1, 2), "2020-01-02 00:00:00;x;1;1;1;1", "junk"])
+    assert load_landing(wh, str(tmp_path / "in"), "M", "full", clock()).rows_read == 3
+    report = clean_to_staging(wh, "full", "M", clock())
+    assert (report.rows_read, report.rows_rejected) == (3, 2)
+    assert rows_of(landing_rejects(wh, "M"), "reject_reason") == [("field count",), ("open",)]
+    assert wh.table("staging").count() == 1
+    runs = audit.stored_runs(wh, audit.STAGING, "M")
+    assert rows_of(runs, "rows") == [(1,)]
+
+
+def test_a_failed_load_is_recorded_raised_and_retried(spark, warehouse, tmp_path, bar_file, clock, monkeypatch):
+    wh = warehouse()
+    rows = some_bars(9, n=10)
+    bar_file(tmp_path / "in" / "a.csv", rows)
+    with monkeypatch.context() as broken:
+        broken.setattr(load, "_write_staging", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            load_staging(wh, str(tmp_path / "in"), "M", "incremental", clock())
+    assert rows_of(audit.audit_runs(wh, audit.STAGING), "status", "is_stored") == [("failed", False)]
+    assert staged_bars(wh).isEmpty()
+    found = run(wh, str(tmp_path / "in"), "M", "incremental", through_landing=False, run_ts=clock())
+    assert as_text(found) == expected(spark, wh, rows)
+
+
+def test_run_time_before_the_last_refresh_is_refused(warehouse, tmp_path, bar_file):
+    wh = warehouse()
+    bar_file(tmp_path / "in" / "a.csv", some_bars(1, n=5))
+    run(wh, str(tmp_path / "in"), "M", "full", through_landing=False, run_ts=ts("2030-01-01"))
+    with pytest.raises(ValueError):
+        load_staging(wh, str(tmp_path / "in"), "M", "incremental", ts("2029-01-01"))
+
+
+def test_full_load_of_an_empty_directory_empties_the_market(warehouse, tmp_path, bar_file, clock):
+    wh = warehouse()
+    path = bar_file(tmp_path / "in" / "a.csv", some_bars(1, n=5))
+    run(wh, str(tmp_path / "in"), "M", "full", run_ts=clock())
+    os.remove(path)
+    assert run(wh, str(tmp_path / "in"), "M", "full", run_ts=clock()).isEmpty()
+    assert wh.table("staging").isEmpty() and wh.table("landing").isEmpty()
+
+
+def test_arguments_are_checked_first(warehouse, tmp_path):
+    wh = warehouse()
+    for bad in [dict(mode="some"), dict(market=""), dict(basis="x"), dict(task=""), dict(directory="")]:
+        arguments = dict(directory=str(tmp_path), market="M", mode="full") | bad
+        with pytest.raises(ValueError):
+            run(wh, **arguments)
+
+
+def test_stream_takes_each_file_once(spark, warehouse, tmp_path, bar_file):
+    wh = warehouse()
+    rows = some_bars(11, n=40)
+    source, checkpoint = tmp_path / "in", str(tmp_path / "checkpoint")
+    bar_file(source / "a.csv", rows[:10])
+    bar_file(source / "b.csv", rows[10:20])
+    ingest_stream(wh, str(source), "M", checkpoint, files_per_batch=1)
+    assert wh.table("staging").count() == 20
+    bar_file(source / "copy.csv", rows[:10])
+    bar_file(source / "c.csv", rows[20:])
+    ingest_stream(wh, str(source), "M", checkpoint, then_refresh=True)
+    assert as_text(overview(wh)) == expected(spark, wh, rows)
+    loaded = audit.stored_runs(wh, audit.STAGING, "M")
+    assert rows_of(loaded, "file", "rows") == [("a.csv", 10), ("b.csv", 10), ("c.csv", 20)]
+    unique_keys(wh)
+
+
+def test_drop_and_create_again(spark, warehouse, tmp_path, bar_file, clock):
+    from barloom.plans.warehouse import init_tables
+
+    wh = warehouse()
+    bar_file(tmp_path / "in" / "a.csv", some_bars(1, n=5))
+    run(wh, str(tmp_path / "in"), "M", "full", run_ts=clock())
+    again = init_tables(spark, wh.database, str(tmp_path / wh.database), drop=True)
+    assert all(again.table(t).isEmpty() for t in ("landing", "staging", "prices", "overview", "audit"))
