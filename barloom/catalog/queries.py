@@ -18,7 +18,9 @@ from barloom.functions.parsing import bar_time, base_name, comma_text, flag, nev
 from barloom.operators.changes import as_double_prices, changes_of_prices, daily_changes, monthly_changes
 from barloom.operators.merge import except_keys, latest_wins, only_keys, upsert
 from barloom.operators.periods import period_open_close, with_previous_close
-from barloom.operators.pivots import average_row, monthly_overview, pivot_months, weekday_overview
+from barloom.operators.pivots import (
+    average_row, monthly_overview, overview_of_changes, pivot_months, weekday_overview,
+)
 from barloom.operators.selection import newer_than, refresh_reach, slices_of, total_rows, yearly_rows
 from barloom.plans import audit
 from barloom.plans.load import clean_to_staging, landing_rejects, load_landing, load_staging
@@ -336,17 +338,22 @@ def refresh_reach_carried(spark, directory):
 
 def _refreshed(spark: SparkSession, directory: str, carry: bool) -> DataFrame:
     bars = as_double_prices(_orders(spark, directory))
-    old_prices = period_open_close(_before_cut(bars))
-    old_changes = changes_of_prices(old_prices, carry=carry)
-    old_overview = monthly_overview(_before_cut(bars), carry=carry)
+    # What an earlier run stored: results of the bars before the cut.
+    prices = _stored(period_open_close(_before_cut(bars)))
+    changes = _stored(changes_of_prices(prices, carry=carry))
+    table = _stored(overview_of_changes(changes))
 
-    changed = slices_of(_from_cut(bars).withColumn("year", F.year("time")))
     dated = bars.withColumn("year", F.year("time"))
-    prices = refreshed_prices(old_prices, only_keys(dated, changed, schemas.SLICE_KEY), changed)
+    changed = _stored(slices_of(_from_cut(dated)))
+    prices = _stored(refreshed_prices(prices, only_keys(dated, changed, schemas.SLICE_KEY), changed))
     reach = refresh_reach(prices, changed, carry)
-    changes = refreshed_changes(old_changes, prices, reach, reach, schemas.SLICE_KEY, carry)
+    changes = refreshed_changes(changes, prices, reach, reach, schemas.SLICE_KEY, carry)
     fresh = only_keys(changes, reach, schemas.SLICE_KEY)
-    return refreshed_overview(old_overview, fresh, reach, schemas.SLICE_KEY, "null")
+    return refreshed_overview(table, fresh, reach, schemas.SLICE_KEY, "null")
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    return sink.working_copy(df, scratch_path(df.sparkSession, "stored"))
 
 
 @query

@@ -44,7 +44,6 @@ def _check_clock(wh: Warehouse, market: str | None, run_ts: datetime | None) ->
 
 def pick_files(wh: Warehouse, layer: str, listed: DataFrame, mode: str) -> DataFrame:
     """The files a run has to read: all (full) or those with unseen content, one file per content."""
-    listed = working_copy(listed, scratch_path(wh.spark, "listed"), wh.spark)
     known = audit.audit_runs(wh, layer).where(F.col("status") == audit.OK)
     manifest = with_checksums(listed, known.select("file", "file_size", "file_time", "checksum"))
     if mode == FULL:

@@ -121,8 +121,9 @@ def _rewrite(
     swap_write(refreshed_prices(stored("prices"), bars, gone, keys), wh.name("prices"))
 
     prices = wh.table("prices")
-    reach = refresh_reach(prices, changed, wh.carry)
-    reach = working_copy(reach, scratch_path(wh.spark, "reach"))
+    reach = changed
+    if wh.carry:
+        reach = working_copy(refresh_reach(prices, changed, carry=True), scratch_path(wh.spark, "reach"))
     dropped = markets if mode == FULL else reach
     swap_write(
         refreshed_changes(stored("changes"), prices, reach, dropped, keys, wh.carry).withColumn(

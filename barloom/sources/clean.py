@@ -38,14 +38,16 @@ def parse_bars(raw: DataFrame, price_type: str = DEFAULT_PRICE_TYPE) -> DataFram
     """Typed time, open and close, plus ``reject_reason``. Other columns pass through."""
     if BAD_LINE not in raw.columns:
         raw = raw.withColumn(BAD_LINE, F.lit(None).cast("string"))
-    typed = raw.withColumns(
-        {
-            "time": bar_time(F.col("time")),
-            "open": price(F.col("open"), price_type),
-            "close": price(F.col("close"), price_type),
-        }
+    typed = F.struct(
+        bar_time(F.col("time")).alias("time"),
+        price(F.col("open"), price_type).alias("open"),
+        price(F.col("close"), price_type).alias("close"),
     )
-    return typed.withColumn("reject_reason", _reason())
+    others = [c for c in raw.columns if c not in ("time", "open", "close")]
+    # Unnested from an array of one: a filter on plain columns would be pushed below the
+    # conversion by repeating it, and every text would be parsed twice.
+    rows = raw.select(*others, F.inline(F.array(typed)))
+    return rows.withColumn("reject_reason", _reason())
 
 
 def valid_bars(parsed: DataFrame) -> DataFrame:
