@@ -180,5 +180,6 @@ def new_loads(wh: Warehouse, source: str, target: str, market: str | None = None
 
 def latest_run_per_checksum(runs: DataFrame) -> DataFrame:
     """The newest run of each file content."""
-    newest = F.max_by(F.struct("run_id", "file", "start_time", "finish_time", "rows"), "start_time")
+    row = F.struct("run_id", "file", "start_time", "finish_time", "rows")
+    newest = F.max_by(row, F.struct("start_time", "run_id"))
     return runs.groupBy("checksum").agg(newest.alias("newest")).select("checksum", "newest.*")

@@ -22,7 +22,11 @@ from barloom.sources.files import ROW_ORDER, list_files, read_bars, with_checksu
 
 @dataclass(frozen=True)
 class LoadReport:
-    """What a load did. ``run_id`` is None if there was nothing to do."""
+    """What a load did. ``run_id`` is None if there was nothing to do.
+
+    Rows read and rejected are counted while they pass by and come out high if an executor was lost and
+    its tasks ran again. Row counts in the audit log are taken from what was written.
+    """
 
     run_id: str | None
     files: int = 0

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.calendar import MONTH_NAMES
 from barloom.operators.changes import changes_of_prices, monthly_changes
-from barloom.operators.pivots import overview_of_changes
+from barloom.operators.pivots import average_row, overview_of_changes
 from barloom.schemas import prices_schema
 from barloom.sources.clean import clean_bars, tag_load
 from barloom.sources.files import read_bars
@@ -112,3 +112,43 @@ def test_missing_month_is_left_out_or_zero(month_prices):
     assert null.march is None and zero.march == 0
     assert null.may == 0 and zero.may == 0
     assert null.january == zero.january
+
+
+# January, november, december and total of the yearly rows, by basis and year.
+YEARS = {
+    "open": {
+        2012: ("1.757782252", None, "-0.032944079", "1.701228783"),
+        2013: ("0", None, "2.267161812", "2.271982794"),
+        2014: ("0", None, "-0.109213045", "-0.095271551"),
+        2015: ("0", None, "0", "0"),
+        2016: ("0", "5.781121444", "0", "5.787328028"),
+        2017: ("0", None, "0", "-0.000033869"),
+        2018: ("0", "-0.010965594", "0", "-0.018363910"),
+    },
+    "prev": {
+        2012: ("1.757782252", None, "-0.793683918", "16.812001224"),
+        2013: ("0", None, "10.245339422", "24.083900265"),
+        2014: ("0", None, "4.350732777", "11.762553238"),
+        2015: ("0", None, "1.865834899", "-0.156160579"),
+        2016: ("0", "5.326016384", "1.571359093", "10.355274027"),
+        2017: ("0", None, "4.730770886", "17.851513546"),
+        2018: ("0", "-5.860631902", "-6.766476697", "-4.320826398"),
+    },
+}
+# The recorded average rows, good to 11 digits.
+AVERAGES = {
+    "open": ("0.251111750290000", "2.885077925000000", "0.303572098290000", "1.378124325000000"),
+    "prev": ("0.251111750290000", "-0.267307759000000", "2.171982351710000", "10.912607903290000"),
+}
+
+
+def test_average_of_seven_years(spark):
+    def number(text):
+        return None if text is None else Decimal(text)
+
+    names = ["january", "november", "december"]
+    rows = [("M", y, b, *map(number, cells)) for b, years in YEARS.items() for y, cells in years.items()]
+    kinds = ", ".join(f"{n} decimal(33,11)" for n in [*names, "total"])
+    wide = spark.createDataFrame(rows, f"market string, year int, basis string, {kinds}")
+    found = {r.basis: [round(r[n], 11) for n in [*names, "total"]] for r in average_row(wide, names).collect()}
+    assert found == {b: [round(Decimal(v), 11) for v in values] for b, values in AVERAGES.items()}

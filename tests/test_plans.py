@@ -6,12 +6,15 @@ import pytest
 
 from barloom.catalog.queries import QUERIES
 from barloom.operators.changes import monthly_changes
-from barloom.operators.merge import only_keys
+from barloom.operators.merge import latest_wins, only_keys
 from barloom.operators.periods import period_open_close
 from barloom.operators.pivots import monthly_overview
 from barloom.operators.selection import slices_of
 from barloom.schemas import SLICE_KEY
 from barloom.sinks.tables import overwrite_slices
+from barloom.sources.clean import clean_bars, tag_load
+from barloom.sources.files import read_bars
+from conftest import ts
 
 DIRECTORY = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(DIRECTORY), reason="no sample tables")
@@ -69,6 +72,19 @@ def test_changed_slices_prune_the_scan(spark, staged):
     assert "dynamicpruning" in plan_of(df).lower()
 
 
+def test_copies_of_a_key_are_folded_before_the_shuffle(staged):
+    plan = plan_of(latest_wins(staged.table("staging"), ["market", "time"], ["load_time"]))
+    before, after = plan.split("Exchange hashpartitioning")
+    assert "partial_max_by" in after and "Window" not in plan
+
+
+def test_text_is_converted_once(spark, tmp_path, bar_file):
+    bar_file(tmp_path / "a.csv", [("2012-01-01 00:00:00", 1, 2)])
+    raw = tag_load(read_bars(spark, str(tmp_path)), "M", "run", ts("2030-01-01"))
+    plan = plan_of(clean_bars(raw).select("market", "time", "open", "close"))
+    assert plan.count("gettimestamp") == 1 and plan.count("try_cast") == 2
+
+
 @needs_tables
 @pytest.mark.parametrize("name", [n for n in QUERIES if n.startswith(("month", "change", "weekday", "bars", "refresh"))])
 def test_no_python_and_no_cartesian_product(spark, name):

@@ -205,6 +205,17 @@ def test_full_load_of_an_empty_directory_empties_the_market(warehouse, tmp_path,
     assert wh.table("staging").isEmpty() and wh.table("landing").isEmpty()
 
 
+@pytest.mark.parametrize("lines", [[], ["junk", "2020-01-02 00:00:00;x;1;1;1;1"]])
+def test_files_without_a_valid_bar(warehouse, tmp_path, bar_file, clock, lines):
+    wh = warehouse()
+    bar_file(tmp_path / "in" / "a.csv", lines)
+    report = load_staging(wh, str(tmp_path / "in"), "M", "incremental", clock())
+    assert (report.files, report.rows_read, report.rows_rejected) == (1, len(lines), len(lines))
+    assert refresh(wh, "incremental", run_ts=clock()) is False
+    assert rows_of(audit.stored_runs(wh, audit.STAGING), "file", "rows") == [("a.csv", 0)]
+    assert load_staging(wh, str(tmp_path / "in"), "M", "incremental", clock()) == load.NOTHING
+
+
 def test_arguments_are_checked_first(warehouse, tmp_path):
     wh = warehouse()
     for bad in [dict(mode="some"), dict(market=""), dict(basis="x"), dict(task=""), dict(directory="")]:
