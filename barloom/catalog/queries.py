@@ -688,9 +688,9 @@ def last_refresh_per_market(spark, directory):
 def latest_audit_row(spark, directory):
     """Newest finished run per content; the run number breaks ties."""
     runs = audit.runs_of_events(_audit_events(spark, directory)).where(F.col("is_stored"))
-    order = [F.col("start_time"), F.col("run_id").cast("bigint")]
-    newest = latest_wins(runs.select("checksum", "run_id", "start_time", "market"), ["checksum"], order)
-    return newest
+    rows = runs.select("checksum", "start_time", F.col("run_id").cast("bigint").alias("run_no"), "market")
+    newest = latest_wins(rows, ["checksum"], ["start_time", "run_no"])
+    return newest.select("checksum", F.col("run_no").cast("string").alias("run_id"), "start_time", "market")
 
 
 @query

@@ -6,18 +6,18 @@ Parquet tables know no MERGE, UPDATE or DELETE. These operators compute the new
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_wins(rows: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
-    """One row per key: the one with the largest ``order``.
+def latest_wins(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row per key: the one with the largest ``order``, and of equals the one with the largest values.
 
     An aggregation, not a window: copies of one key are folded before the shuffle, so a key re-sent
-    in a third of all rows is no hot spot. ``order`` has to be total per key for a repeatable result.
+    in a third of all rows is no hot spot. Each column travels once.
     """
-    values = [c for c in rows.columns if c not in keys]
-    newest = F.max_by(F.struct(*values), F.struct(*order)).alias("newest")
+    values = [c for c in rows.columns if c not in keys and c not in order]
+    newest = F.max(F.struct(*order, *values)).alias("newest")
     return rows.groupBy(*keys).agg(newest).select(*keys, "newest.*").select(*rows.columns)
 
 

@@ -22,6 +22,20 @@ def slices_of(rows: DataFrame) -> DataFrame:
     return rows.select(*SLICE_KEY).distinct()
 
 
+def slice_counts(rows: DataFrame) -> DataFrame:
+    """(market, year, rows)."""
+    return rows.groupBy(*SLICE_KEY).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def filled(slices: DataFrame) -> DataFrame:
+    """Slices with rows, for a semi join that should read only those partitions of a table.
+
+    Spark prunes partitions by a join only if the other side has a filter of its own. A slice that is
+    listed has rows, so this one takes nothing away.
+    """
+    return slices.where(F.col("rows") > 0).select(*SLICE_KEY)
+
+
 def yearly_rows(overview: DataFrame) -> DataFrame:
     return overview.where(F.col("year") != TOTAL)
 

@@ -8,8 +8,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barloom.functions.parsing import never
+from barloom.operators.changes import of_market
 from barloom.operators.merge import latest_wins, only_keys, upsert
-from barloom.operators.selection import slices_of
+from barloom.operators.selection import filled, slice_counts
 from barloom.plans import audit
 from barloom.plans.arguments import FULL, check_mode, check_text
 from barloom.plans.warehouse import Warehouse
@@ -17,7 +19,7 @@ from barloom.schemas import SLICE_KEY, STAGING_KEY
 from barloom.session import scratch_path
 from barloom.sinks.tables import append, counted, drop_partitions, overwrite_slices, partitions, working_copy
 from barloom.sources.clean import parse_bars, rejected_bars, tag_load, valid_bars
-from barloom.sources.files import ROW_ORDER, list_files, read_bars, with_checksums
+from barloom.sources.files import ROW_ORDER, file_key, list_files, read_bars, with_checksums
 
 
 @dataclass(frozen=True)
@@ -88,7 +90,7 @@ def load_landing(
             rows, seen = counted(tagged, rows=F.count(F.lit(1)))
             append(rows, wh.name("landing"))
             report = LoadReport(run_id, len(paths), seen.get["rows"])
-            landed = wh.table("landing").where((F.col("market") == market) & (F.col("load_id") == run_id))
+            landed = of_market(wh.table("landing"), market).where(F.col("load_id") == run_id)
             counts = landed.groupBy(F.col("source_file").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
         if mode == FULL:
             old = [p for p in partitions(wh.spark, wh.name("landing"), market=market) if p["load_id"] != run_id]
@@ -100,43 +102,55 @@ def load_landing(
     return report
 
 
+def slices_to_merge(wh: Warehouse, touched: DataFrame, market: str | None) -> DataFrame:
+    """Staged bars of the touched slices; other partitions are not read."""
+    return only_keys(of_market(wh.table("staging"), market), filled(touched), SLICE_KEY)
+
+
 def _write_staging(wh: Warehouse, batch: DataFrame, mode: str, market: str | None, run_id: str) -> None:
-    """Merge a written batch (unique per key) into staging, touching only its (market, year) slices."""
+    """Merge a written batch (unique per key) into staging, touching only its (market, year) slices.
+
+    Which slices those are is recorded first. The record counts only once the run is finished.
+    """
     staging = wh.name("staging")
-    touched = slices_of(batch)
+    append(slice_counts(batch).withColumn("load_id", F.lit(run_id)), wh.name("slices"))
+    recorded = wh.table("slices").where(F.col("load_id") == run_id)
+    touched = working_copy(recorded, scratch_path(wh.spark, "touched"))
     merged = batch
     if mode != FULL:
-        old = wh.table("staging")
-        if market is not None:
-            old = old.where(F.col("market") == market)
-        merged = upsert(only_keys(old, touched, SLICE_KEY), batch.select(*old.columns), STAGING_KEY)
+        old = slices_to_merge(wh, touched, market)
+        merged = upsert(old, batch.select(*old.columns), STAGING_KEY)
     overwrite_slices(merged, staging, SLICE_KEY)
     if mode == FULL:
         now_there = {(r.market, str(r.year)) for r in touched.collect()}
         fixed = {} if market is None else {"market": market}
         found = partitions(wh.spark, staging, **fixed)
         drop_partitions(wh.spark, staging, [p for p in found if (p["market"], p["year"]) not in now_there])
-    per_slice = batch.groupBy(*SLICE_KEY).agg(F.count(F.lit(1)).alias("rows"))
-    append(per_slice.withColumn("load_id", F.lit(run_id)), wh.name("slices"))
 
 
 def _typed_batch(wh: Warehouse, raw: DataFrame, run_id: str, time: datetime, order: list[str]):
     """Clean rows, one per key, written once: staging merge, slices and counts all read that copy."""
+    keyed = raw.withColumn("file_key", file_key(F.col("source_file")))
     parsed, seen = counted(
-        parse_bars(raw, wh.price_type),
+        parse_bars(keyed, wh.price_type),
         read=F.count(F.lit(1)),
         rejected=F.count_if(F.col("reject_reason").isNotNull()),
     )
-    columns = [*STAGING_KEY, "open", "close", "load_id", *dict.fromkeys(["source_file", *order])]
-    rows = valid_bars(parsed).select(*dict.fromkeys(columns))
-    newest = latest_wins(rows, STAGING_KEY, order)
+    columns = dict.fromkeys([*STAGING_KEY, *order, "open", "close", "load_id"])
+    newest = latest_wins(valid_bars(parsed).select(*columns), STAGING_KEY, order)
     batch = newest.select(
         "market", "time", "open", "close", F.col("load_id").alias("landed_by"), F.lit(run_id).alias("load_id"),
-        F.lit(time).cast("timestamp").alias("load_time"), F.year("time").alias("year"), "source_file",
+        F.lit(time).cast("timestamp").alias("load_time"), F.year("time").alias("year"), "file_key",
     )
     return working_copy(batch, scratch_path(wh.spark, "batch")), seen.get
 
 
+def landing_rows(wh: Warehouse, loads: DataFrame, market: str | None) -> DataFrame:
+    """Landed rows of some finished loads. Loads are partitions, so others are not read."""
+    finished = loads.where(F.col("finish_time") > never())
+    return only_keys(of_market(wh.table("landing"), market), finished, ["market", "load_id"])
+
+
 def clean_to_staging(
     wh: Warehouse,
     mode: str,
@@ -163,10 +177,7 @@ def clean_to_staging(
     audit.audit_start(wh, audit.STAGING, run_id, time, task, markets)
     status, counts, report = audit.FAILED, None, NOTHING
     try:
-        landing = wh.table("landing")
-        if market is not None:
-            landing = landing.where(F.col("market") == market)
-        rows = only_keys(landing, loads, ["market", "load_id"])
+        rows = landing_rows(wh, loads, market)
         batch, seen = _typed_batch(wh, rows, run_id, time, ["load_time", "load_id", *ROW_ORDER])
         report = LoadReport(run_id, 0, seen["read"], seen["rejected"])
         _write_staging(wh, batch, mode, market, run_id)
@@ -211,7 +222,9 @@ def load_listed(
             batch, seen = _typed_batch(wh, raw, run_id, time, ROW_ORDER)
             report = LoadReport(run_id, len(paths), seen["read"], seen["rejected"])
             _write_staging(wh, batch, mode, market, run_id)
-            counts = batch.groupBy(F.col("source_file").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+            per_file = batch.groupBy("file_key").agg(F.count(F.lit(1)).alias("rows"))
+            names = files.select("file", file_key(F.col("file")).alias("file_key"))
+            counts = names.join(per_file, "file_key")
         elif mode == FULL:
             drop_partitions(wh.spark, wh.name("staging"), partitions(wh.spark, wh.name("staging"), market=market))
         status = audit.OK
@@ -223,7 +236,4 @@ def load_listed(
 
 def landing_rejects(wh: Warehouse, market: str | None = None) -> DataFrame:
     """Landed rows that are no valid bars, with the reason."""
-    landing = wh.table("landing")
-    if market is not None:
-        landing = landing.where(F.col("market") == market)
-    return rejected_bars(parse_bars(landing, wh.price_type))
+    return rejected_bars(parse_bars(of_market(wh.table("landing"), market), wh.price_type))

@@ -12,7 +12,7 @@ from barloom.operators.changes import changes_of_prices, of_market
 from barloom.operators.merge import except_keys, only_keys, replace_slices
 from barloom.operators.periods import period_open_close
 from barloom.operators.pivots import average_row, pivot_months
-from barloom.operators.selection import refresh_reach, slices_of, total_rows, yearly_rows
+from barloom.operators.selection import filled, refresh_reach, total_rows, yearly_rows
 from barloom.plans import audit
 from barloom.plans.arguments import FULL, check_basis, check_mode, check_text
 from barloom.plans.warehouse import Warehouse
@@ -22,7 +22,7 @@ from barloom.sinks.tables import swap_write, working_copy
 
 
 def changed_slices(wh: Warehouse, mode: str, market: str | None = None) -> DataFrame:
-    """(market, year) touched by loads the results do not hold yet; all slices for a full refresh.
+    """(market, year, rows) touched by loads the results do not hold yet; all slices for a full refresh.
 
     Read from the small table of touched slices, not from the bars.
     """
@@ -30,14 +30,15 @@ def changed_slices(wh: Warehouse, mode: str, market: str | None = None) -> DataF
         loads = audit.successful_loads(wh, audit.STAGING, market)
     else:
         loads = audit.new_loads(wh, audit.STAGING, audit.OVERVIEW, market)
-    return slices_of(only_keys(wh.table("slices"), loads, ["market", "load_id"]))
+    touched = only_keys(wh.table("slices"), loads, ["market", "load_id"])
+    return touched.groupBy(*SLICE_KEY).agg(F.sum("rows").alias("rows"))
 
 
 def staged_bars(wh: Warehouse, market: str | None = None, slices: DataFrame | None = None) -> DataFrame:
     """Bars of finished loads. Slices are table partitions, so the others are not read."""
     bars = of_market(wh.table("staging"), market)
     if slices is not None:
-        bars = only_keys(bars, slices, SLICE_KEY)
+        bars = only_keys(bars, filled(slices), SLICE_KEY)
     return only_keys(bars, audit.successful_loads(wh, audit.STAGING, market), ["market", "load_id"])
 
 

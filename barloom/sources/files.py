@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.parsing import base_name
@@ -112,8 +112,8 @@ def read_bars(spark: SparkSession, paths: str | list[str], separator: str = ";")
     """Delimited bar files as text columns, with where each row came from.
 
     A header line and quoted fields are taken care of by the scan. A row with too few or too many
-    fields is kept, with its text in ``bad_line``. (file_time, source_file, block_start, row_no) tells
-    the order of rows: newer files first by time, then position in the file.
+    fields is kept, with its text in ``bad_line``. Rows have an order: by time of the file, then by
+    position in the file. Of two files of one time a number made of the name decides.
     """
     raw = (
         spark.read.schema(RAW)
@@ -135,5 +135,10 @@ def read_bars(spark: SparkSession, paths: str | list[str], separator: str = ";")
     )
 
 
+def file_key(name: Column) -> Column:
+    """A file name as a number: rows carry it through shuffles in place of the name."""
+    return F.xxhash64(name)
+
+
 # Order of two rows of one key within a load.
-ROW_ORDER = ["file_time", "source_file", "block_start", "row_no"]
+ROW_ORDER = ["file_time", "file_key", "block_start", "row_no"]

@@ -6,12 +6,14 @@ import pytest
 
 from barloom.catalog.queries import QUERIES
 from barloom.operators.changes import monthly_changes
-from barloom.operators.merge import latest_wins, only_keys
+from barloom.operators.merge import latest_wins
 from barloom.operators.periods import period_open_close
 from barloom.operators.pivots import monthly_overview
-from barloom.operators.selection import slices_of
-from barloom.schemas import SLICE_KEY
-from barloom.sinks.tables import overwrite_slices
+from barloom.plans.load import landing_rows, slices_to_merge
+from barloom.plans.refresh import staged_bars
+from barloom.schemas import SLICE_KEY, slices_schema
+from barloom.session import scratch_path
+from barloom.sinks.tables import overwrite_slices, working_copy
 from barloom.sources.clean import clean_bars, tag_load
 from barloom.sources.files import read_bars
 from conftest import ts
@@ -66,16 +68,50 @@ def test_only_used_columns_and_partitions_are_read(staged):
     assert "market#" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
-def test_changed_slices_prune_the_scan(spark, staged):
-    changed = spark.table(staged.name("slices")).where("load_id = 'l'")
-    df = period_open_close(only_keys(staged.table("staging"), slices_of(changed), SLICE_KEY))
-    assert "dynamicpruning" in plan_of(df).lower()
+def pruned(plan, table):
+    """Whether the scan of the table has a partition filter that comes from a join."""
+    scans = [line for line in plan.splitlines() if "FileScan" in line and table in line]
+    return bool(scans) and all("dynamicpruning" in s.split("PartitionFilters: [")[1].split("]")[0] for s in scans)
+
+
+@pytest.mark.parametrize("market", [None, "A"])
+def test_slices_of_a_batch_prune_the_staging_scan(spark, staged, market):
+    touched = working_copy(
+        spark.createDataFrame([("l", "A", 2021, 5)], slices_schema()), scratch_path(spark, "touched")
+    )
+    assert pruned(plan_of(slices_to_merge(staged, touched, market)), staged.name("staging"))
+    assert pruned(plan_of(staged_bars(staged, market, touched)), staged.name("staging"))
+
+
+@pytest.mark.parametrize("market", [None, "A"])
+def test_loads_prune_the_landing_scan(spark, staged, market):
+    rows = [("A", "l", ts("2030-01-01"))]
+    loads = spark.createDataFrame(rows, "market string, load_id string, finish_time timestamp")
+    loads = working_copy(loads, scratch_path(spark, "loads"))
+    assert pruned(plan_of(landing_rows(staged, loads, market)), staged.name("landing"))
+
+
+def test_a_hot_slice_is_written_by_many_tasks(spark, warehouse):
+    wh = warehouse()
+    rows = spark.range(0, 400000, 1, 8).selectExpr(
+        "timestamp_seconds(1577836800 + id) AS time", "rand(1) * 1000 AS open", "rand(2) * 1000 AS close",
+        "'r' AS landed_by", "'l' AS load_id", "timestamp_seconds(0) AS load_time", "'A' AS market", "2020 AS year",
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "256KB")
+    try:
+        overwrite_slices(rows, wh.name("staging"), SLICE_KEY)
+    finally:
+        spark.conf.set(key, before)
+    assert wh.table("staging").count() == 400000
+    assert len(wh.table("staging").inputFiles()) >= 4
 
 
 def test_copies_of_a_key_are_folded_before_the_shuffle(staged):
     plan = plan_of(latest_wins(staged.table("staging"), ["market", "time"], ["load_time"]))
     before, after = plan.split("Exchange hashpartitioning")
-    assert "partial_max_by" in after and "Window" not in plan
+    assert "partial_max(" in after and "Window" not in plan
 
 
 def test_text_is_converted_once(spark, tmp_path, bar_file):
