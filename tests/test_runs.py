@@ -94,10 +94,10 @@ def test_corrected_prices_replace_stored_ones(spark, warehouse, tmp_path, bar_fi
     wh = warehouse()
     rows = some_bars(5, n=30)
     bar_file(tmp_path / "in" / "a.csv", rows)
-    run(wh, str(tmp_path / "in"), "M", "full", run_ts=clock())
+    run(wh, str(tmp_path / "in"), "M", "full", through_landing=False, run_ts=clock())
     fixed = [(t, o + 1, c + 2) for t, o, c in rows[:10]]
     bar_file(tmp_path / "in" / "b.csv", fixed)
-    found = run(wh, str(tmp_path / "in"), "M", "incremental", run_ts=clock())
+    found = run(wh, str(tmp_path / "in"), "M", "incremental", through_landing=False, run_ts=clock())
     assert as_text(found) == expected(spark, wh, rows + fixed)
     assert wh.table("staging").count() == 30
     unique_keys(wh)
@@ -117,10 +117,10 @@ def test_years_not_touched_keep_their_rows(spark, warehouse, tmp_path, bar_file,
     wh = warehouse()
     bar_file(tmp_path / "in" / "a.csv", [("2019-01-01 00:00:00", 10, 11), ("2020-01-01 00:00:00", 10, 12)])
     first = clock()
-    run(wh, str(tmp_path / "in"), "M", "full", run_ts=first)
+    run(wh, str(tmp_path / "in"), "M", "full", through_landing=False, run_ts=first)
     bar_file(tmp_path / "in" / "b.csv", [("2020-02-01 00:00:00", 10, 13)])
     second = clock()
-    run(wh, str(tmp_path / "in"), "M", "incremental", run_ts=second)
+    run(wh, str(tmp_path / "in"), "M", "incremental", through_landing=False, run_ts=second)
     stamps = dict(rows_of(overview(wh, basis="open"), "year", "updated_at"))
     assert stamps == {"2019": first, "2020": second, "total": second}
     changes = wh.table("changes").where("basis = 'open'")
@@ -246,6 +246,6 @@ def test_drop_and_create_again(spark, warehouse, tmp_path, bar_file, clock):
 
     wh = warehouse()
     bar_file(tmp_path / "in" / "a.csv", some_bars(1, n=5))
-    run(wh, str(tmp_path / "in"), "M", "full", run_ts=clock())
+    run(wh, str(tmp_path / "in"), "M", "full", through_landing=False, run_ts=clock())
     again = init_tables(spark, wh.database, str(tmp_path / wh.database), drop=True)
     assert all(again.table(t).isEmpty() for t in ("landing", "staging", "prices", "overview", "audit"))
