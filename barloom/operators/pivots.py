@@ -59,6 +59,11 @@ def with_total_row(wide: DataFrame, names: list[str]) -> DataFrame:
     return rows.groupBy("market", "year", "basis").agg(*[F.avg(n).alias(n) for n in cells])
 
 
+def display_order(overview: DataFrame) -> DataFrame:
+    """For showing only: years upwards, then the average row."""
+    return overview.orderBy("market", "basis", "year")
+
+
 def overview_of_changes(changes: DataFrame, missing: str = "null") -> DataFrame:
     """Year by month table with the average row, from the long table."""
     return with_total_row(pivot_months(changes, missing), MONTH_NAMES)

@@ -44,6 +44,15 @@ def _events(files: DataFrame, **constant) -> DataFrame:
     return files.select(*columns)
 
 
+def one_market(spark: SparkSession, market: str) -> DataFrame:
+    return spark.createDataFrame([(market,)], "market string")
+
+
+def resets(markets: DataFrame, start: datetime) -> DataFrame:
+    """For the finish of a full run: runs of these markets that began up to its start are over."""
+    return markets.select("market", F.lit(start).cast("timestamp").alias("event_time"))
+
+
 def audit_start(
     wh: Warehouse, layer: str, run_id: str, time: datetime, task: str, items: DataFrame, market: str | None = None
 ) -> None:
@@ -63,11 +72,11 @@ def audit_finish(
     status: str = OK,
     rows: DataFrame | None = None,
     keys: list[str] | None = None,
-    reset: bool = False,
+    reset: DataFrame | None = None,
 ) -> None:
     """Close a run: one finish event per start event, with row counts from ``rows`` (keys, rows).
 
-    With ``reset`` (a full load that went well) earlier runs of its markets no longer count.
+    ``reset`` (from ``resets``) names markets whose earlier runs no longer count if this one went well.
     """
     started = wh.table("audit").where(
         (F.col("layer") == layer) & (F.col("event") == "start") & (F.col("run_id") == run_id)
@@ -76,9 +85,8 @@ def audit_finish(
     if rows is not None:
         closing = closing.drop("rows").join(rows.select(*keys, "rows"), keys, "left").fillna({"rows": 0})
     events = _events(closing, event="finish", event_time=time, status=status)
-    if reset and status == OK:
-        markets = started.groupBy("market").agg(F.min("event_time").alias("event_time"))
-        events = events.unionByName(_events(markets, layer=layer, event="reset", run_id=run_id))
+    if reset is not None and status == OK:
+        events = events.unionByName(_events(reset, layer=layer, event="reset", run_id=run_id))
     append(events, wh.name("audit"))
 
 

@@ -16,7 +16,7 @@ from barloom.plans import audit
 from barloom.plans.arguments import FULL, check_mode, check_text
 from barloom.plans.warehouse import Warehouse
 from barloom.schemas import SLICE_KEY, STAGING_KEY
-from barloom.session import scratch_path
+from barloom.session import scratch_folder
 from barloom.sinks.tables import append, counted, drop_partitions, overwrite_slices, partitions, working_copy
 from barloom.sources.clean import parse_bars, rejected_bars, tag_load, valid_bars
 from barloom.sources.files import ROW_ORDER, file_key, list_files, read_bars, with_checksums
@@ -48,7 +48,7 @@ def _check_clock(wh: Warehouse, market: str | None, run_ts: datetime | None) ->
         raise ValueError(f"run time {run_ts} is not after the last refresh of {market} at {last}")
 
 
-def pick_files(wh: Warehouse, layer: str, listed: DataFrame, mode: str) -> DataFrame:
+def pick_files(wh: Warehouse, layer: str, listed: DataFrame, mode: str, folder: str) -> DataFrame:
     """The files a run has to read: all (full) or those with unseen content, one file per content."""
     known = audit.audit_runs(wh, layer).where(F.col("status") == audit.OK)
     manifest = with_checksums(listed, known.select("file", "file_size", "file_time", "checksum"))
@@ -56,7 +56,7 @@ def pick_files(wh: Warehouse, layer: str, listed: DataFrame, mode: str) -> DataF
         picked = audit.one_per_checksum(manifest)
     else:
         picked = audit.unseen_files(manifest, audit.seen_checksums(wh, layer))
-    return working_copy(picked, scratch_path(wh.spark, "manifest"))
+    return working_copy(picked, f"{folder}/manifest")
 
 
 def _paths(files: DataFrame) -> list[str]:
@@ -77,29 +77,31 @@ def load_landing(
     """
     check_text("market", market), check_text("task", task), check_mode(mode)
     time = audit.now(wh.spark, run_ts)
-    files = pick_files(wh, audit.LANDING, list_files(wh.spark, directory), mode)
-    paths = _paths(files)
-    if not paths and mode != FULL:
-        return NOTHING
-    run_id = audit.new_run_id()
-    audit.audit_start(wh, audit.LANDING, run_id, time, task, files, market)
-    status, counts, report = audit.FAILED, None, NOTHING
-    try:
-        if paths:
-            tagged = tag_load(read_bars(wh.spark, paths), market, run_id, time)
-            rows, seen = counted(tagged, rows=F.count(F.lit(1)))
-            append(rows, wh.name("landing"))
-            report = LoadReport(run_id, len(paths), seen.get["rows"])
-            landed = of_market(wh.table("landing"), market).where(F.col("load_id") == run_id)
-            counts = landed.groupBy(F.col("source_file").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
-        if mode == FULL:
-            old = [p for p in partitions(wh.spark, wh.name("landing"), market=market) if p["load_id"] != run_id]
-            drop_partitions(wh.spark, wh.name("landing"), old)
-        status = audit.OK
-    finally:
-        end = audit.now(wh.spark, run_ts)
-        audit.audit_finish(wh, audit.LANDING, run_id, end, status, counts, ["file"], reset=mode == FULL)
-    return report
+    with scratch_folder(wh.spark, "landing") as folder:
+        files = pick_files(wh, audit.LANDING, list_files(wh.spark, directory), mode, folder)
+        paths = _paths(files)
+        if not paths and mode != FULL:
+            return NOTHING
+        run_id = audit.new_run_id()
+        audit.audit_start(wh, audit.LANDING, run_id, time, task, files, market)
+        status, counts, report = audit.FAILED, None, NOTHING
+        try:
+            if paths:
+                tagged = tag_load(read_bars(wh.spark, paths), market, run_id, time)
+                rows, seen = counted(tagged, rows=F.count(F.lit(1)))
+                append(rows, wh.name("landing"))
+                report = LoadReport(run_id, len(paths), seen.get["rows"])
+                landed = of_market(wh.table("landing"), market).where(F.col("load_id") == run_id)
+                counts = landed.groupBy(F.col("source_file").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+            if mode == FULL:
+                old = [p for p in partitions(wh.spark, wh.name("landing"), market=market) if p["load_id"] != run_id]
+                drop_partitions(wh.spark, wh.name("landing"), old)
+            status = audit.OK
+        finally:
+            end = audit.now(wh.spark, run_ts)
+            reset = audit.resets(audit.one_market(wh.spark, market), time) if mode == FULL else None
+            audit.audit_finish(wh, audit.LANDING, run_id, end, status, counts, ["file"], reset)
+        return report
 
 
 def slices_to_merge(wh: Warehouse, touched: DataFrame, market: str | None) -> DataFrame:
@@ -107,7 +109,9 @@ def slices_to_merge(wh: Warehouse, touched: DataFrame, market: str | None) -> Da
     return only_keys(of_market(wh.table("staging"), market), filled(touched), SLICE_KEY)
 
 
-def _write_staging(wh: Warehouse, batch: DataFrame, mode: str, market: str | None, run_id: str) -> None:
+def _write_staging(
+    wh: Warehouse, batch: DataFrame, mode: str, market: str | None, run_id: str, folder: str
+) -> None:
     """Merge a written batch (unique per key) into staging, touching only its (market, year) slices.
 
     Which slices those are is recorded first. The record counts only once the run is finished.
@@ -115,7 +119,7 @@ def _write_staging(wh: Warehouse, batch: DataFrame, mode: str, market: str | Non
     staging = wh.name("staging")
     append(slice_counts(batch).withColumn("load_id", F.lit(run_id)), wh.name("slices"))
     recorded = wh.table("slices").where(F.col("load_id") == run_id)
-    touched = working_copy(recorded, scratch_path(wh.spark, "touched"))
+    touched = working_copy(recorded, f"{folder}/touched")
     merged = batch
     if mode != FULL:
         old = slices_to_merge(wh, touched, market)
@@ -128,7 +132,9 @@ def _write_staging(wh: Warehouse, batch: DataFrame, mode: str, market: str | Non
         drop_partitions(wh.spark, staging, [p for p in found if (p["market"], p["year"]) not in now_there])
 
 
-def _typed_batch(wh: Warehouse, raw: DataFrame, run_id: str, time: datetime, order: list[str]):
+def _typed_batch(
+    wh: Warehouse, raw: DataFrame, run_id: str, time: datetime, order: list[str], folder: str
+) -> tuple[DataFrame, dict]:
     """Clean rows, one per key, written once: staging merge, slices and counts all read that copy."""
     keyed = raw.withColumn("file_key", file_key(F.col("source_file")))
     parsed, seen = counted(
@@ -142,7 +148,7 @@ def _typed_batch(wh: Warehouse, raw: DataFrame, run_id: str, time: datetime, ord
         "market", "time", "open", "close", F.col("load_id").alias("landed_by"), F.lit(run_id).alias("load_id"),
         F.lit(time).cast("timestamp").alias("load_time"), F.year("time").alias("year"), "file_key",
     )
-    return working_copy(batch, scratch_path(wh.spark, "batch")), seen.get
+    return working_copy(batch, f"{folder}/batch"), seen.get
 
 
 def landing_rows(wh: Warehouse, loads: DataFrame, market: str | None) -> DataFrame:
@@ -164,29 +170,31 @@ def clean_to_staging(
     """
     check_mode(mode), check_text("task", task)
     time = audit.now(wh.spark, run_ts)
-    if mode == FULL:
-        loads = audit.successful_loads(wh, audit.LANDING, market)
-    else:
-        loads = audit.new_loads(wh, audit.LANDING, audit.STAGING, market)
-    loads = working_copy(loads, scratch_path(wh.spark, "loads"))
-    markets = loads.select("market").distinct()
-    _check_clock(wh, market, run_ts)
-    if loads.isEmpty() and mode != FULL:
-        return NOTHING
-    run_id = audit.new_run_id()
-    audit.audit_start(wh, audit.STAGING, run_id, time, task, markets)
-    status, counts, report = audit.FAILED, None, NOTHING
-    try:
-        rows = landing_rows(wh, loads, market)
-        batch, seen = _typed_batch(wh, rows, run_id, time, ["load_time", "load_id", *ROW_ORDER])
-        report = LoadReport(run_id, 0, seen["read"], seen["rejected"])
-        _write_staging(wh, batch, mode, market, run_id)
-        counts = batch.groupBy("market").agg(F.count(F.lit(1)).alias("rows"))
-        status = audit.OK
-    finally:
-        end = audit.now(wh.spark, run_ts)
-        audit.audit_finish(wh, audit.STAGING, run_id, end, status, counts, ["market"], reset=mode == FULL)
-    return report
+    with scratch_folder(wh.spark, "staging") as folder:
+        if mode == FULL:
+            loads = audit.successful_loads(wh, audit.LANDING, market)
+        else:
+            loads = audit.new_loads(wh, audit.LANDING, audit.STAGING, market)
+        loads = working_copy(loads, f"{folder}/loads")
+        markets = loads.select("market").distinct() if market is None else audit.one_market(wh.spark, market)
+        _check_clock(wh, market, run_ts)
+        if loads.isEmpty() and mode != FULL:
+            return NOTHING
+        run_id = audit.new_run_id()
+        audit.audit_start(wh, audit.STAGING, run_id, time, task, markets)
+        status, counts, report = audit.FAILED, None, NOTHING
+        try:
+            rows = landing_rows(wh, loads, market)
+            batch, seen = _typed_batch(wh, rows, run_id, time, ["load_time", "load_id", *ROW_ORDER], folder)
+            report = LoadReport(run_id, 0, seen["read"], seen["rejected"])
+            _write_staging(wh, batch, mode, market, run_id, folder)
+            counts = batch.groupBy("market").agg(F.count(F.lit(1)).alias("rows"))
+            status = audit.OK
+        finally:
+            end = audit.now(wh.spark, run_ts)
+            reset = audit.resets(markets, time) if mode == FULL else None
+            audit.audit_finish(wh, audit.STAGING, run_id, end, status, counts, ["market"], reset)
+        return report
 
 
 def load_staging(
@@ -209,29 +217,31 @@ def load_listed(
     """``load_staging`` for files that are listed already."""
     time = audit.now(wh.spark, run_ts)
     _check_clock(wh, market, run_ts)
-    files = pick_files(wh, audit.STAGING, listed, mode)
-    paths = _paths(files)
-    if not paths and mode != FULL:
-        return NOTHING
-    run_id = audit.new_run_id()
-    audit.audit_start(wh, audit.STAGING, run_id, time, task, files, market)
-    status, counts, report = audit.FAILED, None, NOTHING
-    try:
-        if paths:
-            raw = tag_load(read_bars(wh.spark, paths), market, run_id, time)
-            batch, seen = _typed_batch(wh, raw, run_id, time, ROW_ORDER)
-            report = LoadReport(run_id, len(paths), seen["read"], seen["rejected"])
-            _write_staging(wh, batch, mode, market, run_id)
-            per_file = batch.groupBy("file_key").agg(F.count(F.lit(1)).alias("rows"))
-            names = files.select("file", file_key(F.col("file")).alias("file_key"))
-            counts = names.join(per_file, "file_key")
-        elif mode == FULL:
-            drop_partitions(wh.spark, wh.name("staging"), partitions(wh.spark, wh.name("staging"), market=market))
-        status = audit.OK
-    finally:
-        end = audit.now(wh.spark, run_ts)
-        audit.audit_finish(wh, audit.STAGING, run_id, end, status, counts, ["file"], reset=mode == FULL)
-    return report
+    with scratch_folder(wh.spark, "staging") as folder:
+        files = pick_files(wh, audit.STAGING, listed, mode, folder)
+        paths = _paths(files)
+        if not paths and mode != FULL:
+            return NOTHING
+        run_id = audit.new_run_id()
+        audit.audit_start(wh, audit.STAGING, run_id, time, task, files, market)
+        status, counts, report = audit.FAILED, None, NOTHING
+        try:
+            if paths:
+                raw = tag_load(read_bars(wh.spark, paths), market, run_id, time)
+                batch, seen = _typed_batch(wh, raw, run_id, time, ROW_ORDER, folder)
+                report = LoadReport(run_id, len(paths), seen["read"], seen["rejected"])
+                _write_staging(wh, batch, mode, market, run_id, folder)
+                per_file = batch.groupBy("file_key").agg(F.count(F.lit(1)).alias("rows"))
+                names = files.select("file", file_key(F.col("file")).alias("file_key"))
+                counts = names.join(per_file, "file_key")
+            elif mode == FULL:
+                drop_partitions(wh.spark, wh.name("staging"), partitions(wh.spark, wh.name("staging"), market=market))
+            status = audit.OK
+        finally:
+            end = audit.now(wh.spark, run_ts)
+            reset = audit.resets(audit.one_market(wh.spark, market), time) if mode == FULL else None
+            audit.audit_finish(wh, audit.STAGING, run_id, end, status, counts, ["file"], reset)
+        return report
 
 
 def landing_rejects(wh: Warehouse, market: str | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ from barloom.plans import audit
 from barloom.plans.arguments import FULL, check_basis, check_mode, check_text
 from barloom.plans.warehouse import Warehouse
 from barloom.schemas import SLICE_KEY
-from barloom.session import scratch_path
+from barloom.session import scratch_folder
 from barloom.sinks.tables import swap_write, working_copy
 
 
@@ -87,25 +87,25 @@ def refresh(
     check_mode(mode), check_text("task", task)
     spark = wh.spark
     time = audit.now(spark, run_ts)
-    changed = working_copy(changed_slices(wh, mode, market), scratch_path(spark, "changed"))
-    markets = changed.select("market").distinct()
-    if mode == FULL and market is not None:
-        markets = spark.createDataFrame([(market,)], "market string")
-    elif mode != FULL and changed.isEmpty():
-        return False
-    run_id = audit.new_run_id()
-    audit.audit_start(wh, audit.OVERVIEW, run_id, time, task, markets)
-    status = audit.FAILED
-    try:
-        _rewrite(wh, mode, market, changed, markets, time)
-        status = audit.OK
-    finally:
-        audit.audit_finish(wh, audit.OVERVIEW, run_id, audit.now(spark, run_ts), status, reset=mode == FULL)
-    return True
+    with scratch_folder(wh.spark, "refresh") as folder:
+        changed = working_copy(changed_slices(wh, mode, market), f"{folder}/changed")
+        markets = changed.select("market").distinct() if market is None else audit.one_market(spark, market)
+        if mode != FULL and changed.isEmpty():
+            return False
+        run_id = audit.new_run_id()
+        audit.audit_start(wh, audit.OVERVIEW, run_id, time, task, markets)
+        status = audit.FAILED
+        try:
+            _rewrite(wh, mode, market, changed, markets, time, folder)
+            status = audit.OK
+        finally:
+            reset = audit.resets(markets, time) if mode == FULL else None
+            audit.audit_finish(wh, audit.OVERVIEW, run_id, audit.now(spark, run_ts), status, reset=reset)
+        return True
 
 
 def _rewrite(
-    wh: Warehouse, mode: str, market: str | None, changed: DataFrame, markets: DataFrame, time: datetime
+    wh: Warehouse, mode: str, market: str | None, changed: DataFrame, markets: DataFrame, time: datetime, folder: str
 ) -> None:
     """One pass over the changed bars, then three small tables."""
     stamped = F.lit(time).cast("timestamp")
@@ -124,7 +124,7 @@ def _rewrite(
     prices = wh.table("prices")
     reach = changed
     if wh.carry:
-        reach = working_copy(refresh_reach(prices, changed, carry=True), scratch_path(wh.spark, "reach"))
+        reach = working_copy(refresh_reach(prices, changed, carry=True), f"{folder}/reach")
     dropped = markets if mode == FULL else reach
     swap_write(
         refreshed_changes(stored("changes"), prices, reach, dropped, keys, wh.carry).withColumn(

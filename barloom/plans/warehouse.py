@@ -64,3 +64,9 @@ def init_tables(
             sink.drop_table(spark, full_name)
         sink.create_table(spark, full_name, schema, f"{root}/{table}/v-0", by)
     return Warehouse(spark, database, price_type, carry, missing)
+
+
+def compact_logs(wh: Warehouse) -> None:
+    """Fewer, larger files for the tables that grow by a small append per run."""
+    for table in ("audit", "slices"):
+        sink.compact(wh.spark, wh.name(table))

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.session import remove_path
+
 
 def quote(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
@@ -124,12 +126,7 @@ def swap_write(df: DataFrame, table: str) -> None:
     spark.sql(f"ALTER TABLE {quote(table)} SET TBLPROPERTIES ('previous.version' = {text_literal(old)})")
     spark.catalog.refreshTable(table)
     if previous is not None:
-        _remove(spark, previous["value"])
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+        remove_path(spark, previous["value"])
 
 
 def compact(spark: SparkSession, table: str) -> None:
@@ -153,7 +150,7 @@ def drop_table(spark: SparkSession, table: str) -> None:
     if spark.catalog.tableExists(table):
         folder = location(spark, table)
         spark.sql(f"DROP TABLE {quote(table)}")
-        _remove(spark, folder)
+        remove_path(spark, folder)
 
 
 def databases(spark: SparkSession) -> list[str]:

@@ -8,7 +8,7 @@ from barloom.plans.arguments import INCREMENTAL, check_text
 from barloom.plans.load import load_listed
 from barloom.plans.refresh import refresh
 from barloom.plans.warehouse import Warehouse
-from barloom.session import scratch_path
+from barloom.session import scratch_folder
 from barloom.sinks.tables import working_copy
 from barloom.sources.files import BINARY_FILE, described
 
@@ -35,8 +35,9 @@ def ingest_stream(
     listed = described(reader.load(directory))
 
     def take(batch: DataFrame, _batch_id: int) -> None:
-        files = working_copy(batch, scratch_path(wh.spark, "listed"), wh.spark)
-        load_listed(wh, files, market, INCREMENTAL, None, task)
+        with scratch_folder(wh.spark, "stream") as folder:
+            files = working_copy(batch, f"{folder}/listed", wh.spark)
+            load_listed(wh, files, market, INCREMENTAL, None, task)
         if then_refresh:
             refresh(wh, INCREMENTAL, market)
 

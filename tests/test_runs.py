@@ -12,6 +12,8 @@ from barloom.plans import audit, load
 from barloom.plans.load import clean_to_staging, landing_rejects, load_landing, load_staging
 from barloom.plans.refresh import overview, refresh, staged_bars
 from barloom.plans.run import run
+from barloom.plans.warehouse import compact_logs, init_tables
+from barloom.session import shared_dir
 from barloom.streaming.ingest import ingest_stream
 from conftest import rows_of, ts
 
@@ -196,13 +198,21 @@ def test_run_time_before_the_last_refresh_is_refused(warehouse, tmp_path, bar_fi
         load_staging(wh, str(tmp_path / "in"), "M", "incremental", ts("2029-01-01"))
 
 
-def test_full_load_of_an_empty_directory_empties_the_market(warehouse, tmp_path, bar_file, clock):
+@pytest.mark.parametrize("through_landing", [True, False])
+def test_full_load_of_an_empty_directory_empties_the_market(
+    spark, warehouse, tmp_path, bar_file, clock, through_landing
+):
     wh = warehouse()
-    path = bar_file(tmp_path / "in" / "a.csv", some_bars(1, n=5))
-    run(wh, str(tmp_path / "in"), "M", "full", run_ts=clock())
+    rows = some_bars(1, n=5)
+    options = dict(directory=str(tmp_path / "in"), market="M", through_landing=through_landing)
+    path = bar_file(tmp_path / "in" / "a.csv", rows)
+    run(wh, mode="full", run_ts=clock(), **options)
     os.remove(path)
-    assert run(wh, str(tmp_path / "in"), "M", "full", run_ts=clock()).isEmpty()
+    assert run(wh, mode="full", run_ts=clock(), **options).isEmpty()
     assert wh.table("staging").isEmpty() and wh.table("landing").isEmpty()
+    # What was emptied is unknown again, so the same content comes back.
+    bar_file(path, rows)
+    assert as_text(run(wh, mode="incremental", run_ts=clock(), **options)) == expected(spark, wh, rows)
 
 
 @pytest.mark.parametrize("lines", [[], ["junk", "2020-01-02 00:00:00;x;1;1;1;1"]])
@@ -241,9 +251,25 @@ def test_stream_takes_each_file_once(spark, warehouse, tmp_path, bar_file):
     unique_keys(wh)
 
 
-def test_drop_and_create_again(spark, warehouse, tmp_path, bar_file, clock):
-    from barloom.plans.warehouse import init_tables
+def test_logs_can_be_compacted(warehouse, tmp_path, bar_file, clock):
+    wh = warehouse()
+    bar_file(tmp_path / "in" / "a.csv", some_bars(1, n=5))
+    run(wh, str(tmp_path / "in"), "M", "full", through_landing=False, run_ts=clock())
+    events, files = wh.table("audit").count(), len(wh.table("audit").inputFiles())
+    compact_logs(wh)
+    assert wh.table("audit").count() == events and len(wh.table("audit").inputFiles()) < files
+    assert refresh(wh, "incremental", run_ts=clock()) is False
 
+
+def test_a_run_leaves_nothing_in_the_shared_folder(spark, warehouse, tmp_path, bar_file, clock):
+    before = set(os.listdir(shared_dir(spark)))
+    wh = warehouse(carry=True)
+    bar_file(tmp_path / "in" / "a.csv", some_bars(1, n=5))
+    run(wh, str(tmp_path / "in"), "M", "full", run_ts=clock())
+    assert set(os.listdir(shared_dir(spark))) == before
+
+
+def test_drop_and_create_again(spark, warehouse, tmp_path, bar_file, clock):
     wh = warehouse()
     bar_file(tmp_path / "in" / "a.csv", some_bars(1, n=5))
     run(wh, str(tmp_path / "in"), "M", "full", through_landing=False, run_ts=clock())
