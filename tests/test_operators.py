@@ -10,7 +10,7 @@ from barloom.operators.changes import daily_changes, monthly_changes
 from barloom.operators.merge import except_keys, latest_wins, only_keys, replace_slices, upsert
 from barloom.operators.periods import period_open_close
 from barloom.operators.pivots import (
-    average_row, monthly_overview, overview_of_changes, pivot_months, weekday_overview, with_total_row,
+    average_row, display_order, monthly_overview, overview_of_changes, pivot_months, weekday_overview, with_total_row,
 )
 from barloom.operators.selection import any_row, newer_than, refresh_reach
 from conftest import rows_of, ts
@@ -221,3 +221,9 @@ def test_day_grain(spark):
     found = rows_of(daily_changes(bars(spark, rows), "prev"), "day", "pct")
     assert [round(p, 6) for _, p in found] == [20.0, 50.0]
     assert period_open_close(bars(spark, rows), DAY).count() == 2
+
+
+def test_display_order(spark):
+    rows = [("A", "2021-01-01", 1, 2), ("A", "2020-01-01", 1, 2), ("A", "2019-01-01", 1, 2)]
+    shown = display_order(monthly_overview(bars(spark, rows), "open")).collect()
+    assert [r.year for r in shown] == ["2019", "2020", "2021", "total"]
