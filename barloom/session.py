@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-_local_roots: dict[str, str] = {}
-
 
 def pin_session(spark: SparkSession) -> SparkSession:
     """Month and year edges depend on the zone, so it is pinned to the zone of the files."""
@@ -19,20 +16,14 @@ def pin_session(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir`` as the cluster names it.
 
-    Only a single-machine session without that setting gets a temporary folder of its own.
+    Where that is not set, a folder below the warehouse, which all executors reach as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="barloom-")
-    return _local_roots[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
