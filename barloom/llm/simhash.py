@@ -96,7 +96,8 @@ def screened(prints: DataFrame) -> DataFrame:
     flips = F.array(*(F.lit(m) for m in [0, *(1 << i for i in range(32))]))
     near = halves.select("bits", "half", "value", F.explode(flips).alias("flip"))
     near = near.select("bits", "half", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
-    met = near.join(held, ["half", "value"]).where("n > 1 or one <> bits")
+    # Size estimates don't see what explode adds, so nothing here may be broadcast on their word.
+    met = near.join(held.hint("merge"), ["half", "value"]).where("n > 1 or one <> bits")
     return met.select("bits").distinct()
 
 
@@ -116,7 +117,7 @@ def links(prints: DataFrame, radius: int = 3) -> DataFrame:
     elif radius == 3:
         far = near.unionByName(ball(prints.where(F.bit_count("bits") % 2 == 0), two_flips()))
     least = near.groupBy("value").agg(F.min("bits").alias("b"))
-    met = far.join(least, "value").where("bits <> b")
+    met = far.join(least.hint("merge"), "value").where("bits <> b")
     met = met.where(F.bit_count(F.col("bits").bitwiseXOR(F.col("b"))) <= radius)
     return met.select(F.col("bits").alias("a"), "b").distinct()
 
