@@ -100,7 +100,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample: int
     hashed = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     hashed = hashed.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(text).alias("hash"))
     least = hashed.groupBy("lang", F.pmod("hash", F.lit(sample)).alias("bucket")).agg(F.min("hash").alias("hash"))
-    chosen = hashed.join(least.select("lang", "hash"), ["lang", "hash"], "left_semi")
+    # At most ``sample`` numbers of each language, as the sample itself: small enough to send to all tasks.
+    chosen = hashed.join(F.broadcast(least.select("lang", "hash")), ["lang", "hash"], "left_semi")
 
     @F.pandas_udf("binary")
     def packed(texts: pd.Series) -> pd.Series:
