@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, decontamination, language, simhash
+from barloom.llm import bpe, chat, decontamination, language, licenses, sharding, simhash
 from barloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,47 @@ def op1_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+@query
+def op2_licenses(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    return licenses.licenses(docs).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
+@query
+def op3_sharding(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    rows = sharding.sharded(docs, sharding.even_tree(16), sharding.even_tree(17))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query
+def op4_chat(spark: SparkSession, directory: str) -> DataFrame:
+    return chat.formatted(table(spark, directory, "conversations"))
+
+
+ORACLE["op4_chat"] = """
+WITH turns AS (
+  SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+), whole AS (
+  SELECT conv_id, list({'turn': turn, 'role': role, 'text': text} ORDER BY turn, role, text) AS said FROM turns GROUP BY conv_id
+), shorter AS (
+  SELECT DISTINCT list_slice(said, 1, n) AS said
+  FROM (SELECT said, unnest(range(1, len(said))) AS n FROM whole) WHERE said[n].turn < said[n + 1].turn
+), kept AS (
+  SELECT min(conv_id) AS conv_id, len(said) AS n_turns, count(*) AS n_copies
+  FROM whole WHERE said NOT IN (SELECT said FROM shorter) GROUP BY said
+), parts AS (
+  SELECT conv_id, CAST(floor(turn / 256.0) AS BIGINT) AS part,
+    string_agg('<|im_start|>' || replace(coalesce(role, ''), '<|', '< |') || chr(10)
+      || replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS rendered
+  FROM turns GROUP BY ALL
+)
+SELECT conv_id, part, n_turns, n_copies, length(rendered) AS n_chars, rendered FROM parts JOIN kept USING (conv_id)
+"""
+
+
 @query
 def op5_simhash(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents").select("doc_id", "text")
