@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, chat, decontamination, language, licenses, sharding, simhash
-from barloom.llm.common import table
+from barloom.llm import bpe, chat, decontamination, language, licenses, sharding, simhash, topk, warc
+from barloom.llm.common import keep, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -86,6 +86,14 @@ def op5_simhash(spark: SparkSession, directory: str) -> DataFrame:
     return rows.select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+@query
+def op6_warc(spark: SparkSession, directory: str) -> DataFrame:
+    pages = table(spark, directory, "pages")
+    return warc.archived(pages).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified"
+    )
+
+
 @query
 def op7_language(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents")
@@ -93,6 +101,29 @@ def op7_language(spark: SparkSession, directory: str) -> DataFrame:
     return out.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query
+def op8_topk(spark: SparkSession, directory: str) -> DataFrame:
+    vectors = keep(topk.quantised(table(spark, directory, "embeddings")), "vectors")
+    return topk.best(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+ORACLE["op8_topk"] = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS comps FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(CAST(x AS DOUBLE)))) = len(embedding)
+), parts AS (
+  SELECT vec_id, unnest(comps) AS comp, generate_subscripts(comps, 1) AS place FROM whole
+), scored AS (
+  SELECT q.vec_id AS query_id, x.vec_id, CAST(sum(q.comp * x.comp) AS BIGINT) AS score
+  FROM parts q JOIN parts x ON q.place = x.place AND q.vec_id <> x.vec_id WHERE q.vec_id % 50 = 0 GROUP BY ALL
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 @query
 def op10_bpe(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents").select("doc_id", "text")
