@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, chat, decontamination, language, licenses, sharding, simhash, topk, warc
+from barloom.llm import bpe, chat, decontamination, html_text, language, licenses, sharding, simhash, topk, warc
 from barloom.llm.common import keep, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,6 +124,11 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+@query
+def op9_html(spark: SparkSession, directory: str) -> DataFrame:
+    return html_text.extracted(table(spark, directory, "pages"))
+
+
 @query
 def op10_bpe(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents").select("doc_id", "text")
