@@ -196,7 +196,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
         out = pd.DataFrame(rows, columns=columns)
         return out.astype({"page_id": "Int64", "refers_to": "Int64"})
 
-    return archives.select("path").repartition(F.col("path")).mapInPandas(read, RECORDS)
+    # Paths are few bytes, so partitions made by size would put all archives in one task.
+    return archives.select("path").repartition(max(1, archives.count())).mapInPandas(read, RECORDS)
 
 
 def with_revisits(pages: DataFrame, key: str = "page_id", payload: str = "html") -> DataFrame:
