@@ -27,6 +27,7 @@ from barloom.llm.common import keep
 VECTOR_BLOCK = 4096
 QUERY_BLOCK = 256
 FIRST_DEPTH = 16
+TASKS = 20_000
 # Scores up to here are exact in floating point.
 EXACT = float(1 << 53)
 RESULT = "query_id long, vec_id long, score long"
@@ -107,11 +108,13 @@ def best(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id") ->
     smaller key. A score beyond 64 bits is an error. Empty tables give no rows.
     """
     left = keep(blocks(queries, key, QUERY_BLOCK, "query"), "query-blocks")
-    right = blocks(vectors, key, VECTOR_BLOCK, "vector")
+    right = keep(blocks(vectors, key, VECTOR_BLOCK, "vector"), "vector-blocks")
     # Each block of vectors is sent to the blocks of the stated queries, one pair of blocks at a time.
     of_query = left.groupBy("width").agg(F.collect_set("query").alias("queries"))
     sent = right.join(of_query, "width").withColumn("query", F.explode("queries")).drop("queries")
-    pairs = sent.repartition("query", "vector").join(left, ["width", "query"])
+    # A pair is little data and much work, so it is dealt by number, not by size.
+    count = min(TASKS, max(1, left.count() * right.count()))
+    pairs = sent.join(left, ["width", "query"]).repartition(count)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
