@@ -29,9 +29,9 @@ PATTERN = (
     rf" ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
 # Words kept with their ids by a worker; beyond it the memory starts afresh.
-REMEMBERED = 200_000
-# Symbols merged together in one flat array; one longer word is an array of its own.
-FLAT = 1 << 20
+REMEMBERED = 500_000
+# Characters of the texts whose new words are merged together; one longer text is a group of its own.
+GROUP = 1 << 20
 NONE = np.iinfo(np.int64).max
 
 
@@ -63,21 +63,26 @@ class Vocabulary:
         names = "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))
         self.parts = regex.compile(f"({names})") if names else None
         self.words = regex.compile(PATTERN)
-        self.memory: dict[str, list[int]] = {}
+        self.memory: dict[str, bytes] = {}
+
+    def ranked(self, symbols: np.ndarray, word: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs that begin at these places; NONE where the word ends or the pair is unknown."""
+        here = np.minimum(at, len(symbols) - 2)
+        pair = symbols[here] * self.size + symbols[here + 1]
+        found = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        known = (self.keys[found] == pair) & (word[here] == word[here + 1]) & (here == at)
+        return np.where(known, self.ranks[found], NONE)
 
     def merge(self, symbols: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The symbols after all merges, with the number of the word each belongs to (ascending).
 
-        Words that are done leave the array, so a round costs what is still to be merged.
+        Words that are done leave the array, and only pairs that a merge touched are looked up anew.
         """
         done_symbols, done_words = [], []
+        if len(symbols) < 2 or not len(self.keys):
+            return symbols, word
+        rank = self.ranked(symbols, word, np.arange(len(symbols)))
         while len(symbols):
-            rank = np.full(len(symbols), NONE)
-            if len(symbols) > 1:
-                pair = symbols[:-1] * self.size + symbols[1:]
-                at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
-                known = (self.keys[at] == pair) & (word[:-1] == word[1:])
-                rank[:-1][known] = self.ranks[at[known]]
             first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             lengths = np.diff(np.r_[first, len(symbols)])
             lowest = np.repeat(np.minimum.reduceat(rank, first), lengths)
@@ -86,41 +91,35 @@ class Vocabulary:
                 done_symbols.append(symbols[over])
                 done_words.append(word[over])
                 symbols, word, rank, lowest = symbols[~over], word[~over], rank[~over], lowest[~over]
-            if not len(symbols):
-                break
-            hit = rank == lowest
+                if not len(symbols):
+                    break
             # In a run of touching places (one symbol repeated) every second one merges, from the left.
-            places = np.flatnonzero(hit)
+            places = np.flatnonzero(rank == lowest)
             fresh = np.r_[True, np.diff(places) != 1]
             start = np.maximum.accumulate(np.where(fresh, np.arange(len(places)), 0))
             places = places[(np.arange(len(places)) - start) % 2 == 0]
-            symbols = symbols.copy()
             symbols[places] = self.made[rank[places]]
             left = np.ones(len(symbols), dtype=bool)
             left[places + 1] = False
-            symbols, word = symbols[left], word[left]
-        if not done_words:
-            return symbols, word
+            symbols, word, rank = symbols[left], word[left], rank[left]
+            merged = places - np.arange(len(places))
+            if len(symbols) > 1:
+                touched = np.concatenate([merged, merged[merged > 0] - 1])
+                rank[touched] = self.ranked(symbols, word, touched)
+            else:
+                rank[:] = NONE
         words = np.concatenate(done_words)
         order = np.argsort(words, kind="stable")
         return np.concatenate(done_symbols)[order], words[order]
 
     def learn(self, words: list[str]) -> None:
-        """Puts the ids of new words into the memory, many in one flat array."""
-        part: list[bytes] = []
-        size, begin = 0, 0
-        for i, w in enumerate(words):
-            part.append(w.encode())
-            size += len(part[-1])
-            if size >= FLAT or i + 1 == len(words):
-                number = np.repeat(np.arange(len(part)), [len(p) for p in part])
-                ids, owner = self.merge(self.of_byte[np.frombuffer(b"".join(part), dtype=np.uint8)], number)
-                ends = np.searchsorted(owner, np.arange(1, len(part) + 1)).tolist()
-                ids, start = ids.tolist(), 0
-                for known, end in zip(words[begin : i + 1], ends, strict=True):
-                    self.memory[known] = ids[start:end]
-                    start = end
-                part, size, begin = [], 0, i + 1
+        """Puts the packed ids of new words into the memory, all of them merged in one flat array."""
+        raw = [w.encode() for w in words]
+        number = np.repeat(np.arange(len(raw)), list(map(len, raw)))
+        ids, owner = self.merge(self.of_byte[np.frombuffer(b"".join(raw), dtype=np.uint8)], number)
+        ends = (4 * np.searchsorted(owner, np.arange(1, len(raw) + 1))).tolist()
+        packed = ids.astype("<u4").tobytes()
+        self.memory.update(zip(words, (packed[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
 
     def split(self, text: str) -> list[str]:
         """Words and special tokens in the order of the text."""
@@ -131,28 +130,30 @@ class Vocabulary:
             out += [piece] if piece in self.special else self.words.findall(piece)
         return out
 
-    def encode(self, texts: list[str]) -> Iterator[list[int]]:
-        """The ids of each text, in order; texts are taken in groups of bounded size."""
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text, in order, as little-endian unsigned 32-bit integers.
+
+        Texts are taken in groups of about GROUP characters, and a group's new words are merged together.
+        """
         group: list[list[str]] = []
         size = 0
         for i, text in enumerate(texts):
             group.append(self.split(text))
             size += len(text)
-            if size >= FLAT or i + 1 == len(texts):
+            if size >= GROUP or i + 1 == len(texts):
                 if len(self.memory) > REMEMBERED:
                     self.memory.clear()
-                self.memory.update((t, [n]) for t, n in self.special.items())
-                self.learn(list({w for words in group for w in words if w not in self.memory}))
-                ids = self.memory.__getitem__
+                self.memory.update((t, n.to_bytes(4, "little")) for t, n in self.special.items())
+                new = set().union(*group).difference(self.memory)
+                if new:
+                    self.learn(list(new))
                 for words in group:
-                    out: list[int] = []
-                    for found in map(ids, words):
-                        out += found
-                    yield out
+                    yield b"".join(map(self.memory.__getitem__, words))
                 group, size = [], 0
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, packed: bytes) -> str:
         """Bytes that are no UTF-8 become the replacement character."""
+        ids = np.frombuffer(packed, dtype="<u4").tolist()
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", errors="replace")
 
 
@@ -176,10 +177,10 @@ def tokenised(df: DataFrame, vocabulary: str, text: str = "text", with_ids: bool
         vocab = built_once(key, lambda: Vocabulary(shared.value))
         for texts in batches:
             rows = []
-            for ids in vocab.encode([t or "" for t in texts]):
-                packed, back = np.array(ids, dtype="<u4").tobytes(), vocab.decode(ids)
-                row = [len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(back.encode()).hexdigest()]
-                rows.append(row + [ids, back] * with_ids)
+            for packed in vocab.encode([t or "" for t in texts]):
+                back = vocab.decode(packed)
+                row = [len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(back.encode()).hexdigest()]
+                rows.append(row + [np.frombuffer(packed, dtype="<i4"), back] * with_ids)
             yield pd.DataFrame(rows, columns=names)
 
     out = df.withColumn("_tokens", encode(F.col(text)))
