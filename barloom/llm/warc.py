@@ -193,7 +193,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
             yield framed(rows, columns)
 
     def framed(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=columns)
+        # Through objects: numbers with gaps would turn into floats on the way.
+        out = pd.DataFrame(rows, columns=columns, dtype=object)
         return out.astype({"page_id": "Int64", "refers_to": "Int64"})
 
     # Paths are few bytes, so partitions made by size would put all archives in one task.
