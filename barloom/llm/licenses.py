@@ -1,13 +1,14 @@
 """Licences named or quoted in a text, by a positional index of their rarest words.
 
-Each template is a known wording with a label. How rare its words are is counted over all texts, and
-a template is looked up by its words of highest inverse document frequency, one for every
-``WORDS_PER_LOOKUP``. A text's words that are lookups give, through the index's postings, the places
-where a template would have to begin; places named alike by several lookups are one. At each place
-the other words of the template are compared at their relative positions, and its mandatory key
-phrase must stand there in full. The part of the template's weight that was found is the score.
-
-A template that is only its key phrase is thus found at all its places: the phrase holds its lookup.
+Each template is a known wording with a label and a mandatory key phrase. How rare its words are is
+counted over all texts, and a template is looked up by the words of its key phrase that have the
+highest inverse document frequency, one for every ``WORDS_PER_LOOKUP``. A text's words that are
+lookups give, through the index's postings, the places where a template would have to begin; places
+named alike by several lookups are one. At each place the other words of the template are compared at
+their relative positions, and the key phrase must stand there in full. The part of the template's
+weight that was found is the score.
+
+No place is missed: where the key phrase stands, so do its lookups.
 Everything is an expression over one row; only the word counts are an aggregation.
 """
 
@@ -63,7 +64,8 @@ def weights(texts: DataFrame, words: str, vocabulary: list[str]) -> dict[str, fl
     counted = texts.select(F.explode(F.concat(held, F.array(F.lit("")))).alias("word")).groupBy("word").count()
     found = {r["word"]: r["count"] for r in counted.collect()}
     rows = found.get("", 0)
-    return {w: math.log((1 + rows) / (1 + found.get(w, 0))) + 1e-3 for w in vocabulary}
+    # A word that no text holds weighs as much as one that a single text holds.
+    return {w: math.log((1 + rows) / (1 + max(1, found.get(w, 0)))) + 1e-3 for w in vocabulary}
 
 
 def templates() -> list[tuple[str, list[str], int, int, bool]]:
@@ -76,10 +78,10 @@ def templates() -> list[tuple[str, list[str], int, int, bool]]:
     return out
 
 
-def lookups(words: list[str], idf: dict[str, float]) -> list[int]:
-    """Places of a template's rarest words; the first of equally rare ones."""
-    ranked = sorted(range(len(words)), key=lambda i: (-idf[words[i]], i))
-    return ranked[: -(-len(words) // WORDS_PER_LOOKUP)]
+def lookups(words: list[str], start: int, end: int, idf: dict[str, float]) -> list[int]:
+    """Places of the rarest words of a template's key phrase; the first of equally rare ones."""
+    ranked = sorted(range(start, end), key=lambda i: (-idf[words[i]], i))
+    return ranked[: -(-len(ranked) // WORDS_PER_LOOKUP)]
 
 
 def license_places(df: DataFrame, text: str = "text") -> DataFrame:
@@ -93,8 +95,8 @@ def license_places(df: DataFrame, text: str = "text") -> DataFrame:
     read = df.withColumn("_words", words_of(F.col(text)))
     idf = weights(read, "_words", vocabulary)
     postings: dict[str, list[tuple[int, int]]] = {}
-    for number, (_, words, *_) in enumerate(known):
-        for place in lookups(words, idf):
+    for number, (_, words, start, end, _) in enumerate(known):
+        for place in lookups(words, start, end, idf):
             postings.setdefault(words[place], []).append((number, place))
 
     def texts(values: list[str]) -> Column:
