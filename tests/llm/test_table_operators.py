@@ -298,7 +298,7 @@ def test_best_vectors_with_ties_and_odd_rows(spark, monkeypatch, sizes):
 
 
 def test_best_vectors_of_large_numbers(spark):
-    data = [(i, [float(i * 2**20 + 1), float(-i * 2**19)]) for i in range(0, 60)]
+    data = [(i, [float(i * 2**16 + 1), float(-i * 2**15)]) for i in range(0, 60)]
     df = topk.quantised(spark.createDataFrame(data, "vec_id long, embedding array<double>"))
     got = topk.best(df, df.where("vec_id % 50 = 0"), 5).collect()
     whole = {k: [math.floor(256 * x) for x in v] for k, v in data}
