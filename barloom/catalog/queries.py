@@ -627,19 +627,23 @@ def _audit_events(spark: SparkSession, directory: str) -> DataFrame:
         F.lit(0).cast("bigint").alias("file_size"),
         F.col("o_orderdate").alias("file_time"),
         F.lit(1).cast("bigint").alias("rows"),
+        F.concat(F.lit("file:/orders/"), F.col("o_orderkey").cast("string")).alias("uri"),
+        F.lit(None).cast("string").alias("source_id"),
         F.inline(events),
     ).select(*schemas.AUDIT.fieldNames())
 
 
 def _with_reset(spark: SparkSession, directory: str) -> DataFrame:
-    """The same log with a full load of each market at the cut day."""
+    """The same log with a full load of each market that resets the runs begun up to the cut day."""
     events = _audit_events(spark, directory)
     empty = {f.name: F.lit(None).cast(f.dataType) for f in schemas.AUDIT}
-    markets = events.select("market").distinct().withColumns(
-        {**{k: v for k, v in empty.items() if k != "market"}, "layer": F.lit(audit.LANDING),
+    earlier = events.where((F.col("event") == "start") & (F.col("event_time") <= F.lit(CUT).cast("timestamp")))
+    named = earlier.select("market", F.col("run_id").alias("source_id"))
+    resets = named.withColumns(
+        {**{k: v for k, v in empty.items() if k not in named.columns}, "layer": F.lit(audit.LANDING),
          "event": F.lit("reset"), "run_id": F.lit("none"), "event_time": F.lit(CUT).cast("timestamp")}
     )
-    return events.unionByName(markets)
+    return events.unionByName(resets)
 
 
 def _run_counts(events: DataFrame) -> DataFrame:

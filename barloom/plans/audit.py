@@ -1,7 +1,9 @@
 """Audit log: events are only ever appended, and folded into runs on read.
 
-A run has a ``start`` and a ``finish`` event per file (loads) or per market (later layers). A ``reset``
-event, written with the finish of a full load, makes earlier runs of its layer and market count no longer.
+A run has a ``start`` and a ``finish`` event per file (loads) or per market (later layers). With the finish
+come ``took`` events, one per load that the run took up, and for a full run ``reset`` events, one per
+earlier run of its layer and market, which count no longer. What is new is told by these ids alone: the
+times of events are for readers, and no decision compares them.
 """
 
 from __future__ import annotations
@@ -12,7 +14,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators.selection import newer_than
 from barloom.plans.warehouse import Warehouse
 from barloom.schemas import AUDIT
 from barloom.sinks.tables import append
@@ -48,9 +49,10 @@ def one_market(spark: SparkSession, market: str) -> DataFrame:
     return spark.createDataFrame([(market,)], "market string")
 
 
-def resets(markets: DataFrame, start: datetime) -> DataFrame:
-    """For the finish of a full run: runs of these markets that began up to its start are over."""
-    return markets.select("market", F.lit(start).cast("timestamp").alias("event_time"))
+def resets(wh: Warehouse, layer: str, markets: DataFrame) -> DataFrame:
+    """For the finish of a full run: (market, source_id) of the runs of these markets that counted until then."""
+    runs = stored_runs(wh, layer).select("market", F.col("run_id").alias("source_id")).distinct()
+    return runs.join(markets.select("market").distinct(), "market", "left_semi")
 
 
 def audit_start(
@@ -73,10 +75,12 @@ def audit_finish(
     rows: DataFrame | None = None,
     keys: list[str] | None = None,
     reset: DataFrame | None = None,
+    took: DataFrame | None = None,
 ) -> None:
     """Close a run: one finish event per start event, with row counts from ``rows`` (keys, rows).
 
-    ``reset`` (from ``resets``) names markets whose earlier runs no longer count if this one went well.
+    If the run went well, ``reset`` (from ``resets``) names the earlier runs that no longer count, and
+    ``took`` (market, load_id) the loads that it took up. All of it is one append.
     """
     started = wh.table("audit").where(
         (F.col("layer") == layer) & (F.col("event") == "start") & (F.col("run_id") == run_id)
@@ -86,7 +90,10 @@ def audit_finish(
         closing = closing.drop("rows").join(rows.select(*keys, "rows"), keys, "left").fillna({"rows": 0})
     events = _events(closing, event="finish", event_time=time, status=status)
     if reset is not None and status == OK:
-        events = events.unionByName(_events(reset, layer=layer, event="reset", run_id=run_id))
+        events = events.unionByName(_events(reset, layer=layer, event="reset", run_id=run_id, event_time=time))
+    if took is not None and status == OK:
+        named = took.select("market", F.col("load_id").alias("source_id"))
+        events = events.unionByName(_events(named, layer=layer, event="took", run_id=run_id, event_time=time))
     append(events, wh.name("audit"))
 
 
@@ -101,9 +108,9 @@ def runs_of_events(events: DataFrame) -> DataFrame:
     def when(event: str, value: Column) -> Column:
         return F.max(F.when(F.col("event") == event, value))
 
-    item = ["layer", "run_id", "market", "task", "file", "checksum", "file_size", "file_time"]
+    item = ["layer", "run_id", "market", "task", "uri", "file", "checksum", "file_size", "file_time"]
     folded = (
-        events.where(F.col("event") != "reset")
+        events.where(F.col("event").isin("start", "finish"))
         .groupBy(*item)
         .agg(
             when("start", at).alias("start_time"),
@@ -112,19 +119,14 @@ def runs_of_events(events: DataFrame) -> DataFrame:
             when("finish", F.col("status")).alias("status"),
         )
     )
-    last_reset = (
-        events.where(F.col("event") == "reset")
-        .groupBy("layer", "market")
-        .agg(F.max_by(F.struct("event_time", "run_id"), F.struct("event_time", "run_id")).alias("reset"))
-    )
-    counts = F.col("reset").isNull() | (F.col("start_time") > F.col("reset.event_time")) | (
-        F.col("run_id") == F.col("reset.run_id")
+    over = events.where(F.col("event") == "reset").select(
+        "layer", "market", F.col("source_id").alias("run_id"), F.lit(True).alias("over")
     )
     finished = F.col("finish_time").isNotNull() & (F.col("status") == OK)
     return (
-        folded.join(last_reset, ["layer", "market"], "left")
-        .withColumn("is_stored", F.coalesce(finished & counts, F.lit(False)))
-        .drop("reset")
+        folded.join(over.distinct(), ["layer", "market", "run_id"], "left")
+        .withColumn("is_stored", F.coalesce(finished, F.lit(False)) & F.col("over").isNull())
+        .drop("over")
     )
 
 
@@ -138,14 +140,12 @@ def stored_runs(wh: Warehouse, layer: str, market: str | None = None) -> DataFra
     return runs if market is None else runs.where(F.col("market") == market)
 
 
-def seen_files(wh: Warehouse, layer: str) -> DataFrame:
-    """(file, file_size, file_time, checksum) of finished loads."""
-    return stored_runs(wh, layer).select("file", "file_size", "file_time", "checksum")
-
+def seen_checksums(wh: Warehouse, layer: str, market: str | None = None) -> DataFrame:
+    """Checksums of a market's finished loads. Content counts, whatever the file is called.
 
-def seen_checksums(wh: Warehouse, layer: str) -> DataFrame:
-    """Checksums of finished loads. Content counts, whatever the file is called."""
-    return seen_files(wh, layer).select("checksum").distinct()
+    A file does not say which market it is of, so equal content of another market is another load.
+    """
+    return stored_runs(wh, layer, market).select("checksum").distinct()
 
 
 def unseen_files(manifest: DataFrame, seen: DataFrame) -> DataFrame:
@@ -176,14 +176,21 @@ def last_refresh(wh: Warehouse, market: str) -> datetime | None:
     return last_start(wh, OVERVIEW, market).agg(F.max("last_start").alias("t")).first()["t"]
 
 
+def taken(wh: Warehouse, layer: str, market: str | None = None) -> DataFrame:
+    """(market, load_id) that finished runs of a layer took up."""
+    events = wh.table("audit").where((F.col("layer") == layer) & (F.col("event") == "took"))
+    runs = stored_runs(wh, layer, market).select("market", "run_id")
+    took = events.join(runs, ["market", "run_id"], "left_semi")
+    return took.select("market", F.col("source_id").alias("load_id")).distinct()
+
+
 def new_loads(wh: Warehouse, source: str, target: str, market: str | None = None) -> DataFrame:
-    """Finished loads of the source layer that the target layer has not taken up.
+    """Finished loads of the source layer that no run of the target layer has taken up.
 
-    A load counts as new if it finished after the last target run of its market began: a load that
-    was running while the target ran is thus not lost.
+    Told by their ids: a load that was running while the target ran, or whose run time lies before
+    that of the target, is new all the same.
     """
-    loads = successful_loads(wh, source, market)
-    return newer_than(loads, last_start(wh, target, market), "finish_time", "last_start", ["market"])
+    return successful_loads(wh, source, market).join(taken(wh, target, market), ["market", "load_id"], "left_anti")
 
 
 def latest_run_per_checksum(runs: DataFrame) -> DataFrame:

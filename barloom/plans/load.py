@@ -17,7 +17,9 @@ from barloom.plans.arguments import FULL, check_mode, check_text
 from barloom.plans.warehouse import Warehouse
 from barloom.schemas import SLICE_KEY, STAGING_KEY
 from barloom.session import scratch_folder
-from barloom.sinks.tables import append, counted, drop_partitions, overwrite_slices, partitions, working_copy
+from barloom.sinks.tables import (
+    SliceSwap, append, claim, counted, drop_partitions, partitions, swap_slices, working_copy,
+)
 from barloom.sources.clean import parse_bars, rejected_bars, tag_load, valid_bars
 from barloom.sources.files import ROW_ORDER, file_key, list_files, read_bars, with_checksums
 
@@ -39,23 +41,14 @@ class LoadReport:
 NOTHING = LoadReport(None)
 
 
-def _check_clock(wh: Warehouse, market: str | None, run_ts: datetime | None) -> None:
-    """What a refresh takes up is told by time, so a load must not be given a time before the last one."""
-    if run_ts is None or market is None:
-        return
-    last = audit.last_refresh(wh, market)
-    if last is not None and run_ts <= last:
-        raise ValueError(f"run time {run_ts} is not after the last refresh of {market} at {last}")
-
-
-def pick_files(wh: Warehouse, layer: str, listed: DataFrame, mode: str, folder: str) -> DataFrame:
-    """The files a run has to read: all (full) or those with unseen content, one file per content."""
-    known = audit.audit_runs(wh, layer).where(F.col("status") == audit.OK)
-    manifest = with_checksums(listed, known.select("file", "file_size", "file_time", "checksum"))
+def pick_files(wh: Warehouse, layer: str, listed: DataFrame, mode: str, folder: str, market: str) -> DataFrame:
+    """The files a run has to read: all (full) or those whose content its market has not seen, one per content."""
+    known = audit.audit_runs(wh, layer).where((F.col("status") == audit.OK) & (F.col("market") == market))
+    manifest = with_checksums(listed, known.select("uri", "file_size", "file_time", "checksum"))
     if mode == FULL:
         picked = audit.one_per_checksum(manifest)
     else:
-        picked = audit.unseen_files(manifest, audit.seen_checksums(wh, layer))
+        picked = audit.unseen_files(manifest, audit.seen_checksums(wh, layer, market))
     return working_copy(picked, f"{folder}/manifest")
 
 
@@ -77,8 +70,8 @@ def load_landing(
     """
     check_text("market", market), check_text("task", task), check_mode(mode)
     time = audit.now(wh.spark, run_ts)
-    with scratch_folder(wh.spark, "landing") as folder:
-        files = pick_files(wh, audit.LANDING, list_files(wh.spark, directory), mode, folder)
+    with claim(wh.database, market), scratch_folder(wh.spark, "landing") as folder:
+        files = pick_files(wh, audit.LANDING, list_files(wh.spark, directory), mode, folder, market)
         paths = _paths(files)
         if not paths and mode != FULL:
             return NOTHING
@@ -93,14 +86,14 @@ def load_landing(
                 report = LoadReport(run_id, len(paths), seen.get["rows"])
                 landed = of_market(wh.table("landing"), market).where(F.col("load_id") == run_id)
                 counts = landed.groupBy(F.col("source_file").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
-            if mode == FULL:
-                old = [p for p in partitions(wh.spark, wh.name("landing"), market=market) if p["load_id"] != run_id]
-                drop_partitions(wh.spark, wh.name("landing"), old)
             status = audit.OK
         finally:
             end = audit.now(wh.spark, run_ts)
-            reset = audit.resets(audit.one_market(wh.spark, market), time) if mode == FULL else None
+            reset = audit.resets(wh, audit.LANDING, audit.one_market(wh.spark, market)) if mode == FULL else None
             audit.audit_finish(wh, audit.LANDING, run_id, end, status, counts, ["file"], reset)
+        if mode == FULL:  # rows of runs that were reset no longer count; now they can go
+            old = [p for p in partitions(wh.spark, wh.name("landing"), market=market) if p["load_id"] != run_id]
+            drop_partitions(wh.spark, wh.name("landing"), old)
         return report
 
 
@@ -111,25 +104,19 @@ def slices_to_merge(wh: Warehouse, touched: DataFrame, market: str | None) -> Da
 
 def _write_staging(
     wh: Warehouse, batch: DataFrame, mode: str, market: str | None, run_id: str, folder: str
-) -> None:
+) -> SliceSwap:
     """Merge a written batch (unique per key) into staging, touching only its (market, year) slices.
 
     Which slices those are is recorded first. The record counts only once the run is finished.
     """
-    staging = wh.name("staging")
     append(slice_counts(batch).withColumn("load_id", F.lit(run_id)), wh.name("slices"))
-    recorded = wh.table("slices").where(F.col("load_id") == run_id)
-    touched = working_copy(recorded, f"{folder}/touched")
     merged = batch
     if mode != FULL:
+        recorded = wh.table("slices").where(F.col("load_id") == run_id)
+        touched = working_copy(recorded, f"{folder}/touched")
         old = slices_to_merge(wh, touched, market)
         merged = upsert(old, batch.select(*old.columns), STAGING_KEY)
-    overwrite_slices(merged, staging, SLICE_KEY)
-    if mode == FULL:
-        now_there = {(r.market, str(r.year)) for r in touched.collect()}
-        fixed = {} if market is None else {"market": market}
-        found = partitions(wh.spark, staging, **fixed)
-        drop_partitions(wh.spark, staging, [p for p in found if (p["market"], p["year"]) not in now_there])
+    return swap_slices(merged, wh.name("staging"), SLICE_KEY)
 
 
 def _typed_batch(
@@ -166,34 +153,43 @@ def clean_to_staging(
 ) -> LoadReport:
     """Landed rows of finished loads into typed bars, newest row per (market, time).
 
-    ``incremental`` takes the landing loads that finished since the last run of the market.
+    ``incremental`` takes the finished landing loads that no run has taken up. ``full`` replaces the
+    markets that have landing loads (or the one named); bars of other markets are not its own.
     """
     check_mode(mode), check_text("task", task)
     time = audit.now(wh.spark, run_ts)
-    with scratch_folder(wh.spark, "staging") as folder:
+    with claim(wh.database, market), scratch_folder(wh.spark, "staging") as folder:
         if mode == FULL:
             loads = audit.successful_loads(wh, audit.LANDING, market)
         else:
             loads = audit.new_loads(wh, audit.LANDING, audit.STAGING, market)
         loads = working_copy(loads, f"{folder}/loads")
-        markets = loads.select("market").distinct() if market is None else audit.one_market(wh.spark, market)
-        _check_clock(wh, market, run_ts)
-        if loads.isEmpty() and mode != FULL:
+        if market is not None:
+            markets = audit.one_market(wh.spark, market)
+        else:  # those with landed rows, and those whose bars came from landing before
+            earlier = audit.taken(wh, audit.STAGING).select("market")
+            markets = loads.select("market").union(earlier).distinct()
+        markets = working_copy(markets, f"{folder}/markets")
+        if loads.isEmpty() and (mode != FULL or markets.isEmpty()):
             return NOTHING
         run_id = audit.new_run_id()
         audit.audit_start(wh, audit.STAGING, run_id, time, task, markets)
-        status, counts, report = audit.FAILED, None, NOTHING
+        status, counts, report, swap = audit.FAILED, None, NOTHING, None
         try:
             rows = landing_rows(wh, loads, market)
             batch, seen = _typed_batch(wh, rows, run_id, time, ["load_time", "load_id", *ROW_ORDER], folder)
             report = LoadReport(run_id, 0, seen["read"], seen["rejected"])
-            _write_staging(wh, batch, mode, market, run_id, folder)
+            swap = _write_staging(wh, batch, mode, market, run_id, folder)
+            for row in markets.collect() if mode == FULL else []:
+                swap.retire(market=row.market)
             counts = batch.groupBy("market").agg(F.count(F.lit(1)).alias("rows"))
+            reset = audit.resets(wh, audit.STAGING, markets) if mode == FULL else None
+            audit.audit_finish(wh, audit.STAGING, run_id, audit.now(wh.spark, run_ts), audit.OK, counts, ["market"], reset, loads)
             status = audit.OK
         finally:
-            end = audit.now(wh.spark, run_ts)
-            reset = audit.resets(markets, time) if mode == FULL else None
-            audit.audit_finish(wh, audit.STAGING, run_id, end, status, counts, ["market"], reset)
+            if status != audit.OK:
+                _failed(wh, swap, run_id, run_ts)
+        swap.clear()
         return report
 
 
@@ -216,34 +212,44 @@ def load_listed(
 ) -> LoadReport:
     """``load_staging`` for files that are listed already."""
     time = audit.now(wh.spark, run_ts)
-    _check_clock(wh, market, run_ts)
-    with scratch_folder(wh.spark, "staging") as folder:
-        files = pick_files(wh, audit.STAGING, listed, mode, folder)
+    with claim(wh.database, market), scratch_folder(wh.spark, "staging") as folder:
+        files = pick_files(wh, audit.STAGING, listed, mode, folder, market)
         paths = _paths(files)
         if not paths and mode != FULL:
             return NOTHING
         run_id = audit.new_run_id()
         audit.audit_start(wh, audit.STAGING, run_id, time, task, files, market)
-        status, counts, report = audit.FAILED, None, NOTHING
+        status, counts, report, swap = audit.FAILED, None, NOTHING, None
         try:
             if paths:
                 raw = tag_load(read_bars(wh.spark, paths), market, run_id, time)
                 batch, seen = _typed_batch(wh, raw, run_id, time, ROW_ORDER, folder)
                 report = LoadReport(run_id, len(paths), seen["read"], seen["rejected"])
-                _write_staging(wh, batch, mode, market, run_id, folder)
+                swap = _write_staging(wh, batch, mode, market, run_id, folder)
                 per_file = batch.groupBy("file_key").agg(F.count(F.lit(1)).alias("rows"))
                 names = files.select("file", file_key(F.col("file")).alias("file_key"))
                 counts = names.join(per_file, "file_key")
-            elif mode == FULL:
-                drop_partitions(wh.spark, wh.name("staging"), partitions(wh.spark, wh.name("staging"), market=market))
+            else:
+                swap = SliceSwap(wh.spark, wh.name("staging"), [], [])
+            if mode == FULL:
+                swap.retire(market=market)
+            reset = audit.resets(wh, audit.STAGING, audit.one_market(wh.spark, market)) if mode == FULL else None
+            audit.audit_finish(wh, audit.STAGING, run_id, audit.now(wh.spark, run_ts), audit.OK, counts, ["file"], reset)
             status = audit.OK
         finally:
-            end = audit.now(wh.spark, run_ts)
-            reset = audit.resets(audit.one_market(wh.spark, market), time) if mode == FULL else None
-            audit.audit_finish(wh, audit.STAGING, run_id, end, status, counts, ["file"], reset)
+            if status != audit.OK:
+                _failed(wh, swap, run_id, run_ts)
+        swap.clear()
         return report
 
 
+def _failed(wh: Warehouse, swap: SliceSwap | None, run_id: str, run_ts: datetime | None) -> None:
+    """Staging goes back to what it held before the run, and the run is closed as failed."""
+    if swap is not None:
+        swap.undo()
+    audit.audit_finish(wh, audit.STAGING, run_id, audit.now(wh.spark, run_ts), audit.FAILED)
+
+
 def landing_rejects(wh: Warehouse, market: str | None = None) -> DataFrame:
     """Landed rows that are no valid bars, with the reason."""
     return rejected_bars(parse_bars(of_market(wh.table("landing"), market), wh.price_type))

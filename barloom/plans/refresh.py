@@ -18,28 +18,30 @@ from barloom.plans.arguments import FULL, check_basis, check_mode, check_text
 from barloom.plans.warehouse import Warehouse
 from barloom.schemas import SLICE_KEY
 from barloom.session import scratch_folder
-from barloom.sinks.tables import swap_write, working_copy
+from barloom.sinks.tables import SliceSwap, claim, swap_slices, working_copy
 
 
-def changed_slices(wh: Warehouse, mode: str, market: str | None = None) -> DataFrame:
-    """(market, year, rows) touched by loads the results do not hold yet; all slices for a full refresh.
-
-    Read from the small table of touched slices, not from the bars.
-    """
+def loads_to_show(wh: Warehouse, mode: str, market: str | None = None) -> DataFrame:
+    """(market, load_id, finish_time) of the loads the results do not hold yet; all of them for a full refresh."""
     if mode == FULL:
-        loads = audit.successful_loads(wh, audit.STAGING, market)
-    else:
-        loads = audit.new_loads(wh, audit.STAGING, audit.OVERVIEW, market)
+        return audit.successful_loads(wh, audit.STAGING, market)
+    return audit.new_loads(wh, audit.STAGING, audit.OVERVIEW, market)
+
+
+def changed_slices(wh: Warehouse, loads: DataFrame) -> DataFrame:
+    """(market, year, rows) touched by the loads, from the small table of touched slices, not from the bars."""
     touched = only_keys(wh.table("slices"), loads, ["market", "load_id"])
     return touched.groupBy(*SLICE_KEY).agg(F.sum("rows").alias("rows"))
 
 
 def staged_bars(wh: Warehouse, market: str | None = None, slices: DataFrame | None = None) -> DataFrame:
-    """Bars of finished loads. Slices are table partitions, so the others are not read."""
+    """Staged bars. Slices are table partitions, so the others are not read.
+
+    A slice points to the files of a load once they are complete and points back if the load fails, so
+    no bar has to be looked up in the audit log.
+    """
     bars = of_market(wh.table("staging"), market)
-    if slices is not None:
-        bars = only_keys(bars, filled(slices), SLICE_KEY)
-    return only_keys(bars, audit.successful_loads(wh, audit.STAGING, market), ["market", "load_id"])
+    return bars if slices is None else only_keys(bars, filled(slices), SLICE_KEY)
 
 
 def refreshed_prices(
@@ -87,59 +89,65 @@ def refresh(
     check_mode(mode), check_text("task", task)
     spark = wh.spark
     time = audit.now(spark, run_ts)
-    with scratch_folder(wh.spark, "refresh") as folder:
-        changed = working_copy(changed_slices(wh, mode, market), f"{folder}/changed")
+    with claim(wh.database, market), scratch_folder(wh.spark, "refresh") as folder:
+        loads = working_copy(loads_to_show(wh, mode, market), f"{folder}/loads")
+        changed = working_copy(changed_slices(wh, loads), f"{folder}/changed")
         markets = changed.select("market").distinct() if market is None else audit.one_market(spark, market)
         if mode != FULL and changed.isEmpty():
             return False
         run_id = audit.new_run_id()
         audit.audit_start(wh, audit.OVERVIEW, run_id, time, task, markets)
+        swaps: list[SliceSwap] = []
         status = audit.FAILED
         try:
-            _rewrite(wh, mode, market, changed, markets, time, folder)
+            _rewrite(wh, mode, market, changed, markets, time, folder, swaps)
+            reset = audit.resets(wh, audit.OVERVIEW, markets) if mode == FULL else None
+            audit.audit_finish(wh, audit.OVERVIEW, run_id, audit.now(spark, run_ts), audit.OK, reset=reset, took=loads)
             status = audit.OK
         finally:
-            reset = audit.resets(markets, time) if mode == FULL else None
-            audit.audit_finish(wh, audit.OVERVIEW, run_id, audit.now(spark, run_ts), status, reset=reset)
+            if status != audit.OK:
+                for swap in reversed(swaps):
+                    swap.undo()
+                audit.audit_finish(wh, audit.OVERVIEW, run_id, audit.now(spark, run_ts), audit.FAILED)
+        for swap in swaps:
+            swap.clear()
         return True
 
 
 def _rewrite(
-    wh: Warehouse, mode: str, market: str | None, changed: DataFrame, markets: DataFrame, time: datetime, folder: str
+    wh: Warehouse, mode: str, market: str | None, changed: DataFrame, markets: DataFrame, time: datetime, folder: str,
+    swaps: list[SliceSwap],
 ) -> None:
-    """One pass over the changed bars, then three small tables."""
+    """One pass over the changed bars, then three small tables, of which only the markets concerned are written."""
     stamped = F.lit(time).cast("timestamp")
     # A full run replaces whole markets (all of them if none is named), an incremental one slices.
     keys = ["market"] if mode == FULL else SLICE_KEY
     gone = markets if mode == FULL else changed
-    everything = mode == FULL and market is None
+    near = markets.where(F.col("market").isNotNull())
 
     def stored(table: str) -> DataFrame:
         rows = wh.table(table)
-        return rows.limit(0) if everything else rows
+        return rows.limit(0) if mode == FULL else only_keys(rows, near, ["market"])
+
+    def write(rows: DataFrame, table: str) -> None:
+        swaps.append(swap_slices(rows, wh.name(table), ["market"]))
+        if mode == FULL:
+            swaps[-1].retire(**({} if market is None else {"market": market}))
 
     bars = staged_bars(wh, market, None if mode == FULL else changed)
-    swap_write(refreshed_prices(stored("prices"), bars, gone, keys), wh.name("prices"))
+    write(refreshed_prices(stored("prices"), bars, gone, keys), "prices")
 
-    prices = wh.table("prices")
+    prices = only_keys(wh.table("prices"), near, ["market"])
     reach = changed
     if wh.carry:
         reach = working_copy(refresh_reach(prices, changed, carry=True), f"{folder}/reach")
     dropped = markets if mode == FULL else reach
-    swap_write(
-        refreshed_changes(stored("changes"), prices, reach, dropped, keys, wh.carry).withColumn(
-            "updated_at", F.coalesce("updated_at", stamped)
-        ),
-        wh.name("changes"),
-    )
+    changes = refreshed_changes(stored("changes"), prices, reach, dropped, keys, wh.carry)
+    write(changes.withColumn("updated_at", F.coalesce("updated_at", stamped)), "changes")
 
     fresh = only_keys(wh.table("changes"), reach, SLICE_KEY)
-    swap_write(
-        refreshed_overview(stored("overview"), fresh, dropped, keys, wh.missing).withColumn(
-            "updated_at", F.coalesce("updated_at", stamped)
-        ),
-        wh.name("overview"),
-    )
+    wide = refreshed_overview(stored("overview"), fresh, dropped, keys, wh.missing)
+    write(wide.withColumn("updated_at", F.coalesce("updated_at", stamped)), "overview")
 
 
 def overview(wh: Warehouse, market: str | None = None, basis: str = "both") -> DataFrame:

@@ -17,7 +17,7 @@ class Warehouse:
     """Landing, staging and result tables in one database, with their audit log.
 
     ``carry`` and ``missing`` shape the stored result, so they belong to the installation and not to a
-    single run. After changing them the results need a full refresh.
+    single run.
     """
 
     spark: SparkSession
@@ -39,9 +39,9 @@ def _definitions(price_type: str) -> dict[str, tuple]:
         "landing": (schemas.landing_schema(), ["market", "load_id"]),
         "staging": (schemas.staging_schema(price_type), ["market", "year"]),
         "slices": (schemas.slices_schema(), None),
-        "prices": (schemas.prices_schema(price_type), None),
-        "changes": (schemas.changes_schema(percent), None),
-        "overview": (schemas.overview_schema(MONTH_NAMES, percent), None),
+        "prices": (schemas.prices_schema(price_type), ["market"]),
+        "changes": (schemas.changes_schema(percent), ["market"]),
+        "overview": (schemas.overview_schema(MONTH_NAMES, percent), ["market"]),
         "audit": (schemas.AUDIT, None),
     }
 
@@ -55,14 +55,19 @@ def init_tables(
     carry: bool = False,
     missing: str = "null",
 ) -> Warehouse:
-    """Create the database and its tables below ``root``, first dropping old ones if asked to."""
+    """Create the database and its tables below ``root``, first dropping old ones if asked to.
+
+    An installation keeps the options it was made with; opening it with others is an error.
+    """
     pin_session(spark)
+    options = {"price_type": price_type.replace(" ", ""), "carry": str(carry).lower(), "missing": missing}
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {sink.quote(database)} LOCATION {sink.text_literal(root)}")
     for table, (schema, by) in _definitions(price_type).items():
         full_name = f"{database}.{table}"
         if drop:
             sink.drop_table(spark, full_name)
         sink.create_table(spark, full_name, schema, f"{root}/{table}/v-0", by)
+    sink.keep_options(spark, f"{database}.overview", options)
     return Warehouse(spark, database, price_type, carry, missing)
 
 

@@ -85,7 +85,8 @@ def overview_schema(names: list[str], percent_type: str = PERCENT_TYPE) -> T.Str
 
 AUDIT = struct(
     layer="string", event="string", run_id="string", event_time="timestamp", market="string", task="string",
-    file="string", checksum="string", file_size="bigint", file_time="timestamp", rows="bigint", status="string",
+    uri="string", file="string", checksum="string", file_size="bigint", file_time="timestamp", rows="bigint",
+    status="string", source_id="string",
 )
 
 LANDING_KEY = ["market", "time"]

@@ -1,15 +1,19 @@
 """Writing tables: append, replace, slices, swaps, and table maintenance.
 
-Partitioned tables (landing, staging) change by whole partitions. Small unpartitioned tables
-(prices, changes, overview) are rewritten next to the old version and then switched over by moving the
-table's location, so a reader sees the old or the new content and a failed write leaves the old one.
+Tables partitioned by slice or market (staging, prices, changes, overview) change by whole partitions: new
+files get a folder of their own, and then the partitions are pointed to them. An unpartitioned table is
+rewritten next to the old version and then switched over by moving its location. Either way a reader
+sees the old or the new content, and a failed write leaves the old one.
 """
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -28,15 +32,19 @@ def text_literal(value: str) -> str:
     return f"'{escaped}'"
 
 
+# Two appends to one folder at a time would clear each other's unfinished files.
+_appends = threading.Lock()
+_claims: dict[tuple[str, str], threading.Lock] = defaultdict(threading.Lock)
+
+
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
+def claim(database: str, market: str | None) -> Iterator[None]:
+    """One run at a time on one market of a database; runs on different markets go side by side.
+
+    A run on all markets (None) excludes only other such runs. The claim holds within one driver.
+    """
+    with _claims[(database, market or "")]:
         yield
-    finally:
-        spark.conf.set(key, before)
 
 
 def aligned(df: DataFrame, table: str) -> DataFrame:
@@ -52,7 +60,9 @@ def counted(df: DataFrame, **measures) -> tuple[DataFrame, Observation]:
 
 
 def append(df: DataFrame, table: str) -> None:
-    aligned(df, table).write.insertInto(table)
+    rows = aligned(df, table)
+    with _appends:
+        rows.write.insertInto(table)
 
 
 def replace_all(df: DataFrame, table: str) -> None:
@@ -70,14 +80,89 @@ def rebalanced(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.sparkSession.sql(f"SELECT /*+ REBALANCE({names}) */ * FROM {{df}}", df=df)
 
 
-def overwrite_slices(df: DataFrame, table: str, keys: list[str]) -> None:
+@dataclass
+class SliceSwap:
+    """Partitions of a table that point to new folders, and where they pointed before."""
+
+    spark: SparkSession
+    table: str
+    slices: list[dict[str, str]]
+    before: list[tuple[dict[str, str], str | None]]
+
+    def undo(self) -> None:
+        """Everything points to where it did."""
+        for spec, folder in self.before:
+            if folder is None:
+                drop_partitions(self.spark, self.table, [spec])
+            else:
+                _add(self.spark, self.table, spec, folder)
+                _point(self.spark, self.table, spec, folder)
+        self.spark.catalog.refreshTable(self.table)
+
+    def retire(self, **fixed: str) -> None:
+        """Takes out the other partitions of the table, or those of them with some fixed values."""
+        others = [p for p in partitions(self.spark, self.table, **fixed) if p not in self.slices]
+        self.before += [(p, partition_location(self.spark, self.table, p)) for p in others]
+        drop_partitions(self.spark, self.table, others)
+
+    def clear(self) -> None:
+        """Removes what the partitions held before."""
+        for _, folder in self.before:
+            if folder is not None:
+                remove_path(self.spark, folder)
+
+
+def _spec(spec: dict[str, str]) -> str:
+    return ", ".join(f"`{k}`={text_literal(str(v))}" for k, v in spec.items())
+
+
+def _add(spark: SparkSession, table: str, spec: dict[str, str], folder: str) -> None:
+    spark.sql(f"ALTER TABLE {quote(table)} ADD IF NOT EXISTS PARTITION ({_spec(spec)}) LOCATION {text_literal(folder)}")
+
+
+def _point(spark: SparkSession, table: str, spec: dict[str, str], folder: str) -> None:
+    spark.sql(f"ALTER TABLE {quote(table)} PARTITION ({_spec(spec)}) SET LOCATION {text_literal(folder)}")
+
+
+def partition_location(spark: SparkSession, table: str, spec: dict[str, str]) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote(table)} PARTITION ({_spec(spec)})")
+    return rows.where("col_name = 'Location'").first()["data_type"]
+
+
+def swap_slices(df: DataFrame, table: str, keys: list[str]) -> SliceSwap:
     """Replace the table partitions that occur in ``df``; others are left alone.
 
-    ``df`` may read the same table: new files are staged aside and moved in when all tasks are done.
+    ``df`` may read the same table. New files get a folder of their own. When all of them are written,
+    the partitions are pointed to them; should that fail half-way, they are pointed back. The caller
+    keeps the old files until its run is known to be good (``clear``) or goes back to them (``undo``).
     """
     spark = df.sparkSession
-    with _dynamic_overwrite(spark):
-        rebalanced(aligned(df, table), keys).write.insertInto(table, overwrite=True)
+    folder = f"{location(spark, table).rstrip('/')}/w-{uuid.uuid4().hex}"
+    name = F.sha2(F.concat_ws("/", *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys)), 256)
+    rebalanced(aligned(df, table), keys).withColumn("_slice", name).write.partitionBy("_slice").parquet(folder)
+    files = spark.read.schema(df.sparkSession.table(table).schema.add("_slice", "string")).parquet(folder)
+    written = files.select(*keys, "_slice").distinct().collect()
+    existing = {tuple(p[k] for k in keys) for p in partitions(spark, table)}
+    swap = SliceSwap(spark, table, [{k: str(r[k]) for k in keys} for r in written], [])
+    try:
+        for spec, row in zip(swap.slices, written, strict=True):
+            target = f"{folder}/_slice={row['_slice']}"
+            if tuple(spec.values()) in existing:
+                swap.before.append((spec, partition_location(spark, table, spec)))
+                _point(spark, table, spec, target)
+            else:
+                swap.before.append((spec, None))
+                _add(spark, table, spec, target)
+    except BaseException:
+        swap.undo()
+        raise
+    spark.catalog.refreshTable(table)
+    return swap
+
+
+def overwrite_slices(df: DataFrame, table: str, keys: list[str]) -> None:
+    """``swap_slices`` for callers to whom the written slices are all that has to succeed."""
+    swap_slices(df, table, keys).clear()
 
 
 def partitions(spark: SparkSession, table: str, **fixed: str) -> list[dict[str, str]]:
@@ -93,10 +178,10 @@ def partitions(spark: SparkSession, table: str, **fixed: str) -> list[dict[str,
 
 
 def drop_partitions(spark: SparkSession, table: str, specs: list[dict[str, str]]) -> None:
-    """Delete whole table partitions; a catalog and file operation that reads no data."""
-    for spec in specs:
-        values = ", ".join(f"{k}={text_literal(str(v))}" for k, v in spec.items())
-        spark.sql(f"ALTER TABLE {quote(table)} DROP IF EXISTS PARTITION ({values})")
+    """Take whole partitions out of the table, in one statement; reads no data."""
+    if specs:
+        listed = ", ".join(f"PARTITION ({_spec(s)})" for s in specs)
+        spark.sql(f"ALTER TABLE {quote(table)} DROP IF EXISTS {listed}")
 
 
 def delete_where(spark: SparkSession, table: str, market: str, years: list[int] | None = None) -> None:
@@ -132,7 +217,8 @@ def swap_write(df: DataFrame, table: str) -> None:
 def compact(spark: SparkSession, table: str) -> None:
     """Fewer, larger files for an unpartitioned table that grew by many small appends."""
     hinted = spark.sql("SELECT /*+ REBALANCE */ * FROM {df}", df=spark.table(table))
-    swap_write(hinted, table)
+    with _appends:  # an append between the listing of the files and the switch would be lost
+        swap_write(hinted, table)
 
 
 def create_table(
@@ -145,6 +231,18 @@ def create_table(
     )
 
 
+def keep_options(spark: SparkSession, table: str, options: dict[str, str]) -> None:
+    """Options as properties of a table: set once, and refused if they differ later."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {quote(table)}").collect()
+    kept = {r["key"].removeprefix("barloom."): r["value"] for r in rows if r["key"].startswith("barloom.")}
+    wrong = [k for k, v in options.items() if k in kept and kept[k] != v]
+    if wrong:
+        raise ValueError(", ".join(f"{k} is {kept[k]}, not {options[k]}" for k in wrong))
+    new = ", ".join(f"'barloom.{k}' = {text_literal(v)}" for k, v in options.items() if k not in kept)
+    if new:
+        spark.sql(f"ALTER TABLE {quote(table)} SET TBLPROPERTIES ({new})")
+
+
 def drop_table(spark: SparkSession, table: str) -> None:
     """Remove the table and its files."""
     if spark.catalog.tableExists(table):

@@ -4,15 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.parsing import base_name
 from barloom.schemas import BAD_LINE, RAW, struct
 
-# Files up to this size are hashed as one value, which has to fit in memory of one task several times.
-WHOLE_FILE_BYTES = 512 * 1024 * 1024
-
 # The schema Spark gives to files read as whole values.
 BINARY_FILE = struct(path="string", modificationTime="timestamp", length="bigint", content="binary")
 
@@ -23,7 +20,7 @@ def literal_path(path: str) -> str:
 
 
 def list_files(spark: SparkSession, directory: str) -> DataFrame:
-    """(path, file, file_size, file_time) of the files of a directory, sub-directories left out.
+    """(uri, path, file, file_size, file_time) of the files of a directory, sub-directories left out.
 
     ``content`` is not selected, so no file is opened.
     """
@@ -32,6 +29,7 @@ def list_files(spark: SparkSession, directory: str) -> DataFrame:
 
 def described(files: DataFrame) -> DataFrame:
     return files.select(
+        F.col("_metadata.file_path").alias("uri"),
         "path",
         base_name(F.col("path")).alias("file"),
         F.col("length").alias("file_size"),
@@ -39,73 +37,72 @@ def described(files: DataFrame) -> DataFrame:
     )
 
 
-def whole_file_checksums(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """SHA-256 over the bytes, one task value per file."""
-    content = spark.read.format("binaryFile").load([literal_path(p) for p in paths])
-    return content.select(base_name(F.col("path")).alias("file"), F.sha2("content", 256).alias("checksum"))
-
+def checksums(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(uri, checksum): a fingerprint of each file's lines and their order.
 
-def line_checksums(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """SHA-256 over the multiset of lines, for files too large for one value.
-
-    Splits of a file are hashed where they lie and folded by sums, so the size of a file does not matter.
+    Every line has two hashes of 31 bits; a file is known by its line count, the sums of the hashes and
+    the sums of hash times place. A split is summed where it lies, with places counted from its first
+    line, and moved to its place in the file afterwards, so neither the size of a file nor the way it is
+    split matters, and no file is one value.
     """
     lines = spark.read.text([literal_path(p) for p in paths])
-    lines = lines.select(F.col("_metadata.file_name").alias("file"), "value")
-    first, second = F.xxhash64("value"), F.xxhash64("value", F.lit(1))
-    folded = lines.groupBy("file").agg(
+    wide = "decimal(38,0)"
+    hashes = {f"h{i}": F.shiftrightunsigned(F.xxhash64("value", F.lit(i)), 33).cast("decimal(10,0)") for i in (0, 1)}
+    lines = lines.select(
+        F.col("_metadata.file_path").alias("uri"),
+        F.col("_metadata.file_block_start").alias("block"),
+        # Rows of a task are numbered on; the low bits are the number within it.
+        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("place"),
+        *(h.alias(n) for n, h in hashes.items()),
+    )
+    split = lines.groupBy("uri", "block").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(first.cast("decimal(20,0)")).alias("a"),
-        F.sum(second.cast("decimal(20,0)")).alias("b"),
+        F.min("place").alias("first"),
+        *(F.sum(h).cast(wide).alias(f"s_{h}") for h in hashes),
+        *(F.sum(F.col(h) * F.col("place").cast("decimal(10,0)")).cast(wide).alias(f"t_{h}") for h in hashes),
     )
-    return folded.select("file", F.sha2(F.concat_ws(":", "n", "a", "b"), 256).alias("checksum"))
-
-
-def checksums(
-    spark: SparkSession, files: list[tuple[str, int]], whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """(file, checksum) of the given (path, size) pairs, all from one directory."""
-    small = [p for p, size in files if size <= whole_file_bytes]
-    large = [p for p, size in files if size > whole_file_bytes]
-    parts = []
-    if small:
-        parts.append(whole_file_checksums(spark, small))
-    if large:
-        parts.append(line_checksums(spark, large))
-    if not parts:
-        return spark.createDataFrame([], "file string, checksum string")
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-
-def with_checksums(
-    files: DataFrame, known: DataFrame | None = None, whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """Add ``checksum`` to listed files of one directory.
-
-    ``known`` (file, file_size, file_time, checksum) are files hashed before: a file of the same name,
-    size and time keeps its checksum and is not read again, so a run over a directory that only grows
-    reads just the new files. Without it every file is read.
+    before = Window.partitionBy("uri").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")
+    placed = split.withColumn("shift", shift.cast("decimal(15,0)"))
+    folded = placed.groupBy("uri").agg(
+        F.sum("n").alias("n"),
+        *(F.sum(f"s_{h}").alias(f"s_{h}") for h in hashes),
+        *(F.sum(F.expr(f"t_{h} + cast(shift * cast(s_{h} as decimal(22,0)) as {wide})")).alias(f"t_{h}") for h in hashes),
+    )
+    parts = ["n", *(f"{k}_{h}" for h in hashes for k in "st")]
+    return folded.select("uri", F.sha2(F.concat_ws(":", *(F.col(c).cast("string") for c in parts)), 256).alias("checksum"))
+
+
+def with_checksums(files: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Add ``checksum`` to listed files; a file without lines has that of none.
+
+    ``known`` (uri, file_size, file_time, checksum) are files hashed before: a file of the same full
+    path, size and time keeps its checksum and is not read again, so a run over a directory that only
+    grows reads just the new files. Without it every file is read.
 
     The list of paths passes the driver, as it does in every file scan of Spark; contents never do.
     """
     spark = files.sparkSession
-    stat = ["file", "file_size", "file_time"]
-    columns = ["path", *stat, "checksum"]
+    stat = ["uri", "file_size", "file_time"]
+    columns = ["uri", "path", "file", "file_size", "file_time", "checksum"]
     kept = None
     if known is not None:
         seen = known.groupBy(*stat).agg(F.max("checksum").alias("checksum"))
         kept = files.join(seen, stat, "inner").select(*columns)
         files = files.join(seen, stat, "left_anti")
-    pairs = [(r.path, r.file_size) for r in files.select("path", "file_size").collect()]
-    hashed = files.join(checksums(spark, pairs, whole_file_bytes), "file").select(*columns)
+    paths = [r.path for r in files.select("path").collect()]
+    none = F.sha2(F.lit("0"), 256)
+    if paths:
+        hashed = files.join(checksums(spark, paths), "uri", "left").withColumn("checksum", F.coalesce("checksum", none))
+    else:
+        hashed = files.withColumn("checksum", none)
+    hashed = hashed.select(*columns)
     return hashed if kept is None else hashed.unionByName(kept)
 
 
-def file_manifest(
-    spark: SparkSession, directory: str, known: DataFrame | None = None, whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """(path, file, file_size, file_time, checksum) of a directory."""
-    return with_checksums(list_files(spark, directory), known, whole_file_bytes)
+def file_manifest(spark: SparkSession, directory: str, known: DataFrame | None = None) -> DataFrame:
+    """(uri, path, file, file_size, file_time, checksum) of a directory."""
+    return with_checksums(list_files(spark, directory), known)
 
 
 def read_bars(spark: SparkSession, paths: str | list[str], separator: str = ";") -> DataFrame:

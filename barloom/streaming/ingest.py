@@ -29,7 +29,8 @@ def ingest_stream(
     a failure changes nothing. Late bars need no watermark: a refresh recomputes the years they fall in.
     """
     check_text("market", market), check_text("task", task)
-    reader = wh.spark.readStream.format("binaryFile").schema(BINARY_FILE)
+    # By default files a week older than the newest one seen are passed over without a word.
+    reader = wh.spark.readStream.format("binaryFile").schema(BINARY_FILE).option("maxFileAge", "36500d")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     listed = described(reader.load(directory))

@@ -7,12 +7,12 @@ from conftest import rows_of, ts
 
 
 def files(spark, *names):
-    rows = [(n, "sum-" + n, 10, ts("2020-01-01")) for n in names]
-    return spark.createDataFrame(rows, "file string, checksum string, file_size bigint, file_time timestamp")
+    rows = [("file:/in/" + n, n, "sum-" + n, 10, ts("2020-01-01")) for n in names]
+    return spark.createDataFrame(rows, "uri string, file string, checksum string, file_size bigint, file_time timestamp")
 
 
-def resets(spark, market, time):
-    return audit.resets(audit.one_market(spark, market), ts(time))
+def resets(wh, market):
+    return audit.resets(wh, audit.LANDING, audit.one_market(wh.spark, market))
 
 
 def test_start_and_finish_fold_to_runs(spark, warehouse):
@@ -52,7 +52,7 @@ def test_reset_ends_earlier_runs_of_the_market(spark, warehouse):
     for run, market, day, reset in [("r1", "A", 1, False), ("r2", "B", 1, False), ("r3", "A", 2, True)]:
         audit.audit_start(wh, audit.LANDING, run, ts(f"2030-01-0{day}"), "t", files(spark, run), market)
         audit.audit_finish(wh, audit.LANDING, run, ts(f"2030-01-0{day}"),
-                           reset=resets(spark, market, f"2030-01-0{day}") if reset else None)
+                           reset=resets(wh, market) if reset else None)
     assert rows_of(audit.successful_loads(wh, audit.LANDING), "load_id") == [("r2",), ("r3",)]
     assert rows_of(audit.successful_loads(wh, audit.LANDING, "A"), "load_id") == [("r3",)]
 
@@ -63,7 +63,7 @@ def test_a_failed_full_load_resets_nothing(spark, warehouse):
     audit.audit_finish(wh, audit.LANDING, "r1", ts("2030-01-01"))
     audit.audit_start(wh, audit.LANDING, "r2", ts("2030-01-02"), "t", files(spark, "b"), "M")
     audit.audit_finish(wh, audit.LANDING, "r2", ts("2030-01-02"), audit.FAILED,
-                       reset=resets(spark, "M", "2030-01-02"))
+                       reset=resets(wh, "M"))
     assert rows_of(audit.successful_loads(wh, audit.LANDING), "load_id") == [("r1",)]
 
 

@@ -1,11 +1,10 @@
-import hashlib
 import os
 
 from pyspark.sql import functions as F
 
 from barloom.plans.audit import one_per_checksum, unseen_files
 from barloom.sources.clean import clean_bars, parse_bars, rejected_bars, tag_load
-from barloom.sources.files import file_manifest, line_checksums, list_files, read_bars
+from barloom.sources.files import file_manifest, list_files, read_bars
 from conftest import HEADER, rows_of, ts
 
 
@@ -15,21 +14,33 @@ def test_sub_directories_are_skipped(spark, tmp_path, bar_file):
     assert rows_of(list_files(spark, str(tmp_path / "d")), "file") == [("a.csv",)]
 
 
-def test_checksum_is_sha256_of_the_bytes(spark, tmp_path, bar_file):
-    path = bar_file(tmp_path / "a b[1].csv", [("2012-01-01 00:00:00", 1, 2)])
-    expected = hashlib.sha256(path.read_bytes()).hexdigest()
-    assert rows_of(file_manifest(spark, str(tmp_path)), "file", "checksum") == [("a b[1].csv", expected)]
-
-
-def test_large_files_are_hashed_by_line(spark, tmp_path, bar_file):
-    rows = [("2012-01-01 00:00:00", 1, 2), ("2012-01-02 00:00:00", 3, 4)]
-    bar_file(tmp_path / "a.csv", rows)
-    bar_file(tmp_path / "b.csv", rows)
-    bar_file(tmp_path / "c.csv", rows[:1] * 2)
-    manifest = file_manifest(spark, str(tmp_path), whole_file_bytes=10)
-    by_file = {r.file: r.checksum for r in manifest.collect()}
-    assert by_file["a.csv"] == by_file["b.csv"] != by_file["c.csv"]
-    assert line_checksums(spark, [str(tmp_path / "a.csv")]).count() == 1
+def fingerprints(spark, folder):
+    return dict(rows_of(file_manifest(spark, str(folder)), "file", "checksum"))
+
+
+def test_checksum_is_of_lines_and_their_order(spark, tmp_path, bar_file):
+    rows = [(f"2012-01-01 00:00:{s:02d}", s, s + 1) for s in range(30)]
+    for name, content in {"a b[1].csv": rows, "b.csv": rows, "c.csv": rows[::-1], "d.csv": rows[:29],
+                          "e.csv": [*rows[:28], rows[29], rows[28]], "f.csv": [*rows, rows[0]]}.items():
+        bar_file(tmp_path / name, content)
+    found = fingerprints(spark, tmp_path)
+    assert found["a b[1].csv"] == found["b.csv"]
+    assert len(set(found.values())) == 5 and {len(v) for v in found.values()} == {64}
+
+
+def test_checksum_does_not_depend_on_splits(spark, tmp_path, bar_file):
+    bar_file(tmp_path / "a.csv", [(f"2012-01-01 00:{s // 60:02d}:{s % 60:02d}", s, s + 1) for s in range(600)])
+    whole = fingerprints(spark, tmp_path)
+    keys = {"spark.sql.files.maxPartitionBytes": "1000", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 5
+        assert fingerprints(spark, tmp_path) == whole
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_known_files_are_not_read_again(spark, tmp_path, bar_file):

@@ -2,6 +2,7 @@
 
 import os
 import random
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 import pytest
@@ -190,12 +191,113 @@ def test_a_failed_load_is_recorded_raised_and_retried(spark, warehouse, tmp_path
     assert as_text(found) == expected(spark, wh, rows)
 
 
-def test_run_time_before_the_last_refresh_is_refused(warehouse, tmp_path, bar_file):
+def test_equal_looking_files_of_other_folders_and_markets_are_loaded(spark, warehouse, tmp_path, bar_file, clock):
+    """Same name, size and time, other prices; and the same bytes for another market."""
     wh = warehouse()
-    bar_file(tmp_path / "in" / "a.csv", some_bars(1, n=5))
-    run(wh, str(tmp_path / "in"), "M", "full", through_landing=False, run_ts=ts("2030-01-01"))
-    with pytest.raises(ValueError):
-        load_staging(wh, str(tmp_path / "in"), "M", "incremental", ts("2029-01-01"))
+    rows = {"A": [("2020-01-01 00:00:00", 11.0, 12.0)], "B": [("2020-01-01 00:00:00", 13.0, 17.0)]}
+    for market, bars in rows.items():
+        path = bar_file(tmp_path / market / "2020.csv", bars)
+        os.utime(path, (1_000_000_000, 1_000_000_000))
+        run(wh, str(tmp_path / market), market, "incremental", through_landing=False, run_ts=clock())
+    run(wh, str(tmp_path / "A"), "C", "incremental", through_landing=False, run_ts=clock())
+    want = [expected(spark, wh, rows[r], m) for m, r in (("A", "A"), ("B", "B"), ("C", "A"))]
+    assert as_text(overview(wh)) == sorted(sum(want, []), key=repr)
+
+
+@pytest.mark.parametrize("through_landing", [True, False])
+def test_run_times_decide_nothing(spark, warehouse, tmp_path, bar_file, through_landing):
+    """Loads whose run time lies before that of what ran already are taken up all the same."""
+    wh = warehouse()
+    rows = some_bars(1, n=30)
+    for i, time in enumerate(["2030-01-05", "2030-01-01", "2029-01-01"]):
+        bar_file(tmp_path / "in" / f"{i}.csv", rows[10 * i : 10 * i + 10])
+        found = run(wh, str(tmp_path / "in"), "M", "incremental", through_landing=through_landing, run_ts=ts(time))
+    assert as_text(found) == expected(spark, wh, rows)
+
+
+def test_a_load_that_ends_while_a_refresh_runs_is_not_lost(spark, warehouse, tmp_path, bar_file, monkeypatch):
+    wh = warehouse()
+    rows = some_bars(3, n=20)
+    bar_file(tmp_path / "in" / "a.csv", rows[:10])
+    load_staging(wh, str(tmp_path / "in"), "M", "incremental")
+    bar_file(tmp_path / "in" / "b.csv", rows[10:])
+    finish = audit.audit_finish
+
+    def refresh_first(*args, **options):
+        with monkeypatch.context() as plain:
+            plain.setattr(audit, "audit_finish", finish)
+            refresh(wh, "incremental")  # all markets, while the load of M is about to finish
+        return finish(*args, **options)
+
+    with monkeypatch.context() as late:
+        late.setattr(audit, "audit_finish", refresh_first)
+        load_staging(wh, str(tmp_path / "in"), "M", "incremental")
+    assert refresh(wh, "incremental") is True
+    assert as_text(overview(wh)) == expected(spark, wh, rows)
+
+
+def test_markets_are_refreshed_side_by_side(spark, warehouse, tmp_path, bar_file):
+    wh = warehouse()
+    sets = {m: some_bars(i, n=12) for i, m in enumerate("ABCDE", 20)}
+    for market, rows in sets.items():
+        bar_file(tmp_path / market / "x.csv", rows)
+
+    def whole(market):
+        load_staging(wh, str(tmp_path / market), market, "incremental")
+        return refresh(wh, "incremental", market)
+
+    with ThreadPoolExecutor(5) as pool:
+        assert list(pool.map(whole, sets)) == [True] * 5
+    want = sum((expected(spark, wh, rows, m) for m, rows in sets.items()), [])
+    assert as_text(overview(wh)) == sorted(want, key=repr)
+    unique_keys(wh)
+
+
+@pytest.mark.parametrize("mode", ["incremental", "full"])
+def test_a_load_that_fails_after_its_write_changes_nothing(spark, warehouse, tmp_path, bar_file, clock, monkeypatch, mode):
+    wh = warehouse()
+    rows = some_bars(9, n=12)
+    bar_file(tmp_path / "in" / "a.csv", rows)
+    before = as_text(run(wh, str(tmp_path / "in"), "M", "incremental", through_landing=False, run_ts=clock()))
+    staged = rows_of(wh.table("staging"), "time", "open", "close", "load_id")
+    bar_file(tmp_path / "in" / "b.csv", [(rows[0][0], 1.0, 2.0), ("2025-01-01 00:00:00", 3.0, 4.0)])
+    os.remove(tmp_path / "in" / "a.csv")
+    finish = audit.audit_finish
+
+    def fails_once(wh, layer, run_id, time, status=audit.OK, *rest, **options):
+        if status == audit.OK:
+            raise OSError("lost")
+        return finish(wh, layer, run_id, time, status, *rest, **options)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(audit, "audit_finish", fails_once)
+        with pytest.raises(OSError):
+            load_staging(wh, str(tmp_path / "in"), "M", mode, clock())
+    assert rows_of(wh.table("staging"), "time", "open", "close", "load_id") == staged
+    assert refresh(wh, "incremental", "M", clock()) is False and as_text(overview(wh)) == before
+    found = run(wh, str(tmp_path / "in"), "M", "incremental", through_landing=False, run_ts=clock())
+    assert as_text(found) == expected(spark, wh, [*rows, (rows[0][0], 1.0, 2.0), ("2025-01-01 00:00:00", 3.0, 4.0)])
+
+
+def test_a_full_clean_leaves_other_markets_alone(spark, warehouse, tmp_path, bar_file, clock):
+    wh = warehouse()
+    a, b = some_bars(6, n=10), some_bars(7, n=10)
+    bar_file(tmp_path / "a" / "a.csv", a)
+    bar_file(tmp_path / "b" / "b.csv", b)
+    load_landing(wh, str(tmp_path / "a"), "A", "full", clock())
+    load_staging(wh, str(tmp_path / "b"), "B", "full", clock())
+    clean_to_staging(wh, "full", run_ts=clock())
+    clean_to_staging(wh, "full", run_ts=clock())
+    refresh(wh, "incremental", run_ts=clock())
+    assert as_text(overview(wh)) == sorted(expected(spark, wh, a, "A") + expected(spark, wh, b, "B"), key=repr)
+
+
+def test_other_options_are_refused(spark, warehouse, tmp_path):
+    wh = warehouse(carry=True)
+    for other in [dict(), dict(carry=True, missing="zero"), dict(carry=True, price_type="decimal(9,3)")]:
+        with pytest.raises(ValueError, match=" not "):
+            init_tables(spark, wh.database, str(tmp_path / wh.database), **other)
+    assert init_tables(spark, wh.database, str(tmp_path / wh.database), carry=True) == wh
 
 
 @pytest.mark.parametrize("through_landing", [True, False])
@@ -251,6 +353,17 @@ def test_stream_takes_each_file_once(spark, warehouse, tmp_path, bar_file):
     unique_keys(wh)
 
 
+def test_stream_takes_old_files(spark, warehouse, tmp_path, bar_file):
+    wh = warehouse()
+    rows = some_bars(12, n=30)
+    for i, age in enumerate([0, 8, 900]):
+        path = bar_file(tmp_path / "in" / f"{i}.csv", rows[10 * i : 10 * i + 10])
+        then = 1_700_000_000 - 86_400 * age
+        os.utime(path, (then, then))
+        ingest_stream(wh, str(tmp_path / "in"), "M", str(tmp_path / "checkpoint"), then_refresh=True)
+    assert as_text(overview(wh)) == expected(spark, wh, rows)
+
+
 def test_logs_can_be_compacted(warehouse, tmp_path, bar_file, clock):
     wh = warehouse()
     bar_file(tmp_path / "in" / "a.csv", some_bars(1, n=5))
