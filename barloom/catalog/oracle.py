@@ -24,7 +24,6 @@ LINEITEM = """
     FROM lineitem GROUP BY l_returnflag, l_shipdate"""
 
 EVENTS = "SELECT event_type AS market, ts AS time, value AS open, value AS close FROM events"
-EVENTS_NONZERO = EVENTS + " WHERE value <> 0"
 
 OLD = ORDERS.replace("FROM orders", "FROM orders WHERE o_orderstatus = 'F'")
 NEW = ORDERS.replace("FROM orders", "FROM orders WHERE o_orderstatus <> 'F'")
@@ -144,6 +143,8 @@ RAW_LINES = f"""
            TRY_CAST(replace({_comma('l_extendedprice')}, ',', '.') AS DECIMAL(7,3)) AS close
     FROM lineitem"""
 
+WIDE_LINES = RAW_LINES.replace("DECIMAL(7,3)", "DECIMAL(12,3)")
+
 VALID = "open IS NOT NULL AND open <> 0 AND close IS NOT NULL AND close <> 0"
 REASON = "CASE WHEN open IS NULL OR open = 0 THEN 'open' WHEN close IS NULL OR close = 0 THEN 'close' END"
 
@@ -206,13 +207,13 @@ ORACLE: dict[str, str] = {
     "change_both_bases_lineitem": _rounded_changes(LINEITEM),
     "change_exact_decimal": _rounded_changes(ORDERS),
     "change_zero_reference": _rounded_changes(COARSE),
-    "daily_change_events": _rounded_changes(EVENTS_NONZERO, carry=True, grain="day"),
+    "daily_change_events": _rounded_changes(EVENTS, carry=True, grain="day"),
     "month_pivot": _rounded_pivot(),
     "month_pivot_zero_missing": _rounded_pivot("zero"),
     "yearly_average_row": YEARLY_AVERAGE,
     "monthly_overview_orders": _overview(ORDERS),
     "monthly_overview_lineitem": _overview(LINEITEM),
-    "monthly_overview_events": _overview(EVENTS_NONZERO),
+    "monthly_overview_events": _overview(EVENTS),
     "monthly_overview_carry": _overview(ORDERS, carry=True),
     "monthly_overview_zero_missing": _overview(ORDERS, missing="zero"),
     "monthly_overview_decimal": _overview(ORDERS),
@@ -221,7 +222,7 @@ ORACLE: dict[str, str] = {
     "overview_total_rows": f"SELECT * FROM ({_overview(ORDERS)}) WHERE year = 'total'",
     "weekday_overview_orders": _overview(ORDERS, grain="day"),
     "weekday_overview_mean": _overview(ORDERS, carry=True, grain="day", cell="avg"),
-    "weekday_overview_events": _overview(EVENTS_NONZERO, grain="day"),
+    "weekday_overview_events": _overview(EVENTS, grain="day"),
     "bars_latest_wins": """
         SELECT o_orderpriority AS market, o_orderdate AS time, max(o_orderkey) AS seq,
                round(arg_max(o_totalprice, o_orderkey), 6) AS open,
@@ -247,7 +248,7 @@ ORACLE: dict[str, str] = {
         SELECT market, year FROM marked WHERE hit OR coalesce(hit_before, FALSE)""",
     "refresh_changed_years": _overview(ORDERS),
     "refresh_changed_years_carried": _overview(ORDERS, carry=True),
-    "clean_decimal_comma": f"SELECT market, time, {_r('open')}, {_r('close')} FROM ({RAW_LINES}) WHERE {VALID}",
+    "clean_decimal_comma": f"SELECT market, time, {_r('open')}, {_r('close')} FROM ({WIDE_LINES}) WHERE {VALID}",
     "rejected_prices": f"""
         SELECT market, {REASON} AS reject_reason, count(*) AS n FROM ({RAW_LINES})
         WHERE NOT coalesce({VALID}, FALSE) GROUP BY ALL""",
@@ -277,7 +278,22 @@ ORACLE: dict[str, str] = {
         WHERE checksum NOT IN (
             SELECT checksum FROM docs WHERE doc_id IN (SELECT doc_id FROM labels)
         ) GROUP BY checksum""",
-    "files_written_twice": "SELECT 2 AS files, 1 AS sizes, count(*) > 0 AS some FROM orders",
+    "files_of_equal_content": f"""
+        SELECT CAST(year(time) * 100 + month(time) AS INTEGER) AS period, min(close) >= 3000 AS same
+        FROM ({ONE_MARKET}) GROUP BY ALL""",
+    "quoted_fields": """
+        SELECT CAST(event_id AS VARCHAR) AS event_id, 'a;' || props AS props, CAST(NULL AS VARCHAR) AS bad_line FROM events""",
+    "short_and_long_rows": """
+        SELECT CASE WHEN l_linenumber % 3 <> 1 THEN 'field count' WHEN l_quantity = 0 THEN 'open' END AS reject_reason,
+               count(*) AS n
+        FROM lineitem GROUP BY ALL""",
+    "bars_exported": _bars(ORDERS),
+    "tables_of_markets": f"SELECT 'm' || left(market, 1) AS table, count(*) AS rows FROM ({ORDERS}) GROUP BY market",
+    "markets_with_high_prices": f"SELECT market, bool_or(close > 499950) AS any_high FROM ({ORDERS}) GROUP BY market",
+    "overview_first_rows": f"SELECT * FROM ({_overview(ORDERS)}) ORDER BY market, basis, year LIMIT 10",
+    "refused_modes": f"""
+        SELECT DISTINCT market AS value, TRUE AS refused FROM ({ORDERS})
+        UNION ALL SELECT unnest(['full', 'incremental']), FALSE""",
     "table_append": _bars(f"{OLD} UNION ALL {NEW}"),
     "table_replace_all": _bars(NEW),
     "table_swap_upsert": _bars(UPSERTED),
@@ -291,17 +307,19 @@ ORACLE: dict[str, str] = {
         SELECT l_returnflag, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS line_sum
         FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
         GROUP BY l_returnflag""",
-    "load_counts": "SELECT CAST(l_orderkey AS VARCHAR) AS run_id, count(*) AS rows FROM lineitem GROUP BY l_orderkey",
+    "load_counts": f"""
+        SELECT count(*) AS rows, count(*) FILTER (WHERE NOT coalesce({VALID}, FALSE)) AS rejected FROM ({RAW_LINES})""",
     "last_refresh_per_market": f"""
         SELECT market, max(start_time) AS last_start FROM ({RUNS_AFTER_RESET}) WHERE is_stored GROUP BY market""",
     "latest_audit_row": f"""
-        SELECT checksum, arg_max(run_id, row(start_time, CAST(run_id AS BIGINT))) AS run_id,
-               max(start_time) AS start_time, arg_max(market, row(start_time, CAST(run_id AS BIGINT))) AS market
+        SELECT checksum, arg_max(run_id, row(start_time, run_id)) AS run_id,
+               'order-' || arg_max(run_id, row(start_time, run_id)) AS file,
+               max(start_time) AS start_time, max(start_time) + INTERVAL 1 DAY AS finish_time
         FROM ({RUNS}) WHERE is_stored GROUP BY checksum""",
     "loads_since_refresh": f"""
         SELECT r.market, r.run_id, r.finish_time
         FROM ({RUNS}) r LEFT JOIN ({MARKS}) m ON r.market = m.market
-        WHERE r.is_stored AND r.finish_time > coalesce(m.mark, TIMESTAMP '1970-01-01')""",
+        WHERE r.is_stored AND r.start_time > coalesce(m.mark, TIMESTAMP '1970-01-01')""",
     "load_and_refresh": _FULL_RUN,
     "load_and_refresh_incremental": _FULL_RUN,
     "load_staging_incremental_carry": _overview(ONE_MARKET, carry=True),
@@ -314,6 +332,21 @@ ORACLE: dict[str, str] = {
         )
         SELECT market, coalesce({REASON}, 'none') AS reject_reason, count(*) AS n FROM typed GROUP BY ALL""",
     "stream_then_refresh": _FULL_RUN,
+    "lineitem_files_to_staging": """
+        WITH last AS (
+            SELECT l_returnflag AS market, l_shipdate AS time, arg_max(l_extendedprice, row(l_orderkey, l_linenumber)) AS price
+            FROM lineitem GROUP BY ALL
+        )
+        SELECT market, time, round(price, 6) AS open, round(price, 6) AS close FROM last""",
+    "equal_looking_files": f"""
+        SELECT market, time, round(open + more, 6) AS open, round(close + more, 6) AS close
+        FROM ({ONE_MARKET.replace(f"'{MARKET}' AS market, ", "")}),
+             (VALUES ('A', 0.0), ('B', 1.0), ('C', 0.0)) AS markets(market, more)""",
+    "markets_refreshed_at_once": _overview(ORDERS),
+    "run_times_out_of_order": _FULL_RUN,
+    "full_clean_of_one_route": f"""
+        SELECT market, time, round(open, 6) AS open, round(close, 6) AS close
+        FROM ({ONE_MARKET.replace(f"'{MARKET}' AS market, ", "")}), (VALUES ('A'), ('B')) AS markets(market)""",
     "load_row_counts": f"""
         SELECT market, CASE WHEN time < TIMESTAMP '{CUT}' THEN TIMESTAMP '2002-01-01'
                             ELSE TIMESTAMP '2002-01-02' END AS start_time, count(*) AS rows

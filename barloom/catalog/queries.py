@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,10 +20,11 @@ from barloom.operators.changes import as_double_prices, changes_of_prices, daily
 from barloom.operators.merge import except_keys, latest_wins, only_keys, upsert
 from barloom.operators.periods import period_open_close, with_previous_close
 from barloom.operators.pivots import (
-    average_row, monthly_overview, overview_of_changes, pivot_months, weekday_overview,
+    average_row, display_order, monthly_overview, overview_of_changes, pivot_months, weekday_overview,
 )
-from barloom.operators.selection import newer_than, refresh_reach, slices_of, total_rows, yearly_rows
+from barloom.operators.selection import any_row, newer_than, refresh_reach, slices_of, total_rows, yearly_rows
 from barloom.plans import audit
+from barloom.plans.arguments import check_mode
 from barloom.plans.load import clean_to_staging, landing_rejects, load_landing, load_staging
 from barloom.plans.refresh import overview, refresh, refreshed_changes, refreshed_overview, refreshed_prices
 from barloom.plans.run import run
@@ -32,7 +34,7 @@ from barloom.sinks import exports, tables as sink
 from barloom.sources.adapters import events_bars, lineitem_bars, order_ticks, orders_bars, sample_table
 from barloom.sources.clean import clean_bars, parse_bars, rejected_bars, tag_load, valid_bars
 from barloom.sources.files import file_manifest, read_bars
-from barloom.sources.tables import literal_rows, table_or_empty
+from barloom.sources.tables import literal_rows, read_table, table_or_empty
 from barloom.streaming.ingest import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -191,7 +193,7 @@ def change_zero_reference(spark, directory):
 
 @query
 def daily_change_events(spark, directory):
-    bars = _events(spark, directory).where(F.col("open") != 0)
+    bars = _events(spark, directory)
     return rounded(daily_changes(bars, carry=True, as_double=True), "pct")
 
 
@@ -229,7 +231,7 @@ def monthly_overview_lineitem(spark, directory):
 
 @query
 def monthly_overview_events(spark, directory):
-    return month_table(monthly_overview(_events(spark, directory).where(F.col("open") != 0), as_double=True))
+    return month_table(monthly_overview(_events(spark, directory), as_double=True))
 
 
 @query
@@ -278,7 +280,7 @@ def weekday_overview_mean(spark, directory):
 
 @query
 def weekday_overview_events(spark, directory):
-    bars = _events(spark, directory).where(F.col("open") != 0)
+    bars = _events(spark, directory)
     return weekday_table(weekday_overview(bars, as_double=True))
 
 
@@ -391,8 +393,8 @@ def _raw_lines(spark: SparkSession, directory: str) -> DataFrame:
 
 @query
 def clean_decimal_comma(spark, directory):
-    """Comma numbers to decimals; prices that do not fit the type are no valid bars."""
-    rows = clean_bars(_raw_lines(spark, directory)).select("market", "time", "open", "close")
+    """Comma numbers to decimals."""
+    rows = clean_bars(_raw_lines(spark, directory), ORDER_PRICE).select("market", "time", "open", "close")
     return rounded(rows, "open", "close")
 
 
@@ -517,16 +519,108 @@ def files_not_loaded(spark, directory):
 
 
 @query
-def files_written_twice(spark, directory):
-    """The same bars written to a folder twice: every content has two files of one size."""
-    bars = _orders(spark, directory)
-    path = scratch_path(spark, "twice")
-    for _ in range(2):
-        _bar_files(spark, bars.repartition(4, "market", "time").sortWithinPartitions("market", "time"), "append", path)
-    per_content = file_manifest(spark, path).groupBy("checksum").agg(
-        F.count(F.lit(1)).alias("files"), F.countDistinct("file_size").alias("sizes")
+def files_of_equal_content(spark, directory):
+    """Bars of each month as two files, one without low prices: equal checksums where there were none."""
+    bars = _one_market(spark, directory).withColumn("period", F.year("time") * 100 + F.month("time"))
+    manifests = []
+    for rows in (bars, bars.where(F.col("close") >= 3000)):
+        path = scratch_path(spark, "months")
+        one_file = rows.repartition("period").sortWithinPartitions("period", "time")
+        exports.export_by_key(one_file.select("time", "open", "close", "period"), path, ["period"])
+        period = F.regexp_extract("uri", "period=([0-9]+)", 1).cast("int").alias("period")
+        manifests.append(file_manifest(spark, f"{path}/*").select(period, "checksum"))
+    both = manifests[0].join(manifests[1].withColumnRenamed("checksum", "other"), "period", "left")
+    return both.select("period", F.coalesce(F.col("checksum") == F.col("other"), F.lit(False)).alias("same"))
+
+
+@query
+def quoted_fields(spark, directory):
+    """Event properties, with quotes and separators in them, as a field of a bar file."""
+    events = sample_table(spark, directory, "events")
+    path = scratch_path(spark, "quoted")
+    rows = events.select(
+        F.col("event_id").cast("string").alias("time"), F.concat(F.lit("a;"), "props").alias("open"),
+        *(F.lit("1").alias(c) for c in ("high", "low", "close", "volume")),
     )
-    return per_content.groupBy("files", "sizes").agg((F.count(F.lit(1)) > 0).alias("some"))
+    exports.export_csv(rows, path)
+    return read_bars(spark, path).select(F.col("time").alias("event_id"), F.col("open").alias("props"), "bad_line")
+
+
+@query
+def short_and_long_rows(spark, directory):
+    """Line items as rows of five, six and seven fields."""
+    number = F.col("l_linenumber") % 3
+    items = sample_table(spark, directory, "lineitem").select(
+        time_text(F.col("l_shipdate")).alias("time"), comma_text(F.col("l_quantity").cast("decimal(12,3)")).alias("price"),
+        F.when(number == 0, 3).when(number == 1, 4).otherwise(5).alias("more"),
+    )
+    text = F.concat_ws(";", "time", "price", F.array_join(F.array_repeat("price", F.col("more")), ";"))
+    # A file written under this header begins with it, and its lines need no quotes.
+    path = scratch_path(spark, "lines")
+    named = items.select(text.alias(";".join(schemas.RAW_COLUMNS)))
+    named.write.option("sep", "|").option("header", True).option("quote", "").csv(path)
+    parsed = parse_bars(tag_load(read_bars(spark, path), MARKET, "load", _TIME), ORDER_PRICE)
+    return parsed.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def bars_exported(spark, directory):
+    """Bars as one text export, read back."""
+    path = scratch_path(spark, "export")
+    exports.export_csv(_orders(spark, directory).select("market", "time", "open", "close"), path)
+    schema = "market string, time timestamp, open double, close double"
+    return rounded(spark.read.schema(schema).option("sep", ";").option("header", True).csv(path), "open", "close")
+
+
+@query
+def tables_of_markets(spark, directory):
+    """A database with a table for each market, as the catalog lists it, with the rows of each."""
+    orders = _orders(spark, directory)
+    name = f"barloom_{uuid.uuid4().hex}"
+    root = scratch_path(spark, name)
+    spark.sql(f"CREATE DATABASE {name} LOCATION {sink.text_literal(root)}")
+    markets = [r["market"] for r in orders.select("market").distinct().collect()]
+    for market in markets:
+        table = f"{name}.m{market[0]}"
+        rows = orders.where(F.col("market") == market).select("time", "close")
+        sink.create_table(spark, table, rows.schema, f"{root}/m{market[0]}/v-0")
+        sink.append(rows, table)
+    found = [(t, read_table(spark, f"{name}.{t}").count()) for t in sink.tables(spark, name)]
+    assert name in sink.databases(spark)
+    return literal_rows(spark, found, schemas.struct(table="string", rows="bigint"))
+
+
+@query
+def markets_with_high_prices(spark, directory):
+    """Whether a market has any price above a mark: the test stops at the first row found."""
+    orders = _orders(spark, directory)
+    markets = [r["market"] for r in orders.select("market").distinct().collect()]
+    high = F.col("close") > 499950
+    rows = [(m, any_row(orders.where(F.col("market") == m), high)) for m in markets]
+    return spark.createDataFrame(rows, "market string, any_high boolean")
+
+
+@query
+def overview_first_rows(spark, directory):
+    """The first ten rows as the table is shown."""
+    shown = display_order(monthly_overview(_orders(spark, directory), as_double=True))
+    return month_table(shown.limit(10))
+
+
+@query
+def refused_modes(spark, directory):
+    """Market names in the place of a run mode are refused."""
+    names = [r["market"] for r in _orders(spark, directory).select("market").distinct().collect()]
+
+    def refused(value: str) -> bool:
+        try:
+            check_mode(value)
+        except ValueError:
+            return True
+        return False
+
+    rows = [(n, refused(n)) for n in [*names, "full", "incremental"]]
+    return spark.createDataFrame(rows, "value string, refused boolean")
 
 
 def _warehouse(spark: SparkSession, **options) -> Warehouse:
@@ -664,12 +758,19 @@ def audit_runs_after_reset(spark, directory):
     return _run_counts(_with_reset(spark, directory))
 
 
+def _logged(spark: SparkSession, events: DataFrame) -> Warehouse:
+    """A warehouse with these events in its audit log."""
+    wh = _warehouse(spark)
+    sink.append(events, wh.name("audit"))
+    return wh
+
+
 @query
 def rows_of_successful_loads(spark, directory):
     """Line items of finished loads, counted per load and return flag."""
-    runs = audit.runs_of_events(_audit_events(spark, directory)).where(F.col("is_stored"))
-    lines = sample_table(spark, directory, "lineitem").withColumn("run_id", F.col("l_orderkey").cast("string"))
-    kept = only_keys(lines, runs, ["run_id"])
+    wh = _logged(spark, _audit_events(spark, directory))
+    lines = sample_table(spark, directory, "lineitem").withColumn("load_id", F.col("l_orderkey").cast("string"))
+    kept = only_keys(lines, audit.successful_loads(wh, audit.LANDING), ["load_id"])
     return kept.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("l_linenumber").cast("bigint")).alias("line_sum")
     )
@@ -677,32 +778,47 @@ def rows_of_successful_loads(spark, directory):
 
 @query
 def load_counts(spark, directory):
-    """Row count per load."""
-    lines = sample_table(spark, directory, "lineitem")
-    return lines.groupBy(F.col("l_orderkey").cast("string").alias("run_id")).agg(F.count(F.lit(1)).alias("rows"))
+    """Rows read and rejected, counted while they pass by."""
+    rejected = F.count_if(F.col("reject_reason").isNotNull())
+    rows, seen = sink.counted(parse_bars(_raw_lines(spark, directory)), rows=F.count(F.lit(1)), rejected=rejected)
+    rows.write.format("noop").mode("overwrite").save()
+    counts = seen.get
+    return literal_rows(spark, [(counts["rows"], counts["rejected"])], schemas.struct(rows="bigint", rejected="bigint"))
 
 
 @query
 def last_refresh_per_market(spark, directory):
-    runs = audit.runs_of_events(_with_reset(spark, directory)).where(F.col("is_stored"))
-    return runs.groupBy("market").agg(F.max("start_time").alias("last_start"))
+    return audit.last_start(_logged(spark, _with_reset(spark, directory)), audit.LANDING)
 
 
 @query
 def latest_audit_row(spark, directory):
-    """Newest finished run per content; the run number breaks ties."""
-    runs = audit.runs_of_events(_audit_events(spark, directory)).where(F.col("is_stored"))
-    rows = runs.select("checksum", "start_time", F.col("run_id").cast("bigint").alias("run_no"), "market")
-    newest = latest_wins(rows, ["checksum"], ["start_time", "run_no"])
-    return newest.select("checksum", F.col("run_no").cast("string").alias("run_id"), "start_time", "market")
+    """Newest finished run per content; the run id breaks ties."""
+    wh = _logged(spark, _audit_events(spark, directory))
+    newest = audit.latest_run_per_checksum(audit.stored_runs(wh, audit.LANDING))
+    return newest.select("checksum", "run_id", "file", "start_time", "finish_time")
 
 
 @query
 def loads_since_refresh(spark, directory):
-    """Loads that finished after the mark of their market."""
-    runs = audit.runs_of_events(_audit_events(spark, directory)).where(F.col("is_stored"))
-    fresh = newer_than(runs, _marks(spark, directory), "finish_time", "mark", ["market"])
-    return fresh.select("market", "run_id", "finish_time")
+    """Loads that no run of the next layer has taken up; one run of each market took those up to its mark."""
+    events = _audit_events(spark, directory)
+    marks = _marks(spark, directory).select("market", "mark")
+    empty = {f.name: F.lit(None).cast(f.dataType) for f in schemas.AUDIT}
+
+    def next_layer(rows: DataFrame, event: str, **more) -> DataFrame:
+        fixed = {"layer": F.lit(audit.STAGING), "event": F.lit(event), "run_id": F.lit("next"),
+                 "event_time": F.lit(CUT).cast("timestamp"), **more}
+        out = rows.withColumns({**{k: v for k, v in empty.items() if k not in rows.columns}, **fixed})
+        return out.select(*schemas.AUDIT.fieldNames())
+
+    loads = events.where(F.col("event") == "start").join(marks, "market").where(F.col("event_time") <= F.col("mark"))
+    took = next_layer(loads.select("market", F.col("run_id").alias("source_id")), "took")
+    markets = marks.select("market")
+    log = events.unionByName(took).unionByName(next_layer(markets, "start"))
+    wh = _logged(spark, log.unionByName(next_layer(markets, "finish", status=F.lit(audit.OK))))
+    fresh = audit.new_loads(wh, audit.LANDING, audit.STAGING)
+    return fresh.select("market", F.col("load_id").alias("run_id"), "finish_time")
 
 
 # ---- whole runs --------------------------------------------------------------------------------
@@ -787,3 +903,72 @@ def load_row_counts(spark, directory):
     load_landing(wh, path, MARKET, "incremental", _LATER)
     runs = audit.stored_runs(wh, audit.LANDING, MARKET)
     return runs.groupBy("market", "start_time").agg(F.sum("rows").alias("rows"))
+
+
+@query
+def lineitem_files_to_staging(spark, directory):
+    """All line items as one file for each market, in order, to staging: of equal times the last line wins."""
+    wh = _warehouse(spark)
+    lines = sample_table(spark, directory, "lineitem")
+    price = F.col("l_extendedprice")
+    bars = lines.select(
+        F.col("l_shipdate").alias("time"), price.alias("open"), price.alias("close"),
+        F.col("l_returnflag").alias("market"), "l_orderkey", "l_linenumber",
+    )
+    for market in [r["market"] for r in bars.select("market").distinct().collect()]:
+        own = bars.where(F.col("market") == market).coalesce(1)
+        load_staging(wh, _bar_files(spark, own.sortWithinPartitions("l_orderkey", "l_linenumber")), market, "full")
+    return rounded(wh.table("staging").select("market", "time", "open", "close"), "open", "close")
+
+
+@query
+def equal_looking_files(spark, directory):
+    """Files of one name and time in two folders, for two markets; and one folder's for a third market."""
+    wh = _warehouse(spark)
+    bars = _one_market(spark, directory)
+    first = _bar_files(spark, bars.coalesce(1))
+    second = _bar_files(spark, bars.withColumns({c: F.col(c) + 1 for c in ("open", "close")}).coalesce(1))
+    for market, path in (("A", first), ("B", second), ("C", first)):
+        load_staging(wh, path, market, "incremental", _TIME)
+    return rounded(wh.table("staging").select("market", "time", "open", "close"), "open", "close")
+
+
+@query
+def markets_refreshed_at_once(spark, directory):
+    """Every market loaded and refreshed by a thread of its own."""
+    wh = _warehouse(spark)
+    bars = _orders(spark, directory)
+    markets = [r["market"] for r in bars.select("market").distinct().collect()]
+
+    def whole(market: str) -> bool:
+        path = _bar_files(spark, bars.where(F.col("market") == market))
+        load_staging(wh, path, market, "incremental")
+        return refresh(wh, "incremental", market)
+
+    with ThreadPoolExecutor(len(markets)) as pool:
+        list(pool.map(whole, markets))
+    return month_table(overview(wh))
+
+
+@query
+def run_times_out_of_order(spark, directory):
+    """A landing run whose time lies before the last staging run is taken up all the same."""
+    wh = _warehouse(spark)
+    bars = _one_market(spark, directory)
+    path = _bar_files(spark, _before_cut(bars))
+    run(wh, path, MARKET, "incremental", run_ts=_LATER)
+    _bar_files(spark, _from_cut(bars), "append", path)
+    return month_table(run(wh, path, MARKET, "incremental", run_ts=_TIME))
+
+
+@query
+def full_clean_of_one_route(spark, directory):
+    """A market that came straight to staging outlives a full clean of the landed ones."""
+    wh = _warehouse(spark)
+    bars = _one_market(spark, directory)
+    path = _bar_files(spark, bars)
+    load_landing(wh, path, "A", "full", _TIME)
+    load_staging(wh, path, "B", "full", _TIME)
+    for _ in range(2):
+        clean_to_staging(wh, "full", run_ts=_LATER)
+    return rounded(wh.table("staging").select("market", "time", "open", "close"), "open", "close")

@@ -37,6 +37,7 @@ HEADLINE = [
     "table_replace_slices",
     "load_and_refresh",
     "load_and_refresh_incremental",
+    "lineitem_files_to_staging",
 ]
 REPEATS = 3
 

@@ -15,11 +15,6 @@ TABLES = (
     "conversations"
 ).split()
 DIRECTORY = os.environ.get("BARLOOM_SAMPLE", "/root/testdata/sf0.001")
-# Whole runs have tests of their own; BARLOOM_ALL=1 checks them here too.
-WHOLE_RUNS = {
-    "load_and_refresh", "load_and_refresh_incremental", "load_staging_incremental_carry",
-    "staged_bars_upserted", "landed_rejects", "stream_then_refresh", "load_row_counts",
-}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DIRECTORY), reason="no sample tables")
 
@@ -44,12 +39,7 @@ def ordered(names, rows):
     return sorted(tuple(plain(row[i]) for i in order) for row in rows)
 
 
-def chosen():
-    every = os.environ.get("BARLOOM_ALL") == "1"
-    return [n for n in QUERIES if every or n not in WHOLE_RUNS]
-
-
-@pytest.mark.parametrize("name", chosen())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, duck, name):
     df = contract.queries()[name](spark, DIRECTORY)
     answer = duck.execute(contract.oracle_sql()[name])
