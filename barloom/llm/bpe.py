@@ -183,7 +183,7 @@ def tokenised(df: DataFrame, vocabulary: str, text: str = "text", with_ids: bool
                 rows.append(row + [np.frombuffer(packed, dtype="<i4"), back] * with_ids)
             yield pd.DataFrame(rows, columns=names)
 
-    out = df.withColumn("_tokens", encode(F.col(text)))
+    out = df.withColumn("_llm_tokens", encode(F.col(text)))
     for name in names:
-        out = out.withColumn(name, F.col("_tokens")[name])
-    return out.drop("_tokens")
+        out = out.withColumn(name, F.col("_llm_tokens")[name])
+    return out.drop("_llm_tokens")

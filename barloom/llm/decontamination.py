@@ -134,20 +134,21 @@ def scanned(
     item_text: str = "text",
     window: int = WINDOW,
     block_words: int = BLOCK_WORDS,
+    into: str = "found",
 ) -> DataFrame:
-    """Adds ``found``: words, word spans (starts, ends), items, character spans (begin, stop).
+    """Adds a column, ``found`` if not named otherwise: words, word spans (starts, ends), items, character spans (begin, stop).
 
     A null or empty text has no words and no hits. Items without words, or null, have no windows; an
     item with a null id marks words but is not listed. Repeated items and repeated rows change
-    nothing. An empty table of items finds nothing. A column named ``found`` is replaced.
+    nothing. An empty table of items finds nothing. A column of that name is replaced.
     """
     out = None
     for block in blocks(items, item, item_text, block_words):
         if out is None:
-            out = df.withColumn("found", scanner(df, block, window)(F.col(text)))
+            out = df.withColumn(into, scanner(df, block, window)(F.col(text)))
         else:
-            out = keep(out.withColumn("_more", scanner(df, block, window)(F.col(text))), "scanned")
-            out = out.withColumn("found", merged(F.col("found"), F.col("_more"))).drop("_more")
+            out = keep(out.withColumn("_llm_more", scanner(df, block, window)(F.col(text))), "scanned")
+            out = out.withColumn(into, merged(F.col(into), F.col("_llm_more"))).drop("_llm_more")
     return out
 
 
@@ -165,18 +166,18 @@ def covered(found: Column) -> Column:
 
 def contaminated(df: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """Adds n_words, n_hit, hit_items array<string>, hit_spans array<struct<begin, stop>>, contaminated."""
-    out = scanned(df, items, text, **options)
-    found = F.col("found")
+    out = scanned(df, items, text, **options, into="_llm_found")
+    found = F.col("_llm_found")
     out = out.withColumn("n_words", found["words"]).withColumn("n_hit", covered(found))
     out = out.withColumn("hit_items", found["items"])
     out = out.withColumn("hit_spans", F.arrays_zip(found["begin"].alias("begin"), found["stop"].alias("stop")))
-    return out.withColumn("contaminated", F.col("n_hit") > 0).drop("found")
+    return out.withColumn("contaminated", F.col("n_hit") > 0).drop("_llm_found")
 
 
 def clean(df: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """The rows without a hit, with the columns they came with."""
-    out = scanned(df, items, text)
-    return out.where(F.size(F.col("found")["starts"]) == 0).select(*df.columns)
+    out = scanned(df, items, text, into="_llm_found")
+    return out.where(F.size(F.col("_llm_found")["starts"]) == 0).drop("_llm_found")
 
 
 def items_digest(items: Column) -> Column:

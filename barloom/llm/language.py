@@ -126,13 +126,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample: int
     return Model(languages, np.concatenate(centroids).astype(np.float32), np.array(floors), weights)
 
 
-def predicted(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Adds lang_pred, score (cosine, 0 to 1) and rejected.
-
-    A null text, or one without a letter, is ``und`` with score 0 and rejected, as is every text if
-    the model knows no language. A text that is only too far from its nearest centroid keeps that
-    centroid's language and is rejected. Columns of these names are replaced.
-    """
+def prediction(df: DataFrame, model: Model, text: str = "text") -> Column:
+    """struct<lang_pred, score, rejected> of a text of ``df``."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
@@ -140,10 +135,20 @@ def predicted(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for texts in batches:
             yield pd.DataFrame(shared.value.predict(list(texts)), columns=["lang_pred", "score", "rejected"])
 
-    out = df.withColumn("_language", predict(F.col(text)))
+    return predict(F.col(text))
+
+
+def predicted(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """Adds lang_pred, score (cosine, 0 to 1) and rejected.
+
+    A null text, or one without a letter, is ``und`` with score 0 and rejected, as is every text if
+    the model knows no language. A text that is only too far from its nearest centroid keeps that
+    centroid's language and is rejected. Columns of these names are replaced.
+    """
+    out = df.withColumn("_llm_language", prediction(df, model, text))
     for name in ("lang_pred", "score", "rejected"):
-        out = out.withColumn(name, F.col("_language")[name])
-    return out.drop("_language")
+        out = out.withColumn(name, F.col("_llm_language")[name])
+    return out.drop("_llm_language")
 
 
 def held_out(key: Column) -> Column:
@@ -158,4 +163,5 @@ def fit_documents(docs: DataFrame) -> Model:
 
 def accepted(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows whose language is not rejected, with the columns they came with."""
-    return predicted(df, model, text).where("not rejected").select(*df.columns)
+    told = df.withColumn("_llm_language", prediction(df, model, text))
+    return told.where(~F.col("_llm_language")["rejected"]).drop("_llm_language")

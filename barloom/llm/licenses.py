@@ -92,8 +92,8 @@ def license_places(df: DataFrame, text: str = "text") -> DataFrame:
     """
     known = templates()
     vocabulary = sorted({w for _, words, *_ in known for w in words})
-    read = df.withColumn("_words", words_of(F.col(text)))
-    idf = weights(read, "_words", vocabulary)
+    read = df.withColumn("_llm_words", words_of(F.col(text)))
+    idf = weights(read, "_llm_words", vocabulary)
     postings: dict[str, list[tuple[int, int]]] = {}
     for number, (_, words, start, end, _) in enumerate(known):
         for place in lookups(words, start, end, idf):
@@ -112,7 +112,7 @@ def license_places(df: DataFrame, text: str = "text") -> DataFrame:
     all_keys = F.array(*(F.array(F.lit(a), F.lit(b)) for _, _, a, b, _ in known))
     labels, bases = texts([k[0] for k in known]), F.array(*(F.lit(k[4]) for k in known))
 
-    words = F.col("_words")
+    words = F.col("_llm_words")
     rare = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i).isin(*postings))
     named = F.flatten(F.transform(rare, lambda i: F.transform(
         F.element_at(index, F.get(words, i)), lambda p: F.struct(p["number"].alias("number"), (i - p["at"]).alias("start"))
@@ -140,7 +140,7 @@ def license_places(df: DataFrame, text: str = "text") -> DataFrame:
     empty = F.array().cast("array<struct<label:string,base:boolean,start:bigint,share:double>>")
     out = read.withColumn("n_words", F.size(words).cast("long"))
     # Most texts hold no lookup; they skip the rest.
-    return out.withColumn("places", F.when(F.arrays_overlap(words, texts(list(postings))), scored).otherwise(empty)).drop("_words")
+    return out.withColumn("places", F.when(F.arrays_overlap(words, texts(list(postings))), scored).otherwise(empty)).drop("_llm_words")
 
 
 def licenses(df: DataFrame, text: str = "text") -> DataFrame:

@@ -164,12 +164,12 @@ def one_of_each(df: DataFrame, text: str = "text", key: str = "doc_id", shingle:
     chosen = keep(first.select("kept.text_hash", "kept.k"), "chosen")
     repeats = rows.join(chosen, rows["text_hash"].eqNullSafe(chosen["text_hash"]) & rows[key].eqNullSafe(chosen["k"]), "left_semi")
     repeats = repeats.groupBy(F.col(key).alias("k"), "text_hash").count().where("count > 1")
-    same = lambda other: F.col(key).eqNullSafe(other["k"]) & F.col("_hash").eqNullSafe(other["text_hash"])
-    hashed = df.withColumn("_hash", F.xxhash64(text))
+    same = lambda other: F.col(key).eqNullSafe(other["k"]) & F.col("_llm_hash").eqNullSafe(other["text_hash"])
+    hashed = df.withColumn("_llm_hash", F.xxhash64(text))
     left = hashed.join(chosen, same(chosen), "left_semi")
     if repeats.isEmpty():
-        return left.drop("_hash")
+        return left.drop("_llm_hash")
     repeats = keep(repeats, "repeats")
     single = left.join(repeats, same(repeats), "left_anti")
-    several = left.join(repeats, same(repeats), "left_semi").dropDuplicates([key, "_hash"])
-    return single.unionByName(several).drop("_hash")
+    several = left.join(repeats, same(repeats), "left_semi").dropDuplicates([key, "_llm_hash"])
+    return single.unionByName(several).drop("_llm_hash")

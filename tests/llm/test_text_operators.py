@@ -84,7 +84,8 @@ def test_decontamination_overlaps_blocks_and_odd_items(spark, odd):
     assert {r["n_words"] for r in out.where("text is null or text = ''").collect()} == {0}
     assert decontamination.contaminated(odd, given.limit(0)).where("contaminated").count() == 0
     assert decontamination.contaminated(odd.limit(0), given).count() == 0
-    assert decontamination.clean(odd, given).columns == odd.columns
+    kept = decontamination.clean(odd, given)
+    assert kept.columns == odd.columns and {r["found"] for r in kept.collect()} == {"x"}
 
 
 def base_places(text):
@@ -177,7 +178,8 @@ def test_language_of_odd_rows(spark, odd):
     assert language.predicted(far, model).first()["rejected"]
     unknown = language.fit(odd.where("lang = 'none'"))
     assert language.accepted(odd, unknown).count() == 0
-    assert language.accepted(odd, model).columns == odd.columns
+    kept = language.accepted(odd, model)
+    assert kept.columns == odd.columns and {r["score"] for r in kept.collect()} == {7}
     assert language.predicted(odd.limit(0), model).count() == 0
 
 
