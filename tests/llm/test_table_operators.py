@@ -344,6 +344,10 @@ MENU = "<nav><ul><li>Home<li>About</ul></nav>"
     ("<article><p>a <b>bold</b> <i>word</i></p><form><input><p>b</p></form><aside>c</aside><p>d", "a bold word\nd"),
     ("<nav><ul><li>never closed<article><p>a</p></article>", "a"),
     ("<article><p>1 < 2 and <3</p><p class=", "1 < 2 and <3"),
+    ("<body class='has-sidebar modal'><main class='content ad-free'><p>a</p><p class='no-ads'>b</p></main><p>c</p>", "a\nb"),
+    ("<article class='post comment-count-2'><p data-role=notice>a</p><article class=comment-body>b</article><p>c</p></article>"
+     "<article class=comment>d</article>", "a\nc"),
+    ("<article><p>a<p class=ad>b<p>c<li class=ad>d</li><p class=promo>e</article><p>f", "a\nc"),
     ("<div class='cookie-notice'>x</div><div class=header-menu>y</div><p>t&eacute;xt&nbsp;z</p>", "téxt z"),
 ])
 def test_markup(spark, page, text):
