@@ -6,7 +6,8 @@ highest inverse document frequency, one for every ``WORDS_PER_LOOKUP``. A text's
 lookups give, through the index's postings, the places where a template would have to begin; places
 named alike by several lookups are one. At each place the other words of the template are compared at
 their relative positions, and the key phrase must stand there in full. The part of the template's
-weight that was found is the score.
+weight that was found is the score; it removes no place, so a key phrase decides alone and is long
+enough for that. A template with several key phrases is listed once for each.
 
 No place is missed: where the key phrase stands, so do its lookups.
 Everything is an expression over one row; only the word counts are an aggregation.
@@ -22,7 +23,6 @@ from pyspark.sql import functions as F
 from barloom.llm.common import ascii_lower
 
 WORDS_PER_LOOKUP = 6
-LEAST_SHARE = 0.5
 
 # Phrases that name a licence, as (label, words).
 PHRASES = [
@@ -46,7 +46,9 @@ NOTICES = [
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and "
             "associated documentation files", "permission is hereby granted free of charge"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
-    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered software"),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
+    ("unlicense", "this is free and unencumbered software released into the public domain",
+     "unencumbered software released into the public domain"),
 ]
 
 
@@ -136,7 +138,8 @@ def license_places(df: DataFrame, text: str = "text") -> DataFrame:
         F.get(labels, p["number"]).alias("label"), F.get(bases, p["number"]).alias("base"),
         p["start"].cast("long").alias("start"), share(p).alias("share"),
     ))
-    scored = F.filter(scored, lambda p: p["share"] >= LEAST_SHARE)
+    # One place for a template found by several of its key phrases.
+    scored = F.array_distinct(scored)
     empty = F.array().cast("array<struct<label:string,base:boolean,start:bigint,share:double>>")
     out = read.withColumn("n_words", F.size(words).cast("long"))
     # Most texts hold no lookup; they skip the rest.

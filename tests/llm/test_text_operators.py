@@ -140,6 +140,30 @@ def test_licence_notices(spark, text, labels):
     assert got == {1: labels, 2: ""}
 
 
+@pytest.mark.parametrize(("text", "labels"), [
+    ("Licensed under the Mozilla Public License", "mpl"),
+    ("Redistribution and use in source and binary forms are permitted provided that the notice stays", "bsd"),
+    ("This library is free software; you can redistribute it and/or modify it under the same terms", "gpl"),
+    ("used except in compliance with the License", "apache"),
+    ("and/or distribute this software for any purpose", "isc"),
+    ("Permission is hereby granted, free of charge", "mit"),
+    ("free and unencumbered software", "unlicense"),
+    ("unencumbered software released into the public domain", "unlicense"),
+    ("patent-unencumbered software is preferred", ""),
+])
+def test_licence_key_phrases_decide_alone(spark, text, labels):
+    docs = spark.createDataFrame([(1, text), (2, "plain words and nothing else")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.licenses(docs).collect()}
+    assert {k: r["labels"] for k, r in got.items()} == {1: labels, 2: ""}
+    assert (0 < got[1]["score"] <= 1) == bool(labels)
+
+
+def test_licence_found_by_two_key_phrases_is_one_place(spark):
+    text = "This is free and unencumbered software released into the public domain."
+    places = licenses.license_places(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["places"]
+    assert [(p["label"], p["start"], p["share"]) for p in places] == [("unlicense", 0, 1.0)]
+
+
 def test_language_on_held_out_documents(spark, rows):
     truth = {r["doc_id"]: r for r in rows("documents")}
     got = QUERIES["op7_language"](spark, SMALL).collect()
