@@ -2,8 +2,8 @@
 
 A text becomes counts of its letter 1- to 3-grams (of the UTF-8 bytes in lower case, hashed into
 ``DIMENSIONS`` cells), weighted by log(1 + count) and inverse document frequency and normalised.
-Every language has several centroids, found by spherical k-means over labelled texts, since one
-language holds several kinds of text. The nearest centroid by cosine names the language. A text much
+Every language has up to ``CENTROIDS`` centroids, found by spherical k-means over labelled texts, since
+one language holds several kinds of text; a few odd texts get none of their own. The nearest centroid by cosine names the language. A text much
 farther from it than the farthest labelled text of that language is rejected.
 
 The model is fitted on a bounded sample: of each language, the labelled text with the least hash in
@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 DIMENSIONS = 4096
 CENTROIDS = 4
 SAMPLE = 500
+# A text seeds a cluster from so many n-grams; a cluster holds one in ``FEW`` of its language's texts at least.
+SEED_GRAMS = 200
+FEW = 50
 # A text is rejected below this part of the least cosine of labelled texts of its language; with
 # fewer n-grams than FULL, which can't come near to any centroid, in proportion to them.
 REJECT = 0.5
@@ -78,12 +81,21 @@ class Model:
         return out
 
 
-def clusters(points: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
-    """Spherical k-means, begun at the mean's nearest point and then at the farthest ones."""
-    centers = [points[(points @ points.mean(axis=0)).argmax()]]
-    while len(centers) < min(k, len(points)):
-        centers.append(points[(points @ np.stack(centers).T).max(axis=1).argmin()])
-    out = np.stack(centers)
+def drawn(points: np.ndarray, free: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """Seeds among the ``free`` points, each drawn in proportion to its squared distance from those before."""
+    own = points[free]
+    centers = [own[rng.integers(len(own))]]
+    while len(centers) < min(k, len(own)):
+        # Of unit vectors, half the squared distance.
+        far = np.maximum(0, 1 - (own @ np.stack(centers).T).max(axis=1)).astype(np.float64)
+        if far.sum() < 1e-6:
+            break
+        centers.append(own[rng.choice(len(own), p=far / far.sum())])
+    return np.stack(centers)
+
+
+def settled(points: np.ndarray, out: np.ndarray, rounds: int = 12) -> np.ndarray:
+    """Rounds of spherical k-means from the given centres."""
     for _ in range(rounds):
         nearest = (points @ out.T).argmax(axis=1)
         sums = np.stack([points[nearest == c].sum(axis=0) if (nearest == c).any() else out[c] for c in range(len(out))])
@@ -91,6 +103,27 @@ def clusters(points: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return out
 
 
+def clusters(points: np.ndarray, grams: np.ndarray, k: int, tries: int = 8) -> np.ndarray:
+    """Spherical k-means, with no centre for a few odd texts.
+
+    Texts of fewer than ``SEED_GRAMS`` n-grams seed nothing, unless there are no others. Texts that
+    end up in clusters of a few seed nothing the next time, and clusters that stay so small in the
+    last try join the others. All texts count in the centres.
+    """
+    rng = np.random.default_rng(0)
+    free = grams >= SEED_GRAMS if (grams >= SEED_GRAMS).any() else np.ones(len(points), dtype=bool)
+    least = min(len(points), max(2, len(points) // FEW))
+    for _ in range(tries):
+        out = settled(points, drawn(points, free, k, rng))
+        nearest = (points @ out.T).argmax(axis=1)
+        held = np.bincount(nearest, minlength=len(out))
+        if held.min() >= least:
+            return out
+        rest = free & (held[nearest] >= least)
+        free = rest if rest.any() else free
+    return settled(points, out[held >= min(least, held.max())])
+
+
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
     """A model of the labelled rows; at most ``sample`` texts of a language reach the driver.
 
@@ -118,7 +151,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample: int
     languages, centroids, floors = [], [], []
     for name in sorted(set(of)):
         own = points[of == name]
-        found = clusters(own, CENTROIDS)
+        found = clusters(own, raw[of == name].sum(axis=1), CENTROIDS)
         reach = (own @ found.T).max(axis=1).min()
         languages += [name] * len(found)
         centroids.append(found)

@@ -189,6 +189,18 @@ def test_language_learns_nothing_from_held_out_rows(spark):
     assert np.array_equal(one.centroids, other.centroids) and np.array_equal(one.floors, other.floors)
 
 
+def test_language_centroids_are_kinds_of_text_and_not_odd_texts():
+    rng = np.random.default_rng(3)
+    kinds = [["harbour", "vessel", "cargo", "anchor", "sailor", "deck"], ["quotient", "matrix", "kernel", "algebra", "ring", "field"]]
+    texts = [" ".join(rng.choice(kind, 80)) for kind in kinds for _ in range(100)] + ["A.", "Re.", "Zz.", "Qx."]
+    raw = np.stack([language.counts(t) for t in texts])
+    points = language.Model([], raw, raw, np.ones(language.DIMENSIONS, dtype=np.float32)).unit(raw)
+    found = language.clusters(points, raw.sum(axis=1), 4)
+    nearest = (points @ found.T).argmax(axis=1)
+    assert np.bincount(nearest, minlength=len(found)).min() >= 4
+    assert not set(nearest[:100]) & set(nearest[100:200])
+
+
 def test_language_of_odd_rows(spark, odd):
     model = language.fit_documents(spark.read.parquet(f"{SMALL}/documents.parquet"))
     out = language.predicted(odd, model).collect()
