@@ -3,8 +3,9 @@
 A text becomes counts of its letter 1- to 3-grams (of the UTF-8 bytes in lower case, hashed into
 ``DIMENSIONS`` cells), weighted by log(1 + count) and inverse document frequency and normalised.
 Every language has up to ``CENTROIDS`` centroids, found by spherical k-means over labelled texts, since
-one language holds several kinds of text; a few odd texts get none of their own. The nearest centroid by cosine names the language. A text much
-farther from it than the farthest labelled text of that language is rejected.
+one language holds several kinds of text; a few odd texts get none of their own. The nearest centroid
+by cosine names the language. A text is rejected if it is farther from it than nearly all labelled
+texts of that language and of like length are from centroids that were found without them.
 
 The model is fitted on a bounded sample: of each language, the labelled text with the least hash in
 each of ``SAMPLE`` buckets. The bound is that parameter; scoring covers all texts, in whole.
@@ -12,7 +13,7 @@ each of ``SAMPLE`` buckets. The bound is that parameter; scoring covers all text
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,10 +27,15 @@ SAMPLE = 500
 # A text seeds a cluster from so many n-grams; a cluster holds one in ``FEW`` of its language's texts at least.
 SEED_GRAMS = 200
 FEW = 50
-# A text is rejected below this part of the least cosine of labelled texts of its language; with
-# fewer n-grams than FULL, which can't come near to any centroid, in proportion to them.
-REJECT = 0.5
-FULL = 500
+# A text is rejected below this part of the LOW quantile of the cosines of labelled texts of its language
+# and of like length; with fewer than MANY such texts, whose least says little of others, below FEWER of it.
+REJECT, FEWER = 0.8, 0.5
+LOW = 0.01
+MANY = 100
+# Lengths count by powers of two of n-grams, the last one and beyond as one. Labelled texts give
+# short pieces too, from their first HEAD characters.
+BANDS = 13
+HEAD = 1024
 UNKNOWN = "und"
 BLOCK = 256
 # ASCII other than letters parts words; bytes beyond ASCII belong to letters, mostly.
@@ -56,7 +62,7 @@ def counts(text: str | None) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    """Unit centroids by row, the language of each, the least cosine it accepts, and the weights."""
+    """Unit centroids by row, the language of each, the least cosine it accepts in the middle of each band, and the weights."""
 
     languages: list[str]
     centroids: np.ndarray
@@ -74,10 +80,10 @@ class Model:
         for start in range(0, len(known), BLOCK):
             part = known[start : start + BLOCK]
             raw = np.stack([counts(texts[i]) for i in part])
-            near, share = self.unit(raw) @ self.centroids.T, np.minimum(1, raw.sum(axis=1) / FULL)
-            for i, best, row, part_of in zip(part, near.argmax(axis=1), near, share, strict=True):
+            near, place = self.unit(raw) @ self.centroids.T, np.log2(np.maximum(1, raw.sum(axis=1))) - 0.5
+            for i, best, row, at in zip(part, near.argmax(axis=1), near, place, strict=True):
                 score = min(1.0, max(0.0, round(float(row[best]), 6)))
-                out[i] = (self.languages[best], score, bool(score < part_of * self.floors[best]))
+                out[i] = (self.languages[best], score, bool(score < np.interp(at, range(BANDS), self.floors[best])))
         return out
 
 
@@ -124,6 +130,37 @@ def clusters(points: np.ndarray, grams: np.ndarray, k: int, tries: int = 8) -> n
     return settled(points, out[held >= min(least, held.max())])
 
 
+def least_cosines(raw: np.ndarray, heads: list[str], unit: Callable[[np.ndarray], np.ndarray]) -> list[float]:
+    """The least cosine to accept in each band, by texts of one language and pieces of them.
+
+    Centroids of one half of the texts measure the other half.
+    """
+    found: list[list[float]] = [[] for _ in range(BANDS)]
+    half = np.arange(len(raw)) % 2
+    for side in (0, 1):
+        rest, own = raw[half != side], np.flatnonzero(half == side)
+        if not len(rest) or not len(own):
+            continue
+        centroids = clusters(unit(rest), rest.sum(axis=1), CENTROIDS)
+        sets = [raw[own]]
+        for band in range(BANDS - 1):
+            # A character has about three n-grams; pieces fall into the band their own n-grams say.
+            size = round(2 ** (band + 0.5) / 3)
+            pieces = [counts(heads[i][:size]) for i in own if len(heads[i]) >= size]
+            sets += [np.stack(pieces)] if size and pieces else []
+        for texts in sets:
+            texts = texts[texts.any(axis=1)]
+            bands = np.minimum(np.log2(np.maximum(1, texts.sum(axis=1))).astype(int), BANDS - 1)
+            for band, cosine in zip(bands, (unit(texts) @ centroids.T).max(axis=1, initial=0), strict=True):
+                found[band].append(float(cosine))
+    out: list[float] = []
+    for cosines in found:
+        part = REJECT if len(cosines) >= MANY else FEWER
+        # A band without texts accepts what the next shorter one does.
+        out.append(part * float(np.quantile(cosines, LOW)) if cosines else out[-1] if out else 0.0)
+    return out
+
+
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
     """A model of the labelled rows; at most ``sample`` texts of a language reach the driver.
 
@@ -140,22 +177,24 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample: int
     def packed(texts: pd.Series) -> pd.Series:
         return pd.Series([counts(t).astype(np.uint32).tobytes() for t in texts])
 
-    rows = chosen.select("lang", "hash", packed("text").alias("grams")).groupBy("lang", "hash")
-    rows = sorted(rows.agg(F.min("grams").alias("grams")).collect(), key=lambda r: (r["lang"], r["hash"]))
+    rows = chosen.select("lang", "hash", packed("text").alias("grams"), F.substring("text", 1, HEAD).alias("head"))
+    rows = rows.groupBy("lang", "hash").agg(F.min(F.struct("grams", "head")).alias("least")).select("lang", "hash", "least.*")
+    rows = sorted(rows.collect(), key=lambda r: (r["lang"], r["hash"]))
     if not rows:
-        return Model([], np.zeros((0, DIMENSIONS)), np.zeros(0), np.ones(DIMENSIONS))
+        return Model([], np.zeros((0, DIMENSIONS)), np.zeros((0, BANDS)), np.ones(DIMENSIONS))
     raw = np.stack([np.frombuffer(r["grams"], dtype=np.uint32) for r in rows]).astype(np.float32)
     weights = (np.log((1 + len(raw)) / (1 + (raw > 0).sum(axis=0))) + 1).astype(np.float32)
-    points = Model([], raw, raw, weights).unit(raw)
+    unit = Model([], raw, raw, weights).unit
+    points = unit(raw)
     of = np.array([r["lang"] for r in rows])
     languages, centroids, floors = [], [], []
     for name in sorted(set(of)):
         own = points[of == name]
         found = clusters(own, raw[of == name].sum(axis=1), CENTROIDS)
-        reach = (own @ found.T).max(axis=1).min()
+        floor = least_cosines(raw[of == name], [r["head"] for r in rows if r["lang"] == name], unit)
         languages += [name] * len(found)
         centroids.append(found)
-        floors += [REJECT * float(reach)] * len(found)
+        floors += [floor] * len(found)
     return Model(languages, np.concatenate(centroids).astype(np.float32), np.array(floors), weights)
 
 

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from barloom.llm import bpe, decontamination, language, licenses
 from barloom.llm.queries import QUERIES, byte_vocabulary
 
@@ -201,6 +202,21 @@ def test_language_centroids_are_kinds_of_text_and_not_odd_texts():
     assert not set(nearest[:100]) & set(nearest[100:200])
 
 
+def test_language_rejects_what_is_no_language_short_or_long(spark):
+    more = SMALL.replace("sf0.001", "sf0.01")  # with a hundred texts of most languages
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    junk = ["xkcd qwrtz vbnm jjjq"] + [" ".join(word() for _ in range(n)) for n in (4, 8, 40, 150, 600, 1500)]
+    junk += [" ".join(f"{rng.getrandbits(32):08x}" for _ in range(n)) for n in (8, 30, 100, 400)]
+    docs = spark.read.parquet(f"{more}/documents.parquet")
+    data = [(-1 - i, t, None, "s", len(t)) for i, t in enumerate(junk)]
+    added = spark.createDataFrame(data, docs.schema)
+    left = {r["doc_id"] for r in corpus_pipeline.known_language(spark, docs.unionByName(added), more).collect()}
+    assert not [t for i, t in enumerate(junk) if -1 - i in left]
+    spoken = [r["doc_id"] for r in docs.collect() if r["text"] and r["lang"] and language.has_letter(r["text"])]
+    assert len(set(spoken) - left) <= 0.01 * len(spoken)
+
+
 def test_language_of_odd_rows(spark, odd):
     model = language.fit_documents(spark.read.parquet(f"{SMALL}/documents.parquet"))
     out = language.predicted(odd, model).collect()
