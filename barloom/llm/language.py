@@ -7,8 +7,9 @@ one language holds several kinds of text; a few odd texts get none of their own.
 by cosine names the language. A text is rejected if it is farther from it than nearly all labelled
 texts of that language and of like length are from centroids that were found without them.
 
-The model is fitted on a bounded sample: of each language, the labelled text with the least hash in
-each of ``SAMPLE`` buckets. The bound is that parameter; scoring covers all texts, in whole.
+Document frequencies are counted over all labelled rows. The centroids are fitted on a bounded sample:
+of each language, the labelled text with the least hash in each of ``SAMPLE`` buckets. The bound is
+that parameter; scoring covers all texts, in whole.
 """
 
 from __future__ import annotations
@@ -130,6 +131,25 @@ def clusters(points: np.ndarray, grams: np.ndarray, k: int, tries: int = 8) -> n
     return settled(points, out[held >= min(least, held.max())])
 
 
+def document_frequencies(labelled: DataFrame) -> tuple[int, np.ndarray]:
+    """The number of rows of (text) and, for each cell, of those that have it; ``DIMENSIONS`` numbers at most."""
+
+    def held(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # The cell beyond the last counts the rows.
+        rows = np.zeros(DIMENSIONS + 1, dtype=np.int64)
+        for batch in batches:
+            for text in batch["text"]:
+                rows[:-1] += counts(text) > 0
+                rows[-1] += 1
+        found = np.flatnonzero(rows)
+        yield pd.DataFrame({"cell": found, "n": rows[found]})
+
+    out = np.zeros(DIMENSIONS + 1, dtype=np.int64)
+    for r in labelled.select("text").mapInPandas(held, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        out[r["cell"]] = r["n"]
+    return int(out[-1]), out[:-1]
+
+
 def least_cosines(raw: np.ndarray, heads: list[str], unit: Callable[[np.ndarray], np.ndarray]) -> list[float]:
     """The least cosine to accept in each band, by texts of one language and pieces of them.
 
@@ -165,7 +185,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample: int
     """A model of the labelled rows; at most ``sample`` texts of a language reach the driver.
 
     Rows without a text or a language are left out. No labelled rows give a model that knows no
-    language. Equal texts count once, so groups of copies don't outweigh the rest.
+    language. Equal texts count once in the centroids, so groups of copies don't outweigh the rest; the
+    document frequencies are of all rows.
     """
     hashed = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     hashed = hashed.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(text).alias("hash"))
@@ -183,7 +204,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample: int
     if not rows:
         return Model([], np.zeros((0, DIMENSIONS)), np.zeros((0, BANDS)), np.ones(DIMENSIONS))
     raw = np.stack([np.frombuffer(r["grams"], dtype=np.uint32) for r in rows]).astype(np.float32)
-    weights = (np.log((1 + len(raw)) / (1 + (raw > 0).sum(axis=0))) + 1).astype(np.float32)
+    total, frequencies = document_frequencies(hashed)
+    weights = (np.log((1 + total) / (1 + frequencies)) + 1).astype(np.float32)
     unit = Model([], raw, raw, weights).unit
     points = unit(raw)
     of = np.array([r["lang"] for r in rows])

@@ -217,6 +217,14 @@ def test_language_rejects_what_is_no_language_short_or_long(spark):
     assert len(set(spoken) - left) <= 0.01 * len(spoken)
 
 
+def test_language_weights_are_of_all_labelled_rows(spark):
+    data = [("one common text", "xx")] * 3 + [(f"word{chr(97 + i)} other", "xx") for i in range(20)] + [("rare zebra", "yy"), (None, "xx"), ("no language", None)]
+    model = language.fit(spark.createDataFrame(data, "text string, lang string"), sample=2)
+    known = [t for t, v in data if t and v]
+    held = sum((language.counts(t) > 0).astype(int) for t in known)
+    assert np.allclose(model.weights, np.log((1 + len(known)) / (1 + held)) + 1)
+
+
 def test_language_of_odd_rows(spark, odd):
     model = language.fit_documents(spark.read.parquet(f"{SMALL}/documents.parquet"))
     out = language.predicted(odd, model).collect()
