@@ -6,6 +6,7 @@ from collections.abc import Callable
 from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from barloom.session import scratch_path
@@ -52,3 +53,27 @@ def built_once(key: str, make: Callable[[], Built]) -> Built:
         _built.clear()
         _built[key] = make()
     return _built[key]
+
+
+def ranked(rows: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
+    """Adds place (from 0, without gaps) and total (rows) of each row within its group, in the order given.
+
+    Ranges of (group, order) are sorted side by side and numbered, and the counts of the ranges before
+    are added: a group that holds a third of all rows, or all, is spread over as many tasks as its
+    rows fill. ``order`` must be total but for rows that may change places; ``group`` has no nulls.
+    """
+    by_range = rows.repartitionByRange(F.col(group), *order).sortWithinPartitions(group, *order)
+    numbered = by_range.withColumn("_at", F.monotonically_increasing_id())
+    low = (1 << 33) - 1
+    sorted_rows = keep(
+        numbered.withColumn("_part", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND(low)), name
+    )
+    counts = sorted_rows.groupBy(group, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    earlier = W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.select(
+        group, "_part",
+        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
+        F.sum("_n").over(W.partitionBy(group)).alias("total"),
+    )
+    placed = sorted_rows.join(offsets, [group, "_part"])
+    return placed.withColumn("place", F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, chat, decontamination, html_text, language, licenses, sharding, simhash, topk, warc
+from barloom.llm import bpe, chat, decontamination, html_text, language, licenses, merkle, sharding, simhash, topk, warc
 from barloom.llm.common import keep, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,3 +134,92 @@ def op10_bpe(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents").select("doc_id", "text")
     out = bpe.tokenised(docs, byte_vocabulary(), with_ids=False)
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def tampered_text(key: Column, text: Column) -> Column:
+    """The text without its line feeds where 2 divides the checksum of the key; null where nothing changes."""
+    struck = F.crc32(key.cast("string")) % 2 == 0
+    return F.when(struck & F.contains(text, F.lit("\n")), F.replace(text, F.lit("\n"), F.lit("")))
+
+
+@query
+def op11_merkle(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    changed = tampered_text(F.col("doc_id"), F.col("text"))
+    leaves = docs.select(
+        merkle.group_name(F.col("source")).alias("group"), "doc_id",
+        merkle.row_digest([*fields, F.col("text")]).alias("digest"),
+        F.when(changed.isNotNull(), merkle.row_digest([*fields, changed])).alias("found"),
+    )
+    made = merkle.manifest(leaves, order=["doc_id"], carried=["doc_id", "found"])
+    return merkle.verified(made, {"doc_id": "long", "found": "binary"}, against="found")
+
+
+def _crc_table() -> list[int]:
+    """One entry a byte, by the rule of the checksum's polynomial."""
+    out = []
+    for entry in range(256):
+        for _ in range(8):
+            entry = (entry >> 1) ^ (0xEDB88320 if entry & 1 else 0)
+        out.append(entry)
+    return out
+
+
+def _framed(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+_ROW = " || ".join(_framed(f"CAST({c} AS VARCHAR)") for c in ("doc_id", "source", "lang", "n_chars"))
+
+ORACLE["op11_merkle"] = f"""
+WITH RECURSIVE crc AS (SELECT {_crc_table()} AS entries), docs AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS name, text, {_ROW} AS head,
+    xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+      lambda c: CAST(ascii(c) AS BIGINT))), lambda a, b: xor(a >> 8, entries[1 + (xor(a, b) & 255)])), 4294967295) AS crc
+  FROM documents, crc
+), hashed AS (
+  SELECT doc_id, name, sha256(head || {_framed("text")}) AS leaf,
+    sha256(head || {_framed("CASE WHEN crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")}) AS found
+  FROM docs
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY name ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY name) AS n
+  FROM hashed
+), nodes AS (
+  SELECT name, 0 AS level, place, leaf AS h, n FROM leaves
+  UNION ALL
+  SELECT name, level + 1, place // 3, sha256(string_agg(h, '' ORDER BY place)), (n + 2) // 3
+  FROM nodes WHERE n > 1 GROUP BY name, level, place // 3, n
+), subroots AS (
+  SELECT name, h AS subroot, row_number() OVER (ORDER BY encode(name)) - 1 AS place, count(*) OVER () AS n FROM nodes WHERE n = 1
+), upper AS (
+  SELECT 0 AS level, place, subroot AS h, n FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 3, sha256(string_agg(h, '' ORDER BY place)), (n + 2) // 3 FROM upper WHERE n > 1 GROUP BY level, place // 3, n
+), steps AS (
+  SELECT a.name, a.level, a.place, coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (b.place < a.place), '') AS before,
+    coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (b.place > a.place), '') AS after
+  FROM nodes a JOIN nodes b ON a.name = b.name AND a.level = b.level AND a.place // 3 = b.place // 3 WHERE a.n > 1 GROUP BY ALL
+), upper_steps AS (
+  SELECT a.level, a.place, coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (b.place < a.place), '') AS before,
+    coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (b.place > a.place), '') AS after
+  FROM upper a JOIN upper b ON a.level = b.level AND a.place // 3 = b.place // 3 WHERE a.n > 1 GROUP BY ALL
+), folds AS (
+  SELECT name, place AS leaf_place, 0 AS level, place, found AS h, '' AS proof FROM leaves
+  UNION ALL
+  SELECT f.name, leaf_place, f.level + 1, f.place // 3, sha256(before || h || after), proof || before || after
+  FROM folds f JOIN steps s ON s.name = f.name AND s.level = f.level AND s.place = f.place
+), folded AS (
+  SELECT name, leaf_place, arg_max(h, level) AS h, arg_max(proof, level) AS proof FROM folds GROUP BY ALL
+), upper_folds AS (
+  SELECT f.name, leaf_place, 0 AS level, r.place, h, proof FROM folded f JOIN subroots r ON r.name = f.name
+  UNION ALL
+  SELECT f.name, leaf_place, f.level + 1, f.place // 3, sha256(before || h || after), proof || before || after
+  FROM upper_folds f JOIN upper_steps s ON s.level = f.level AND s.place = f.place
+), ends AS (
+  SELECT name, leaf_place, arg_max(h, level) AS h, arg_max(proof, level) AS proof FROM upper_folds GROUP BY ALL
+)
+SELECT l.doc_id, l.leaf, r.subroot, t.h AS root, sha256(e.proof) AS proof_sha256, e.h AS folded_root, e.h = t.h AS verified
+FROM leaves l JOIN ends e ON e.name = l.name AND e.leaf_place = l.place
+JOIN subroots r ON r.name = l.name CROSS JOIN (SELECT h FROM upper WHERE n = 1) t
+"""
