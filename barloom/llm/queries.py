@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, chat, decontamination, html_text, language, licenses, merkle, sharding, simhash, topk, warc
+from barloom.llm import (
+    bpe, chat, decontamination, html_text, language, licenses, merkle, negatives, repetition, sharding, simhash, topk, warc,
+)
 from barloom.llm.common import keep, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,3 +225,93 @@ SELECT l.doc_id, l.leaf, r.subroot, t.h AS root, sha256(e.proof) AS proof_sha256
 FROM leaves l JOIN ends e ON e.name = l.name AND e.leaf_place = l.place
 JOIN subroots r ON r.name = l.name CROSS JOIN (SELECT h FROM upper WHERE n = 1) t
 """
+
+
+@query
+def op12_negatives(spark: SparkSession, directory: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.quantised(table(spark, directory, "embeddings"), "vec_id", "embedding", moved)
+    return negatives.mined(rows, F.col("vec_id") % 100 == 0, positives=5, negatives=10, low=30, high=90)
+
+
+ORACLE["op12_negatives"] = """
+WITH whole AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS comps FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(CAST(x AS DOUBLE)))) = len(embedding)
+), numbered AS (
+  SELECT *, row_number() OVER (ORDER BY vec_id, label, comps) AS no FROM whole
+), parts AS (
+  SELECT no, len(comps) AS width, unnest(comps) AS comp, generate_subscripts(comps, 1) AS place FROM numbered
+), scored AS (
+  SELECT a.no AS a_no, x.no AS x_no, CAST(sum(a.comp * x.comp) AS BIGINT) AS score
+  FROM parts a JOIN parts x ON a.place = x.place AND a.width = x.width AND a.no <> x.no
+  WHERE a.no IN (SELECT no FROM numbered WHERE vec_id % 100 = 0) GROUP BY ALL
+), labelled AS (
+  SELECT s.*, a.vec_id AS anchor_id, x.vec_id AS other_id, a.label = x.label AS same
+  FROM scored s JOIN numbered a ON a.no = a_no JOIN numbered x ON x.no = x_no
+), positives AS (
+  SELECT a_no, anchor_id, other_id AS positive_id, score AS positive_score,
+    row_number() OVER (PARTITION BY a_no ORDER BY score DESC, other_id) AS place
+  FROM labelled WHERE same QUALIFY place <= 5
+), ranked AS (
+  SELECT p.anchor_id, positive_id, positive_score, n.other_id AS negative_id, n.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.a_no, p.place ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank
+  FROM positives p JOIN labelled n ON n.a_no = p.a_no AND NOT n.same
+    AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""
+
+
+@query
+def op13_quality(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    rated = repetition.rated(
+        docs, least=10, window=3, most_covered=30, most_words=50, least_words=50, most_repeated=50, with_spans=False
+    )
+    return rated.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_covered_words", "base_failed", "kept"
+    )
+
+
+def _covered(words: int) -> str:
+    """Query of (no, n): words that lie in windows of so many words that their text holds twice or more."""
+    return f"""
+  SELECT no, count(*) AS n FROM (
+    SELECT DISTINCT no, place + unnest(range({words})) AS place FROM (
+      SELECT no, place, count(*) OVER (PARTITION BY no, passage) AS times FROM (
+        SELECT no, place, string_agg(word, ' ') OVER following AS passage, count(*) OVER following AS size FROM words
+        WINDOW following AS (PARTITION BY no ORDER BY place ROWS BETWEEN CURRENT ROW AND {words - 1} FOLLOWING)
+      ) WHERE size = {words}
+    ) WHERE times > 1
+  ) GROUP BY no"""
+
+
+ORACLE["op13_quality"] = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS no, doc_id, coalesce(text, '') AS text FROM documents
+), listed AS (
+  SELECT no, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS said FROM docs
+), words AS (
+  SELECT no, unnest(said) AS word, generate_subscripts(said, 1) AS place FROM listed
+), triples AS ({_covered(3)}
+), passages AS ({_covered(10)}
+), too_long AS ({_covered(51)}
+), counted AS (
+  SELECT no, count(*) AS n_words, CAST(sum(length(word)) AS BIGINT) AS word_chars FROM words GROUP BY no
+), lines AS (
+  SELECT no, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT no, unnest(string_split(text, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY no
+), measured AS (
+  SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+    coalesce(t.n, 0) AS n_repeat_words, coalesce(p.n, 0) AS n_covered_words, coalesce(x.n, 0) = 0 AS short_enough
+  FROM docs LEFT JOIN counted USING (no) LEFT JOIN lines USING (no) LEFT JOIN triples t USING (no)
+  LEFT JOIN passages p USING (no) LEFT JOIN too_long x USING (no)
+), judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured
+)
+SELECT * EXCLUDE (short_enough), NOT base_failed AND 100 * n_covered_words <= 30 * n_words AND short_enough AS kept FROM judged
+"""
