@@ -761,7 +761,7 @@ def audit_runs_after_reset(spark, directory):
 def _logged(spark: SparkSession, events: DataFrame) -> Warehouse:
     """A warehouse with these events in its audit log."""
     wh = _warehouse(spark)
-    sink.append(events, wh.name("audit"))
+    audit.record(wh, events)
     return wh
 
 

@@ -53,12 +53,12 @@ def refresh_reach(prices: DataFrame, changed: DataFrame, carry: bool) -> DataFra
     """Slices whose changes can differ after ``changed`` slices got new bars.
 
     Without carry a change depends on its own year only. With carry the first period of a year is
-    measured from the last close before it, so the next year with prices is touched too. Works on
-    the years of the price table, a handful of rows per market.
+    measured from the last close before it, so the next year with prices is touched too, also if the
+    changed one has no prices any more. Works on the years of the price table, a handful of rows per market.
     """
     if not carry:
         return changed.select(*SLICE_KEY)
-    years = slices_of(prices)
+    years = slices_of(prices.select(*SLICE_KEY).unionByName(changed.select(*SLICE_KEY)))
     hit = changed.select(*SLICE_KEY).distinct().withColumn("hit", F.lit(True))
     before = Window.partitionBy("market").orderBy("year")
     return (

@@ -4,6 +4,10 @@ A run has a ``start`` and a ``finish`` event per file (loads) or per market (lat
 come ``took`` events, one per load that the run took up, and for a full run ``reset`` events, one per
 earlier run of its layer and market, which count no longer. What is new is told by these ids alone: the
 times of events are for readers, and no decision compares them.
+
+Events of runs that are over are folded, now and then, into the tables ``runs`` and ``taken``, by layer and
+market. What is read then is that and the few events since (``pending``), so the work of a run does not grow with
+the length of the log; ``audit`` keeps every event.
 """
 
 from __future__ import annotations
@@ -14,12 +18,14 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.plans.warehouse import Warehouse
-from barloom.schemas import AUDIT
-from barloom.sinks.tables import append
+from barloom.plans.warehouse import PENDING, Warehouse
+from barloom.schemas import AUDIT, RUNS, TAKEN
+from barloom.sinks.versions import Change, Overtaken, State
 
 LANDING, STAGING, OVERVIEW = "landing", "staging", "overview"
 OK, FAILED = "ok", "failed"
+# Files of events after which they are folded.
+FOLD_AT = 32
 
 
 def new_run_id() -> str:
@@ -45,13 +51,22 @@ def _events(files: DataFrame, **constant) -> DataFrame:
     return files.select(*columns)
 
 
+def record(wh: Warehouse, events: DataFrame, change: Change | None = None, seen: State | None = None, run_id: str = "") -> None:
+    """Adds events to the log, in one commit with the change of tables that they tell of."""
+    files = wh.write("audit", events)
+    told = Change()
+    told.put("audit", files)
+    told.put(PENDING, files)
+    wh.log.commit(told if change is None else change.joined(told), seen or wh.log.state(), run_id)
+
+
 def one_market(spark: SparkSession, market: str) -> DataFrame:
     return spark.createDataFrame([(market,)], "market string")
 
 
-def resets(wh: Warehouse, layer: str, markets: DataFrame) -> DataFrame:
+def resets(wh: Warehouse, layer: str, markets: DataFrame, state: State | None = None) -> DataFrame:
     """For the finish of a full run: (market, source_id) of the runs of these markets that counted until then."""
-    runs = stored_runs(wh, layer).select("market", F.col("run_id").alias("source_id")).distinct()
+    runs = stored_runs(wh, layer, state=state).select("market", F.col("run_id").alias("source_id")).distinct()
     return runs.join(markets.select("market").distinct(), "market", "left_semi")
 
 
@@ -60,10 +75,7 @@ def audit_start(
 ) -> None:
     """One start event per item. Items are files of one market, or rows with a ``market``."""
     fixed = {} if market is None else {"market": market}
-    append(
-        _events(items, layer=layer, event="start", run_id=run_id, event_time=time, task=task, **fixed),
-        wh.name("audit"),
-    )
+    record(wh, _events(items, layer=layer, event="start", run_id=run_id, event_time=time, task=task, **fixed), run_id=run_id)
 
 
 def audit_finish(
@@ -76,13 +88,16 @@ def audit_finish(
     keys: list[str] | None = None,
     reset: DataFrame | None = None,
     took: DataFrame | None = None,
+    change: Change | None = None,
+    seen: State | None = None,
 ) -> None:
     """Close a run: one finish event per start event, with row counts from ``rows`` (keys, rows).
 
     If the run went well, ``reset`` (from ``resets``) names the earlier runs that no longer count, and
-    ``took`` (market, load_id) the loads that it took up. All of it is one append.
+    ``took`` (market, load_id) the loads that it took up. All of it, and the ``change`` of tables that was computed
+    from what ``seen`` holds, is one commit: it happens or ``Overtaken`` is raised and nothing happened.
     """
-    started = wh.table("audit").where(
+    started = wh.table(PENDING).where(
         (F.col("layer") == layer) & (F.col("event") == "start") & (F.col("run_id") == run_id)
     )
     closing = started
@@ -94,7 +109,9 @@ def audit_finish(
     if took is not None and status == OK:
         named = took.select("market", F.col("load_id").alias("source_id"))
         events = events.unionByName(_events(named, layer=layer, event="took", run_id=run_id, event_time=time))
-    append(events, wh.name("audit"))
+    record(wh, events, change, seen, run_id)
+    if len(wh.log.state().files(PENDING)) >= FOLD_AT:
+        fold_log(wh)
 
 
 def runs_of_events(events: DataFrame) -> DataFrame:
@@ -130,14 +147,72 @@ def runs_of_events(events: DataFrame) -> DataFrame:
     )
 
 
-def audit_runs(wh: Warehouse, layer: str) -> DataFrame:
-    return runs_of_events(wh.table("audit").where(F.col("layer") == layer))
+def _slice(layer: str, market: str | None) -> list[tuple[str, ...]]:
+    return [(layer,) if market is None else (layer, market)]
+
+
+def _of(events: DataFrame, layer: str, market: str | None) -> DataFrame:
+    events = events.where(F.col("layer") == layer)
+    return events if market is None else events.where(F.col("market") == market)
+
+
+def _reset_since(events: DataFrame) -> DataFrame:
+    resets = events.where(F.col("event") == "reset")
+    return resets.select("layer", "market", F.col("source_id").alias("run_id"), F.lit(True).alias("over")).distinct()
 
 
-def stored_runs(wh: Warehouse, layer: str, market: str | None = None) -> DataFrame:
+def _still_stored(runs: DataFrame, events: DataFrame) -> DataFrame:
+    """Folded runs, of which later events may have reset some."""
+    known = runs.join(_reset_since(events), ["layer", "market", "run_id"], "left")
+    return known.withColumn("is_stored", F.col("is_stored") & F.col("over").isNull()).select(*RUNS.fieldNames())
+
+
+def audit_runs(wh: Warehouse, layer: str, market: str | None = None, state: State | None = None) -> DataFrame:
+    """One row per (run, market, file) of a layer: the folded ones, and those of the events since."""
+    state = state or wh.log.state()
+    events = _of(wh.table(PENDING, state), layer, market)
+    fresh = runs_of_events(events)
+    if not state.files("runs", _slice(layer, market)):
+        return fresh
+    folded = _still_stored(wh.table("runs", state, _slice(layer, market)), events)
+    return folded.unionByName(fresh.select(*RUNS.fieldNames()))
+
+
+def stored_runs(wh: Warehouse, layer: str, market: str | None = None, state: State | None = None) -> DataFrame:
     """Finished runs that still count."""
-    runs = audit_runs(wh, layer).where(F.col("is_stored"))
-    return runs if market is None else runs.where(F.col("market") == market)
+    return audit_runs(wh, layer, market, state).where(F.col("is_stored"))
+
+
+def fold_log(wh: Warehouse) -> bool:
+    """Folds the events of runs that are over into ``runs`` and ``taken``. False if another driver did so meanwhile.
+
+    Only the layers and markets that have such events are rewritten, and only the names of these pass the
+    driver. Events of open runs stay pending.
+    """
+    state = wh.log.state()
+    files = state.files(PENDING)
+    events = wh.rows(PENDING, files)
+    over = events.where(F.col("event") == "finish").select("layer", "run_id").distinct()
+    done = events.join(over, ["layer", "run_id"], "left_semi")
+    slices = [(r.layer, r.market) for r in done.select("layer", "market").distinct().collect()]
+    if not slices:
+        return False
+    old_runs, old_taken = state.files("runs", slices), state.files("taken", slices)
+    fresh = runs_of_events(done).select(*RUNS.fieldNames())
+    runs = _still_stored(wh.rows("runs", old_runs), done).unionByName(fresh)
+    change = Change(read={"runs": set(slices), "taken": set(slices)})
+    change.put("runs", wh.write("runs", runs), old_runs)
+    written = wh.rows("runs", change.add["runs"])
+    took = done.where(F.col("event") == "took").withColumn("load_id", F.col("source_id")).select(*TAKEN.fieldNames())
+    stored = written.where(F.col("is_stored")).select("layer", "market", "run_id")
+    taken_up = wh.rows("taken", old_taken).unionByName(took).join(stored, ["layer", "market", "run_id"], "left_semi")
+    change.put("taken", wh.write("taken", taken_up.distinct()), old_taken)
+    change.put(PENDING, wh.write(PENDING, events.join(over, ["layer", "run_id"], "left_anti")), files)
+    try:
+        wh.log.commit(change, state)
+    except Overtaken:
+        return False
+    return True
 
 
 def seen_checksums(wh: Warehouse, layer: str, market: str | None = None) -> DataFrame:
@@ -160,9 +235,9 @@ def one_per_checksum(manifest: DataFrame) -> DataFrame:
     return manifest.groupBy("checksum").agg(first).select("checksum", "first.*").select(*manifest.columns)
 
 
-def successful_loads(wh: Warehouse, layer: str, market: str | None = None) -> DataFrame:
+def successful_loads(wh: Warehouse, layer: str, market: str | None = None, state: State | None = None) -> DataFrame:
     """(market, load_id, finish_time) of finished loads, each once."""
-    runs = stored_runs(wh, layer, market)
+    runs = stored_runs(wh, layer, market, state)
     return runs.groupBy("market", F.col("run_id").alias("load_id")).agg(F.max("finish_time").alias("finish_time"))
 
 
@@ -176,12 +251,18 @@ def last_refresh(wh: Warehouse, market: str) -> datetime | None:
     return last_start(wh, OVERVIEW, market).agg(F.max("last_start").alias("t")).first()["t"]
 
 
-def taken(wh: Warehouse, layer: str, market: str | None = None) -> DataFrame:
+def taken(wh: Warehouse, layer: str, market: str | None = None, state: State | None = None) -> DataFrame:
     """(market, load_id) that finished runs of a layer took up."""
-    events = wh.table("audit").where((F.col("layer") == layer) & (F.col("event") == "took"))
-    runs = stored_runs(wh, layer, market).select("market", "run_id")
-    took = events.join(runs, ["market", "run_id"], "left_semi")
-    return took.select("market", F.col("source_id").alias("load_id")).distinct()
+    state = state or wh.log.state()
+    events = _of(wh.table(PENDING, state), layer, market)
+    runs = runs_of_events(events).where(F.col("is_stored")).select("market", "run_id")
+    took = events.where(F.col("event") == "took").join(runs, ["market", "run_id"], "left_semi")
+    took = took.select("market", F.col("source_id").alias("load_id"))
+    if state.files("taken", _slice(layer, market)):
+        folded = wh.table("taken", state, _slice(layer, market))
+        kept = folded.join(_reset_since(events), ["layer", "market", "run_id"], "left_anti")
+        took = took.unionByName(kept.select("market", "load_id"))
+    return took.distinct()
 
 
 def new_loads(wh: Warehouse, source: str, target: str, market: str | None = None) -> DataFrame:
@@ -190,7 +271,9 @@ def new_loads(wh: Warehouse, source: str, target: str, market: str | None = None
     Told by their ids: a load that was running while the target ran, or whose run time lies before
     that of the target, is new all the same.
     """
-    return successful_loads(wh, source, market).join(taken(wh, target, market), ["market", "load_id"], "left_anti")
+    state = wh.log.state()
+    loads = successful_loads(wh, source, market, state)
+    return loads.join(taken(wh, target, market, state), ["market", "load_id"], "left_anti")
 
 
 def latest_run_per_checksum(runs: DataFrame) -> DataFrame:

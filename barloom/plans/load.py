@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -10,17 +11,16 @@ from pyspark.sql import functions as F
 
 from barloom.functions.parsing import never
 from barloom.operators.changes import of_market
-from barloom.operators.merge import latest_wins, only_keys, upsert
-from barloom.operators.selection import filled, slice_counts
+from barloom.operators.merge import only_keys
 from barloom.plans import audit
 from barloom.plans.arguments import FULL, check_mode, check_text
+from barloom.plans.staging import merge_into_staging
 from barloom.plans.warehouse import Warehouse
-from barloom.schemas import SLICE_KEY, STAGING_KEY
+from barloom.schemas import STAGING_KEY
 from barloom.session import scratch_folder
-from barloom.sinks.tables import (
-    SliceSwap, append, claim, counted, drop_partitions, partitions, swap_slices, working_copy,
-)
-from barloom.sources.clean import parse_bars, rejected_bars, tag_load, valid_bars
+from barloom.sinks.tables import claim, working_copy
+from barloom.sinks.versions import Change, Overtaken, State
+from barloom.sources.clean import parse_bars, rejected_bars, tag_load
 from barloom.sources.files import ROW_ORDER, file_key, list_files, read_bars, with_checksums
 
 
@@ -28,8 +28,7 @@ from barloom.sources.files import ROW_ORDER, file_key, list_files, read_bars, wi
 class LoadReport:
     """What a load did. ``run_id`` is None if there was nothing to do.
 
-    Rows read and rejected are counted while they pass by and come out high if an executor was lost and
-    its tasks ran again. Row counts in the audit log are taken from what was written.
+    All counts are taken from what was written, so a task that ran twice counts once.
     """
 
     run_id: str | None
@@ -43,7 +42,7 @@ NOTHING = LoadReport(None)
 
 def pick_files(wh: Warehouse, layer: str, listed: DataFrame, mode: str, folder: str, market: str) -> DataFrame:
     """The files a run has to read: all (full) or those whose content its market has not seen, one per content."""
-    known = audit.audit_runs(wh, layer).where((F.col("status") == audit.OK) & (F.col("market") == market))
+    known = audit.audit_runs(wh, layer, market).where(F.col("status") == audit.OK)
     manifest = with_checksums(listed, known.select("uri", "file_size", "file_time", "checksum"))
     if mode == FULL:
         picked = audit.one_per_checksum(manifest)
@@ -77,71 +76,78 @@ def load_landing(
             return NOTHING
         run_id = audit.new_run_id()
         audit.audit_start(wh, audit.LANDING, run_id, time, task, files, market)
-        status, counts, report = audit.FAILED, None, NOTHING
+        status = audit.FAILED
         try:
+            change, counts = Change(), None
             if paths:
-                tagged = tag_load(read_bars(wh.spark, paths), market, run_id, time)
-                rows, seen = counted(tagged, rows=F.count(F.lit(1)))
-                append(rows, wh.name("landing"))
-                report = LoadReport(run_id, len(paths), seen.get["rows"])
-                landed = of_market(wh.table("landing"), market).where(F.col("load_id") == run_id)
+                change.put("landing", wh.write("landing", tag_load(read_bars(wh.spark, paths), market, run_id, time)))
+                landed = wh.rows("landing", change.add["landing"])
                 counts = landed.groupBy(F.col("source_file").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+                counts = working_copy(counts, f"{folder}/counts")
+
+            def finish(state: State) -> None:
+                own, reset = Change(), None
+                if mode == FULL:  # rows of runs that are reset go in the same commit
+                    own.put("landing", [], state.files("landing", [(market,)]))
+                    own.read["landing"] = {(market,)}
+                    reset = audit.resets(wh, audit.LANDING, audit.one_market(wh.spark, market), state)
+                end = audit.now(wh.spark, run_ts)
+                audit.audit_finish(
+                    wh, audit.LANDING, run_id, end, audit.OK, counts, ["file"], reset, change=change.joined(own), seen=state
+                )
+
+            until_not_overtaken(wh, finish)
             status = audit.OK
         finally:
-            end = audit.now(wh.spark, run_ts)
-            reset = audit.resets(wh, audit.LANDING, audit.one_market(wh.spark, market)) if mode == FULL else None
-            audit.audit_finish(wh, audit.LANDING, run_id, end, status, counts, ["file"], reset)
-        if mode == FULL:  # rows of runs that were reset no longer count; now they can go
-            old = [p for p in partitions(wh.spark, wh.name("landing"), market=market) if p["load_id"] != run_id]
-            drop_partitions(wh.spark, wh.name("landing"), old)
-        return report
-
-
-def slices_to_merge(wh: Warehouse, touched: DataFrame, market: str | None) -> DataFrame:
-    """Staged bars of the touched slices; other partitions are not read."""
-    return only_keys(of_market(wh.table("staging"), market), filled(touched), SLICE_KEY)
-
+            if status != audit.OK:
+                audit.audit_finish(wh, audit.LANDING, run_id, audit.now(wh.spark, run_ts), audit.FAILED)
+        return LoadReport(run_id, len(paths), sum(f.rows for f in change.add.get("landing", [])))
 
-def _write_staging(
-    wh: Warehouse, batch: DataFrame, mode: str, market: str | None, run_id: str, folder: str
-) -> SliceSwap:
-    """Merge a written batch (unique per key) into staging, touching only its (market, year) slices.
 
-    Which slices those are is recorded first. The record counts only once the run is finished.
-    """
-    append(slice_counts(batch).withColumn("load_id", F.lit(run_id)), wh.name("slices"))
-    merged = batch
-    if mode != FULL:
-        recorded = wh.table("slices").where(F.col("load_id") == run_id)
-        touched = working_copy(recorded, f"{folder}/touched")
-        old = slices_to_merge(wh, touched, market)
-        merged = upsert(old, batch.select(*old.columns), STAGING_KEY)
-    return swap_slices(merged, wh.name("staging"), SLICE_KEY)
+def until_not_overtaken(wh: Warehouse, commit: Callable[[State], None]) -> None:
+    """Computes and commits from the newest state, anew each time another run changed what was read."""
+    while True:
+        try:
+            return commit(wh.log.state())
+        except Overtaken:
+            continue
 
 
 def _typed_batch(
     wh: Warehouse, raw: DataFrame, run_id: str, time: datetime, order: list[str], folder: str
-) -> tuple[DataFrame, dict]:
-    """Clean rows, one per key, written once: staging merge, slices and counts all read that copy."""
+) -> tuple[DataFrame, int, int]:
+    """Clean rows, one per key, written once; and how many rows were read and rejected.
+
+    Newest row wins in the same aggregation that counts: copies of a key and rejects of a reason fold
+    before the shuffle, and what a lost task had counted is not counted again.
+    """
     keyed = raw.withColumn("file_key", file_key(F.col("source_file")))
-    parsed, seen = counted(
-        parse_bars(keyed, wh.price_type),
-        read=F.count(F.lit(1)),
-        rejected=F.count_if(F.col("reject_reason").isNotNull()),
-    )
-    columns = dict.fromkeys([*STAGING_KEY, *order, "open", "close", "load_id"])
-    newest = latest_wins(valid_bars(parsed).select(*columns), STAGING_KEY, order)
-    batch = newest.select(
-        "market", "time", "open", "close", F.col("load_id").alias("landed_by"), F.lit(run_id).alias("load_id"),
-        F.lit(time).cast("timestamp").alias("load_time"), F.year("time").alias("year"), "file_key",
+    parsed = parse_bars(keyed, wh.price_type)
+    good = F.col("reject_reason").isNull()
+    values = [c for c in dict.fromkeys([*order, "open", "close", "load_id"])]
+    rows = parsed.select("market", "reject_reason", *(F.when(good, F.col(c)).alias(c) for c in dict.fromkeys(["time", *values, "file_key"])))
+    rest = [c for c in dict.fromkeys([*values, "file_key"]) if c not in order]
+    newest = F.max(F.struct(*order, *rest)).alias("newest")
+    folded = rows.groupBy(*STAGING_KEY, "reject_reason").agg(newest, F.count(F.lit(1)).alias("copies"))
+    copy = working_copy(
+        folded.select(
+            *STAGING_KEY, F.col("newest.open"), F.col("newest.close"), F.col("newest.load_id").alias("landed_by"),
+            F.lit(run_id).alias("load_id"), F.lit(time).cast("timestamp").alias("load_time"), F.year("time").alias("year"),
+            F.col("newest.file_key"), "reject_reason", "copies",
+        ),
+        f"{folder}/batch",
     )
-    return working_copy(batch, f"{folder}/batch"), seen.get
+    read = F.coalesce(F.sum("copies"), F.lit(0))
+    rejected = F.coalesce(F.sum(F.when(F.col("reject_reason").isNotNull(), F.col("copies"))), F.lit(0))
+    counts = copy.agg(read.alias("read"), rejected.alias("rejected")).first()
+    return copy.where(F.col("reject_reason").isNull()).drop("reject_reason", "copies"), counts["read"], counts["rejected"]
 
 
 def landing_rows(wh: Warehouse, loads: DataFrame, market: str | None) -> DataFrame:
-    """Landed rows of some finished loads. Loads are partitions, so others are not read."""
+    """Landed rows of some finished loads. Only files of these loads are listed, and no others read."""
     finished = loads.where(F.col("finish_time") > never())
-    return only_keys(of_market(wh.table("landing"), market), finished, ["market", "load_id"])
+    named = [(r.market, r.load_id) for r in finished.select("market", "load_id").distinct().collect()]
+    return of_market(wh.table("landing", within=named), market)
 
 
 def clean_to_staging(
@@ -174,23 +180,27 @@ def clean_to_staging(
             return NOTHING
         run_id = audit.new_run_id()
         audit.audit_start(wh, audit.STAGING, run_id, time, task, markets)
-        status, counts, report, swap = audit.FAILED, None, NOTHING, None
+        status = audit.FAILED
         try:
             rows = landing_rows(wh, loads, market)
-            batch, seen = _typed_batch(wh, rows, run_id, time, ["load_time", "load_id", *ROW_ORDER], folder)
-            report = LoadReport(run_id, 0, seen["read"], seen["rejected"])
-            swap = _write_staging(wh, batch, mode, market, run_id, folder)
-            for row in markets.collect() if mode == FULL else []:
-                swap.retire(market=row.market)
-            counts = batch.groupBy("market").agg(F.count(F.lit(1)).alias("rows"))
-            reset = audit.resets(wh, audit.STAGING, markets) if mode == FULL else None
-            audit.audit_finish(wh, audit.STAGING, run_id, audit.now(wh.spark, run_ts), audit.OK, counts, ["market"], reset, loads)
+            batch, read, rejected = _typed_batch(wh, rows, run_id, time, ["load_time", "load_id", *ROW_ORDER], folder)
+            counts = working_copy(batch.groupBy("market").agg(F.count(F.lit(1)).alias("rows")), f"{folder}/counts")
+            emptied = [r.market for r in markets.collect()] if mode == FULL else None
+            merge = merge_into_staging(wh, batch, run_id, emptied)
+
+            def finish(state: State) -> None:
+                reset = audit.resets(wh, audit.STAGING, markets, state) if mode == FULL else None
+                end = audit.now(wh.spark, run_ts)
+                audit.audit_finish(
+                    wh, audit.STAGING, run_id, end, audit.OK, counts, ["market"], reset, loads, merge(state), state
+                )
+
+            until_not_overtaken(wh, finish)
             status = audit.OK
         finally:
             if status != audit.OK:
-                _failed(wh, swap, run_id, run_ts)
-        swap.clear()
-        return report
+                audit.audit_finish(wh, audit.STAGING, run_id, audit.now(wh.spark, run_ts), audit.FAILED)
+        return LoadReport(run_id, 0, read, rejected)
 
 
 def load_staging(
@@ -219,35 +229,31 @@ def load_listed(
             return NOTHING
         run_id = audit.new_run_id()
         audit.audit_start(wh, audit.STAGING, run_id, time, task, files, market)
-        status, counts, report, swap = audit.FAILED, None, NOTHING, None
+        status = audit.FAILED
         try:
+            batch, read, rejected, counts = None, 0, 0, None
             if paths:
                 raw = tag_load(read_bars(wh.spark, paths), market, run_id, time)
-                batch, seen = _typed_batch(wh, raw, run_id, time, ROW_ORDER, folder)
-                report = LoadReport(run_id, len(paths), seen["read"], seen["rejected"])
-                swap = _write_staging(wh, batch, mode, market, run_id, folder)
+                batch, read, rejected = _typed_batch(wh, raw, run_id, time, ROW_ORDER, folder)
                 per_file = batch.groupBy("file_key").agg(F.count(F.lit(1)).alias("rows"))
                 names = files.select("file", file_key(F.col("file")).alias("file_key"))
-                counts = names.join(per_file, "file_key")
-            else:
-                swap = SliceSwap(wh.spark, wh.name("staging"), [], [])
-            if mode == FULL:
-                swap.retire(market=market)
-            reset = audit.resets(wh, audit.STAGING, audit.one_market(wh.spark, market)) if mode == FULL else None
-            audit.audit_finish(wh, audit.STAGING, run_id, audit.now(wh.spark, run_ts), audit.OK, counts, ["file"], reset)
+                counts = working_copy(names.join(per_file, "file_key"), f"{folder}/counts")
+            merge = merge_into_staging(wh, batch, run_id, [market] if mode == FULL else None)
+
+            def finish(state: State) -> None:
+                one = audit.one_market(wh.spark, market)
+                reset = audit.resets(wh, audit.STAGING, one, state) if mode == FULL else None
+                end = audit.now(wh.spark, run_ts)
+                audit.audit_finish(
+                    wh, audit.STAGING, run_id, end, audit.OK, counts, ["file"], reset, change=merge(state), seen=state
+                )
+
+            until_not_overtaken(wh, finish)
             status = audit.OK
         finally:
             if status != audit.OK:
-                _failed(wh, swap, run_id, run_ts)
-        swap.clear()
-        return report
-
-
-def _failed(wh: Warehouse, swap: SliceSwap | None, run_id: str, run_ts: datetime | None) -> None:
-    """Staging goes back to what it held before the run, and the run is closed as failed."""
-    if swap is not None:
-        swap.undo()
-    audit.audit_finish(wh, audit.STAGING, run_id, audit.now(wh.spark, run_ts), audit.FAILED)
+                audit.audit_finish(wh, audit.STAGING, run_id, audit.now(wh.spark, run_ts), audit.FAILED)
+        return LoadReport(run_id, len(paths), read, rejected)
 
 
 def landing_rejects(wh: Warehouse, market: str | None = None) -> DataFrame:

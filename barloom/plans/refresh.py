@@ -18,7 +18,8 @@ from barloom.plans.arguments import FULL, check_basis, check_mode, check_text
 from barloom.plans.warehouse import Warehouse
 from barloom.schemas import SLICE_KEY
 from barloom.session import scratch_folder
-from barloom.sinks.tables import SliceSwap, claim, swap_slices, working_copy
+from barloom.sinks.tables import claim, rebalanced, working_copy
+from barloom.sinks.versions import Change, Overtaken, State
 
 
 def loads_to_show(wh: Warehouse, mode: str, market: str | None = None) -> DataFrame:
@@ -28,20 +29,25 @@ def loads_to_show(wh: Warehouse, mode: str, market: str | None = None) -> DataFr
     return audit.new_loads(wh, audit.STAGING, audit.OVERVIEW, market)
 
 
-def changed_slices(wh: Warehouse, loads: DataFrame) -> DataFrame:
+def changed_slices(wh: Warehouse, loads: DataFrame, state: State | None = None) -> DataFrame:
     """(market, year, rows) touched by the loads, from the small table of touched slices, not from the bars."""
-    touched = only_keys(wh.table("slices"), loads, ["market", "load_id"])
+    touched = only_keys(wh.table("slices", state), loads, ["market", "load_id"])
     return touched.groupBy(*SLICE_KEY).agg(F.sum("rows").alias("rows"))
 
 
-def staged_bars(wh: Warehouse, market: str | None = None, slices: DataFrame | None = None) -> DataFrame:
-    """Staged bars. Slices are table partitions, so the others are not read.
+def staged_bars(
+    wh: Warehouse, market: str | None = None, slices: DataFrame | None = None, state: State | None = None
+) -> DataFrame:
+    """Staged bars of one version. Only files of the wanted slices are listed, and no others read.
 
-    A slice points to the files of a load once they are complete and points back if the load fails, so
-    no bar has to be looked up in the audit log.
+    A file is part of staging from the commit that finishes its load on, so no bar has to be looked up in the
+    audit log.
     """
-    bars = of_market(wh.table("staging"), market)
-    return bars if slices is None else only_keys(bars, filled(slices), SLICE_KEY)
+    if slices is None:
+        return wh.table("staging", state, None if market is None else [(market,)])
+    wanted = slices if market is None else slices.where(F.col("market") == market)
+    names = [(r.market, str(r.year)) for r in filled(wanted).distinct().collect()]
+    return wh.table("staging", state, names)
 
 
 def refreshed_prices(
@@ -87,67 +93,85 @@ def refresh(
 ) -> bool:
     """Bring month prices, changes and overview up to date. False if there was nothing to do."""
     check_mode(mode), check_text("task", task)
+    time = audit.now(wh.spark, run_ts)
+    with claim(wh.database, market):
+        while True:
+            with scratch_folder(wh.spark, "refresh") as folder:
+                try:
+                    return _refresh_once(wh, mode, market, time, run_ts, task, folder)
+                except Overtaken:
+                    continue
+
+
+def _refresh_once(
+    wh: Warehouse, mode: str, market: str | None, time: datetime, run_ts: datetime | None, task: str, folder: str
+) -> bool:
+    """One attempt; its run is closed as failed if another run changed a market it wrote."""
     spark = wh.spark
-    time = audit.now(spark, run_ts)
-    with claim(wh.database, market), scratch_folder(wh.spark, "refresh") as folder:
-        loads = working_copy(loads_to_show(wh, mode, market), f"{folder}/loads")
-        changed = working_copy(changed_slices(wh, loads), f"{folder}/changed")
-        markets = changed.select("market").distinct() if market is None else audit.one_market(spark, market)
-        if mode != FULL and changed.isEmpty():
-            return False
-        run_id = audit.new_run_id()
-        audit.audit_start(wh, audit.OVERVIEW, run_id, time, task, markets)
-        swaps: list[SliceSwap] = []
-        status = audit.FAILED
-        try:
-            _rewrite(wh, mode, market, changed, markets, time, folder, swaps)
-            reset = audit.resets(wh, audit.OVERVIEW, markets) if mode == FULL else None
-            audit.audit_finish(wh, audit.OVERVIEW, run_id, audit.now(spark, run_ts), audit.OK, reset=reset, took=loads)
-            status = audit.OK
-        finally:
-            if status != audit.OK:
-                for swap in reversed(swaps):
-                    swap.undo()
-                audit.audit_finish(wh, audit.OVERVIEW, run_id, audit.now(spark, run_ts), audit.FAILED)
-        for swap in swaps:
-            swap.clear()
-        return True
+    # Loads first: what they did is part of every state from now on.
+    loads = working_copy(loads_to_show(wh, mode, market), f"{folder}/loads")
+    state = wh.log.state()
+    changed = working_copy(changed_slices(wh, loads, state), f"{folder}/changed")
+    markets = changed.select("market").distinct() if market is None else audit.one_market(spark, market)
+    if mode != FULL and changed.isEmpty():
+        return False
+    run_id = audit.new_run_id()
+    audit.audit_start(wh, audit.OVERVIEW, run_id, time, task, markets)
+    status = audit.FAILED
+    try:
+        change = _rewrite(wh, mode, market, changed, markets, time, state)
+        reset = audit.resets(wh, audit.OVERVIEW, markets, state) if mode == FULL else None
+        end = audit.now(spark, run_ts)
+        audit.audit_finish(wh, audit.OVERVIEW, run_id, end, audit.OK, reset=reset, took=loads, change=change, seen=state)
+        status = audit.OK
+    finally:
+        if status != audit.OK:
+            audit.audit_finish(wh, audit.OVERVIEW, run_id, audit.now(spark, run_ts), audit.FAILED)
+    return True
 
 
 def _rewrite(
-    wh: Warehouse, mode: str, market: str | None, changed: DataFrame, markets: DataFrame, time: datetime, folder: str,
-    swaps: list[SliceSwap],
-) -> None:
-    """One pass over the changed bars, then three small tables, of which only the markets concerned are written."""
+    wh: Warehouse, mode: str, market: str | None, changed: DataFrame, markets: DataFrame, time: datetime, state: State
+) -> Change:
+    """One pass over the changed bars, then three small tables, of which only the markets concerned are written.
+
+    Each table is computed from the new files of the one before. All three come with one commit, which fails if
+    one of the markets was changed since ``state``.
+    """
     stamped = F.lit(time).cast("timestamp")
     # A full run replaces whole markets (all of them if none is named), an incremental one slices.
     keys = ["market"] if mode == FULL else SLICE_KEY
-    gone = markets if mode == FULL else changed
-    near = markets.where(F.col("market").isNotNull())
+    if market is not None:
+        within = {(market,)}
+    elif mode == FULL:
+        within = {()}
+    else:
+        within = {(r.market,) for r in markets.collect()}
+    change = Change()
 
     def stored(table: str) -> DataFrame:
-        rows = wh.table(table)
-        return rows.limit(0) if mode == FULL else only_keys(rows, near, ["market"])
+        return wh.table(table, state, set() if mode == FULL else within)
 
-    def write(rows: DataFrame, table: str) -> None:
-        swaps.append(swap_slices(rows, wh.name(table), ["market"]))
-        if mode == FULL:
-            swaps[-1].retire(**({} if market is None else {"market": market}))
+    def write(rows: DataFrame, table: str) -> DataFrame:
+        change.read[table] = within
+        change.put(table, wh.write(table, rebalanced(rows, ["market"])), state.files(table, within))
+        return wh.rows(table, change.add[table])
 
-    bars = staged_bars(wh, market, None if mode == FULL else changed)
-    write(refreshed_prices(stored("prices"), bars, gone, keys), "prices")
+    bars = staged_bars(wh, market, None if mode == FULL else changed, state)
+    gone = markets if mode == FULL else changed
+    prices = write(refreshed_prices(stored("prices"), bars, gone, keys), "prices")
 
-    prices = only_keys(wh.table("prices"), near, ["market"])
-    reach = changed
-    if wh.carry:
-        reach = working_copy(refresh_reach(prices, changed, carry=True), f"{folder}/reach")
+    # A full run shows all that is staged, also bars of loads that finished since it looked for loads.
+    reach = prices.select(*SLICE_KEY).distinct() if mode == FULL else refresh_reach(prices, changed, wh.carry)
     dropped = markets if mode == FULL else reach
     changes = refreshed_changes(stored("changes"), prices, reach, dropped, keys, wh.carry)
-    write(changes.withColumn("updated_at", F.coalesce("updated_at", stamped)), "changes")
+    changes = write(changes.withColumn("updated_at", F.coalesce("updated_at", stamped)), "changes")
 
-    fresh = only_keys(wh.table("changes"), reach, SLICE_KEY)
-    wide = refreshed_overview(stored("overview"), fresh, dropped, keys, wh.missing)
+    fresh = only_keys(changes, reach, SLICE_KEY)
+    concerned = prices.select("market").distinct() if mode == FULL else dropped
+    wide = refreshed_overview(stored("overview"), fresh, concerned, keys, wh.missing)
     write(wide.withColumn("updated_at", F.coalesce("updated_at", stamped)), "overview")
+    return change
 
 
 def overview(wh: Warehouse, market: str | None = None, basis: str = "both") -> DataFrame:

@@ -27,6 +27,7 @@ _SIMPLE_TYPES = {
     "double": T.DoubleType(),
     "binary": T.BinaryType(),
     "timestamp": T.TimestampType(),
+    "boolean": T.BooleanType(),
 }
 
 
@@ -89,6 +90,14 @@ AUDIT = struct(
     status="string", source_id="string",
 )
 
+# Runs folded from finished events, and the loads that finished runs took up.
+RUNS = struct(
+    layer="string", run_id="string", market="string", task="string", uri="string", file="string", checksum="string",
+    file_size="bigint", file_time="timestamp", start_time="timestamp", finish_time="timestamp", rows="bigint",
+    status="string", is_stored="boolean",
+)
+TAKEN = struct(layer="string", market="string", run_id="string", load_id="string")
+
 LANDING_KEY = ["market", "time"]
 STAGING_KEY = ["market", "time"]
 SLICE_KEY = ["market", "year"]

@@ -1,9 +1,9 @@
-"""Writing tables: append, replace, slices, swaps, and table maintenance.
+"""Writing tables of the catalog: append, replace, slices, swaps, and table maintenance.
 
-Tables partitioned by slice or market (staging, prices, changes, overview) change by whole partitions: new
-files get a folder of their own, and then the partitions are pointed to them. An unpartitioned table is
-rewritten next to the old version and then switched over by moving its location. Either way a reader
-sees the old or the new content, and a failed write leaves the old one.
+A partitioned table changes by whole partitions: new files get a folder of their own, and then the partitions
+are pointed to them, one by one. An unpartitioned table is rewritten next to the old version and then
+switched over by moving its location. A failed write leaves the old content. Tables that several runs
+change at a time, or of which several change together, are kept by ``versions`` instead.
 """
 
 from __future__ import annotations
@@ -39,9 +39,10 @@ _claims: dict[tuple[str, str], threading.Lock] = defaultdict(threading.Lock)
 
 @contextmanager
 def claim(database: str, market: str | None) -> Iterator[None]:
-    """One run at a time on one market of a database; runs on different markets go side by side.
+    """Spares runs of one market in one driver the same work at a time; nothing more rests on it.
 
-    A run on all markets (None) excludes only other such runs. The claim holds within one driver.
+    Runs on other markets, on all of them (None) and on other drivers go side by side: what they commit is
+    compared with what they read (``versions``).
     """
     with _claims[(database, market or "")]:
         yield
@@ -95,16 +96,10 @@ class SliceSwap:
             if folder is None:
                 drop_partitions(self.spark, self.table, [spec])
             else:
-                _add(self.spark, self.table, spec, folder)
+                _add(self.spark, self.table, [(spec, folder)])
                 _point(self.spark, self.table, spec, folder)
         self.spark.catalog.refreshTable(self.table)
 
-    def retire(self, **fixed: str) -> None:
-        """Takes out the other partitions of the table, or those of them with some fixed values."""
-        others = [p for p in partitions(self.spark, self.table, **fixed) if p not in self.slices]
-        self.before += [(p, partition_location(self.spark, self.table, p)) for p in others]
-        drop_partitions(self.spark, self.table, others)
-
     def clear(self) -> None:
         """Removes what the partitions held before."""
         for _, folder in self.before:
@@ -116,8 +111,11 @@ def _spec(spec: dict[str, str]) -> str:
     return ", ".join(f"`{k}`={text_literal(str(v))}" for k, v in spec.items())
 
 
-def _add(spark: SparkSession, table: str, spec: dict[str, str], folder: str) -> None:
-    spark.sql(f"ALTER TABLE {quote(table)} ADD IF NOT EXISTS PARTITION ({_spec(spec)}) LOCATION {text_literal(folder)}")
+def _add(spark: SparkSession, table: str, folders: list[tuple[dict[str, str], str]]) -> None:
+    """New partitions, all in one statement."""
+    if folders:
+        listed = " ".join(f"PARTITION ({_spec(s)}) LOCATION {text_literal(f)}" for s, f in folders)
+        spark.sql(f"ALTER TABLE {quote(table)} ADD IF NOT EXISTS {listed}")
 
 
 def _point(spark: SparkSession, table: str, spec: dict[str, str], folder: str) -> None:
@@ -144,15 +142,15 @@ def swap_slices(df: DataFrame, table: str, keys: list[str]) -> SliceSwap:
     written = files.select(*keys, "_slice").distinct().collect()
     existing = {tuple(p[k] for k in keys) for p in partitions(spark, table)}
     swap = SliceSwap(spark, table, [{k: str(r[k]) for k in keys} for r in written], [])
+    targets = [(s, f"{folder}/_slice={r['_slice']}") for s, r in zip(swap.slices, written, strict=True)]
+    new = [(s, t) for s, t in targets if tuple(s.values()) not in existing]
     try:
-        for spec, row in zip(swap.slices, written, strict=True):
-            target = f"{folder}/_slice={row['_slice']}"
+        swap.before += [(s, None) for s, _ in new]
+        _add(spark, table, new)
+        for spec, target in targets:
             if tuple(spec.values()) in existing:
                 swap.before.append((spec, partition_location(spark, table, spec)))
                 _point(spark, table, spec, target)
-            else:
-                swap.before.append((spec, None))
-                _add(spark, table, spec, target)
     except BaseException:
         swap.undo()
         raise
@@ -231,18 +229,6 @@ def create_table(
     )
 
 
-def keep_options(spark: SparkSession, table: str, options: dict[str, str]) -> None:
-    """Options as properties of a table: set once, and refused if they differ later."""
-    rows = spark.sql(f"SHOW TBLPROPERTIES {quote(table)}").collect()
-    kept = {r["key"].removeprefix("barloom."): r["value"] for r in rows if r["key"].startswith("barloom.")}
-    wrong = [k for k, v in options.items() if k in kept and kept[k] != v]
-    if wrong:
-        raise ValueError(", ".join(f"{k} is {kept[k]}, not {options[k]}" for k in wrong))
-    new = ", ".join(f"'barloom.{k}' = {text_literal(v)}" for k, v in options.items() if k not in kept)
-    if new:
-        spark.sql(f"ALTER TABLE {quote(table)} SET TBLPROPERTIES ({new})")
-
-
 def drop_table(spark: SparkSession, table: str) -> None:
     """Remove the table and its files."""
     if spark.catalog.tableExists(table):

@@ -9,11 +9,13 @@ from barloom.operators.changes import monthly_changes
 from barloom.operators.merge import latest_wins
 from barloom.operators.periods import period_open_close
 from barloom.operators.pivots import monthly_overview
-from barloom.plans.load import landing_rows, slices_to_merge
+from barloom.plans import staging
+from barloom.plans.load import landing_rows
 from barloom.plans.refresh import staged_bars
-from barloom.schemas import SLICE_KEY, slices_schema
+from barloom.plans.staging import merge_into_staging
+from barloom.schemas import slices_schema
 from barloom.session import scratch_path
-from barloom.sinks.tables import overwrite_slices, working_copy
+from barloom.sinks.tables import working_copy
 from barloom.sources.clean import clean_bars, tag_load
 from barloom.sources.files import read_bars
 from conftest import ts
@@ -39,7 +41,9 @@ def staged(spark, warehouse):
         "'r' AS landed_by, 'l' AS load_id, timestamp_seconds(0) AS load_time, "
         "CASE WHEN id % 2 = 0 THEN 'A' ELSE 'B' END AS market FROM range(1000)"
     ).selectExpr("*", "year(time) AS year")
-    overwrite_slices(bars, wh.name("staging"), SLICE_KEY)
+    merge = merge_into_staging(wh, bars, "l")
+    state = wh.log.state()
+    wh.log.commit(merge(state), state)
     return wh
 
 
@@ -68,44 +72,39 @@ def test_only_used_columns_and_partitions_are_read(staged):
     assert "market#" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
-def pruned(plan, table):
-    """Whether the scan of the table has a partition filter that comes from a join."""
-    scans = [line for line in plan.splitlines() if "FileScan" in line and table in line]
-    return bool(scans) and all("dynamicpruning" in s.split("PartitionFilters: [")[1].split("]")[0] for s in scans)
-
-
 @pytest.mark.parametrize("market", [None, "A"])
-def test_slices_of_a_batch_prune_the_staging_scan(spark, staged, market):
+def test_slices_of_a_batch_list_only_their_files(spark, staged, market):
     touched = working_copy(
         spark.createDataFrame([("l", "A", 2021, 5)], slices_schema()), scratch_path(spark, "touched")
     )
-    assert pruned(plan_of(slices_to_merge(staged, touched, market)), staged.name("staging"))
-    assert pruned(plan_of(staged_bars(staged, market, touched)), staged.name("staging"))
+    files = staged_bars(staged, market, touched).inputFiles()
+    assert files and all("/market=A/year=2021/" in f for f in files)
 
 
 @pytest.mark.parametrize("market", [None, "A"])
-def test_loads_prune_the_landing_scan(spark, staged, market):
+def test_loads_list_only_their_landing_files(spark, staged, market):
+    row = "'2020-01-01' AS time, market, load_id, timestamp_seconds(0) AS load_time"
+    source = spark.sql("SELECT * FROM VALUES ('A', 'l'), ('A', 'k'), ('B', 'l') AS t(market, load_id)").selectExpr(*row.split(", "))
+    nulls = [f.name for f in staged.table("landing").schema if f.name not in source.columns]
+    staged.append("landing", source.selectExpr("*", *(f"null AS {n}" for n in nulls)))
     rows = [("A", "l", ts("2030-01-01"))]
     loads = spark.createDataFrame(rows, "market string, load_id string, finish_time timestamp")
-    loads = working_copy(loads, scratch_path(spark, "loads"))
-    assert pruned(plan_of(landing_rows(staged, loads, market)), staged.name("landing"))
+    files = landing_rows(staged, loads, market).inputFiles()
+    assert files and all("/market=A/load_id=l/" in f for f in files)
 
 
-def test_a_hot_slice_is_written_by_many_tasks(spark, warehouse):
+def test_a_hot_slice_is_written_by_many_tasks(spark, warehouse, monkeypatch):
     wh = warehouse()
     rows = spark.range(0, 400000, 1, 8).selectExpr(
         "timestamp_seconds(1577836800 + id) AS time", "rand(1) * 1000 AS open", "rand(2) * 1000 AS close",
         "'r' AS landed_by", "'l' AS load_id", "timestamp_seconds(0) AS load_time", "'A' AS market", "2020 AS year",
     )
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "256KB")
-    try:
-        overwrite_slices(rows, wh.name("staging"), SLICE_KEY)
-    finally:
-        spark.conf.set(key, before)
+    monkeypatch.setattr(staging, "ROWS_PER_FILE", 100_000)
+    state = wh.log.state()
+    wh.log.commit(merge_into_staging(wh, rows, "l")(state), state)
     assert wh.table("staging").count() == 400000
-    assert len(wh.table("staging").inputFiles()) >= 4
+    files = wh.log.state().files("staging")
+    assert [f.rows for f in sorted(files, key=lambda f: f.least)] == [100_000] * 4
 
 
 def test_copies_of_a_key_are_folded_before_the_shuffle(staged):

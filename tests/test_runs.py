@@ -182,7 +182,7 @@ def test_a_failed_load_is_recorded_raised_and_retried(spark, warehouse, tmp_path
     rows = some_bars(9, n=10)
     bar_file(tmp_path / "in" / "a.csv", rows)
     with monkeypatch.context() as broken:
-        broken.setattr(load, "_write_staging", lambda *a: 1 / 0)
+        broken.setattr(load, "merge_into_staging", lambda *a: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             load_staging(wh, str(tmp_path / "in"), "M", "incremental", clock())
     assert rows_of(audit.audit_runs(wh, audit.STAGING), "status", "is_stored") == [("failed", False)]
