@@ -34,7 +34,7 @@ def turns_of(df: DataFrame) -> DataFrame:
 
 def prefix_hashes(turns: DataFrame) -> DataFrame:
     """(conv_id, turn, last_turn, hashes, n_turns): hash and length of each conversation up to each turn."""
-    text = [F.coalesce(c, F.lit("\0")) for c in ("role", "text")]
+    text = [x for c in ("role", "text") for x in (F.col(c).isNull(), F.coalesce(c, F.lit("")))]
     one, two = F.xxhash64("turn", *text), F.xxhash64(*text, "turn")
     # Equal rows of one turn count once; different ones are turns of their own.
     seen = turns.select("conv_id", "part", "turn", one.alias("one"), two.alias("two")).distinct()
@@ -72,12 +72,13 @@ def rendered_turn(turn: Column) -> Column:
     return F.concat(F.lit("<|im_start|>"), role, F.lit("\n"), text, F.lit("<|im_end|>\n"))
 
 
-def formatted(df: DataFrame) -> DataFrame:
+def formatted(df: DataFrame, by_part: bool = False) -> DataFrame:
     """(conv_id, part, n_turns, n_copies, n_chars, rendered) of the maximal conversations.
 
-    Turns stand in order of number, then role and text. A conversation with turn numbers over PART
-    has a row for each part of PART numbers, and its text is their texts in order of ``part``. Null
-    roles and texts are rendered empty. Equal rows count once. An empty table gives no rows.
+    Turns stand in order of number, then role and text. A conversation is one row, with part 0; its text is
+    rendered by parts of PART turn numbers and then joined. With ``by_part`` the parts stay rows of their own, for
+    conversations too long for one value. Null roles and texts are rendered empty, but are not equal to empty
+    ones. Equal rows count once. An empty table gives no rows.
     """
     kept = keep(maximal(df), "maximal")
     turns = turns_of(df).join(kept.select("conv_id"), "conv_id", "left_semi")
@@ -85,5 +86,9 @@ def formatted(df: DataFrame) -> DataFrame:
     turns = turns.repartition("conv_id", "part").groupBy("conv_id", "part")
     turns = turns.agg(F.array_sort(F.collect_set(F.struct("turn", "role", "text"))).alias("turns"))
     text = F.array_join(F.transform("turns", rendered_turn), "")
-    out = turns.select("conv_id", "part", text.alias("rendered")).join(kept, "conv_id")
+    texts = turns.select("conv_id", "part", text.alias("rendered"))
+    if not by_part:
+        pieces = F.array_sort(F.collect_list(F.struct("part", "rendered")))["rendered"]
+        texts = texts.groupBy("conv_id").agg(F.array_join(pieces, "").alias("rendered")).withColumn("part", F.lit(0).cast("long"))
+    out = texts.join(kept, "conv_id")
     return out.select("conv_id", "part", "n_turns", "n_copies", F.length("rendered").cast("long").alias("n_chars"), "rendered")

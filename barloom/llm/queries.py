@@ -71,7 +71,7 @@ WITH turns AS (
   SELECT min(conv_id) AS conv_id, len(said) AS n_turns, count(*) AS n_copies
   FROM whole WHERE said NOT IN (SELECT said FROM shorter) GROUP BY said
 ), parts AS (
-  SELECT conv_id, CAST(floor(turn / 256.0) AS BIGINT) AS part,
+  SELECT conv_id, CAST(0 AS BIGINT) AS part,
     string_agg('<|im_start|>' || replace(coalesce(role, ''), '<|', '< |') || chr(10)
       || replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS rendered
   FROM turns GROUP BY ALL
@@ -111,16 +111,18 @@ def op8_topk(spark: SparkSession, directory: str) -> DataFrame:
 
 ORACLE["op8_topk"] = """
 WITH whole AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS comps FROM embeddings
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS comps FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(CAST(x AS DOUBLE)))) = len(embedding)
+), numbered AS (
+  SELECT *, row_number() OVER (ORDER BY vec_id, comps) AS no FROM whole
 ), parts AS (
-  SELECT vec_id, unnest(comps) AS comp, generate_subscripts(comps, 1) AS place FROM whole
+  SELECT no, vec_id, len(comps) AS width, unnest(comps) AS comp, generate_subscripts(comps, 1) AS place FROM numbered
 ), scored AS (
-  SELECT q.vec_id AS query_id, x.vec_id, CAST(sum(q.comp * x.comp) AS BIGINT) AS score
-  FROM parts q JOIN parts x ON q.place = x.place AND q.vec_id <> x.vec_id WHERE q.vec_id % 50 = 0 GROUP BY ALL
+  SELECT q.no, q.vec_id AS query_id, x.no AS other, x.vec_id, CAST(sum(q.comp * x.comp) AS BIGINT) AS score
+  FROM parts q JOIN parts x ON q.place = x.place AND q.width = x.width AND q.no <> x.no WHERE q.vec_id % 50 = 0 GROUP BY ALL
 ), ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+  SELECT *, CAST(row_number() OVER (PARTITION BY no ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """

@@ -30,26 +30,28 @@ FIRST_DEPTH = 16
 TASKS = 20_000
 # Scores up to here are exact in floating point.
 EXACT = float(1 << 53)
-RESULT = "query_id long, vec_id long, score long"
+# Components and scores are cut here.
+TOP = (1 << 63) - 1
+RESULT = "query_no int, query_id long, vec_id long, score long"
 
 
 def quantised(df: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: int = 256) -> DataFrame:
-    """(key, comps array<long>): floor of ``scale`` times each component as double, one row for each key.
+    """(key, comps array<long>): floor of ``scale`` times each component as double, cut at 64 bits.
 
     Vectors that are null, empty, or hold null or non-finite components take no part, nor do rows
-    without a key. Of several rows with one key, the least vector counts.
+    without a key. Rows equal in key and vector count once; rows of one key that differ stay rows of their own.
     """
     comps = F.transform(F.col(vector), lambda x: x.cast("double"))
     fine = F.forall(comps, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     whole = df.where(F.col(key).isNotNull() & F.col(vector).isNotNull() & (F.size(vector) > 0) & fine)
-    floors = whole.select(F.col(key), F.transform(comps, lambda x: F.floor(x * scale).cast("long")).alias("comps"))
-    return floors.groupBy(key).agg(F.min("comps").alias("comps"))
+    floors = F.transform(comps, lambda x: F.greatest(F.floor(x * scale).cast("long"), F.lit(-TOP)))
+    return whole.select(F.col(key), floors.alias("comps")).distinct()
 
 
 def best_of_block(
     queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int
-) -> list[tuple[int, int, int]]:
-    """(query id, vector id, score) of each query's k best vectors of the block, ties to smaller ids."""
+) -> list[tuple[int, int, int, int]]:
+    """(query number, query id, vector id, score) of each query's k best other rows of the block, ties to smaller ids."""
     n, width = vectors.shape
     largest = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * width
     q, x = queries.astype(np.float64), vectors.astype(np.float64)
@@ -59,7 +61,7 @@ def best_of_block(
     place = np.argsort(order, axis=0, kind="stable")
     # The least a list can give: its far end.
     worst_up, worst_down = up * lists[0], down * lists[-1]
-    out: list[tuple[int, int, int]] = []
+    out: list[tuple[int, int, int, int]] = []
     active = np.arange(len(q))
     depth = n if largest >= EXACT else min(n, max(FIRST_DEPTH, k))
     while len(active):
@@ -80,13 +82,16 @@ def best_of_block(
         ready = np.flatnonzero((left.sum(axis=1) <= max(8 * k, n // 64)) | (depth >= n))
         for row in ready:
             query, rest = queries[active[row]], np.flatnonzero(left[row])
+            name = int(query_ids[active[row]])
+            own = (ids[rest] == name) & (vectors[rest] == query).all(axis=1)
+            rest = rest[~own]
             if largest >= EXACT:
-                scores = [sum(int(a) * int(b) for a, b in zip(query, vectors[r], strict=True)) for r in rest]
+                exact = (sum(int(a) * int(b) for a, b in zip(query, vectors[r], strict=True)) for r in rest)
+                scores = [max(-TOP, min(TOP, score)) for score in exact]
             else:
                 scores = (vectors[rest] @ query).tolist()
             ranked = sorted(zip(scores, ids[rest].tolist(), strict=True), key=lambda p: (-p[0], p[1]))
-            name = int(query_ids[active[row]])
-            out += [(name, vec, score) for score, vec in [p for p in ranked if p[1] != name][:k]]
+            out += [(int(active[row]), name, vec, score) for score, vec in ranked[:k]]
         active = np.delete(active, ready)
         depth = min(n, 2 * depth)
     return out
@@ -95,7 +100,7 @@ def best_of_block(
 def blocks(df: DataFrame, key: str, rows: int, name: str) -> DataFrame:
     """(width, block, ids, comps): the vectors of one length dealt into blocks of about ``rows``."""
     count = df.count()
-    dealt = df.withColumn(name, F.pmod(F.xxhash64(key), F.lit(max(1, -(-count // rows)))).cast("int"))
+    dealt = df.withColumn(name, F.pmod(F.xxhash64(key, "comps"), F.lit(max(1, -(-count // rows)))).cast("int"))
     packed = dealt.groupBy(F.size("comps").alias("width"), name).agg(F.collect_list(F.struct(key, "comps")).alias("rows"))
     return packed.select("width", name, F.col("rows")[key].alias(f"{name}_ids"), F.flatten(F.col("rows")["comps"]).alias(f"{name}_comps"))
 
@@ -104,8 +109,9 @@ def best(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id") ->
     """(query_id, rank int, vec_id, score): each query's k highest scores over all other vectors.
 
     Both sides are tables of ``quantised``; queries meet vectors of their own length only. A query's
-    own row, by key, is no candidate; with fewer candidates than k all are returned. Ties go to the
-    smaller key. A score beyond 64 bits is an error. Empty tables give no rows.
+    own row, equal in key and vector, is no candidate; with fewer candidates than k all are returned. Ties go to
+    the smaller key. Rows that share a key but differ are queries and candidates of their own. Scores are cut at
+    64 bits. Empty tables give no rows.
     """
     left = keep(blocks(queries, key, QUERY_BLOCK, "query"), "query-blocks")
     right = keep(blocks(vectors, key, VECTOR_BLOCK, "vector"), "vector-blocks")
@@ -122,8 +128,10 @@ def best(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id") ->
                 wanted, given = (np.asarray(a, dtype=np.int64).reshape(-1, row.width) for a in (row.query_comps, row.vector_comps))
                 # One more than k: the query itself may be among them.
                 found = best_of_block(wanted, np.asarray(row.query_ids), given, np.asarray(row.vector_ids), k + 1)
-                yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
+                frame = pd.DataFrame(found, columns=["query_no", "query_id", "vec_id", "score"]).astype("int64")
+                yield frame.assign(query_no=frame["query_no"].astype("int32"), width=row.width, query=row.query)
 
-    found = pairs.mapInPandas(search, RESULT)
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = pairs.mapInPandas(search, f"{RESULT}, width int, query int")
+    one = W.partitionBy("width", "query", "query_no")
+    rank = F.row_number().over(one.orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

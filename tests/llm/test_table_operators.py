@@ -179,7 +179,7 @@ def same_rows(df, answer):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("conversations", "embeddings"):
+    for table in ("conversations", "embeddings", "documents"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     assert same_rows(QUERIES[name](spark, SMALL), connection.execute(ORACLE[name]))
 
@@ -189,11 +189,16 @@ def test_conversations_that_grew(spark):
     data = [(c, t, *said[t]) for c, n in ((1, 2), (2, 4), (3, 4), (4, 1)) for t in range(n)]
     data += [(5, 0, "user", "hi"), (5, 1, "assistant", "other"), (6, 0, "user", None), (6, 1, None, ""), (7, 1, "user", "late")]
     data += [(8, t, "user", f"turn {t}") for t in range(600)] + [(9, t, "user", f"turn {t}") for t in range(300)]
+    data += [(12, 0, "user", None), (13, 0, "user", "\0"), (13, 1, "user", "x"), (14, 0, "user", ""), (14, 1, "user", "y")]
     data += [(2, 0, "user", "hi"), (10, 0, "user", "hi"), (10, 0, "user", "again"), (None, 0, "user", "lost"), (11, None, "user", "lost")]
     random.Random(2).shuffle(data)
     df = spark.createDataFrame(data, "conv_id long, turn long, role string, text string").withColumn("n_turns", chat.F.lit(0))
     got = same_rows(chat.formatted(df), duck(conversations=("conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR", data)).execute(ORACLE["op4_chat"]))
-    assert {r[0] for r in got} == {2, 5, 6, 7, 8, 10}
+    # A null text is neither "" nor any other text, and 600 turns are one row unless parts are asked for.
+    assert {r[0] for r in got} == {2, 5, 6, 7, 8, 10, 13, 14} and len(got) == 8
+    parts = chat.formatted(df, by_part=True).where("conv_id = 8").orderBy("part").collect()
+    assert [r["part"] for r in parts] == [0, 1, 2]
+    assert "".join(r["rendered"] for r in parts) == chat.formatted(df).where("conv_id = 8").first()["rendered"]
     assert chat.formatted(df.limit(0)).count() == 0
 
 
@@ -305,6 +310,19 @@ def test_best_vectors_of_large_numbers(spark):
     assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == best_truth(whole)
 
 
+def test_best_vectors_of_repeated_ids_and_huge_components(spark):
+    """Rows of one id that differ are rows of their own, equal ones count once, and scores are cut at 64 bits."""
+    data = [(7, [5.0, 0.0]), (7, [9.0, 0.0]), (7, [9.0, 0.0]), (50, [1.0, 0.0]), (50, [2.0, 0.0]), (3, [1.0, 1.0])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>")
+    found = topk.best(topk.quantised(df), topk.quantised(df).where("vec_id % 50 = 0"), 5)
+    schema = ("vec_id BIGINT, embedding FLOAT[]", data)
+    got = same_rows(found, duck(embeddings=schema).execute(ORACLE["op8_topk"]))
+    assert len(got) == 8 and sum(r[2] == 7 for r in got) == 4 and sum(r[2] == 50 for r in got) == 2
+    huge = topk.quantised(spark.createDataFrame([(0, [1e300, 1.0]), (1, [1e300, 1.0]), (2, [-1e300, 0.0])], "vec_id long, embedding array<double>"))
+    found = topk.best(huge, huge.where("vec_id = 0"), 5).collect()
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in found] == [(1, 1, topk.TOP), (2, 2, -topk.TOP)]
+
+
 def longest(a, b):
     table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
