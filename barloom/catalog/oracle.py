@@ -343,6 +343,12 @@ ORACLE: dict[str, str] = {
         FROM ({ONE_MARKET.replace(f"'{MARKET}' AS market, ", "")}),
              (VALUES ('A', 0.0), ('B', 1.0), ('C', 0.0)) AS markets(market, more)""",
     "markets_refreshed_at_once": _overview(ORDERS),
+    "cleaned_while_loaded": _overview(ORDERS),
+    "late_bars_into_many_files": f"""
+        SELECT market, time, round(open, 6) AS open,
+               round(close + CASE WHEN year(time) = 1997 AND day(time) = 1 THEN 1 ELSE 0 END, 6) AS close
+        FROM ({ONE_MARKET})""",
+    "log_folded_between_loads": _run_counts(RUNS_AFTER_RESET),
     "run_times_out_of_order": _FULL_RUN,
     "full_clean_of_one_route": f"""
         SELECT market, time, round(open, 6) AS open, round(close, 6) AS close

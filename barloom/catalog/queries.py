@@ -950,6 +950,50 @@ def markets_refreshed_at_once(spark, directory):
     return month_table(overview(wh))
 
 
+@query
+def cleaned_while_loaded(spark, directory):
+    """A clean of all landed markets, while each market also gets a load of its own straight to staging."""
+    wh = _warehouse(spark)
+    bars = _orders(spark, directory)
+    markets = [r["market"] for r in bars.select("market").distinct().collect()]
+    for market in markets:
+        load_landing(wh, _bar_files(spark, _before_cut(bars.where(F.col("market") == market))), market, "incremental")
+
+    def direct(market: str) -> None:
+        load_staging(wh, _bar_files(spark, _from_cut(bars.where(F.col("market") == market))), market, "incremental")
+
+    with ThreadPoolExecutor(len(markets) + 1) as pool:
+        cleaned = pool.submit(clean_to_staging, wh, "incremental")
+        list(pool.map(direct, markets))
+        cleaned.result()
+    refresh(wh, "incremental")
+    return month_table(overview(wh))
+
+
+@query
+def late_bars_into_many_files(spark, directory):
+    """Corrections of some days meet a few of the many files a market is staged in; the others stay."""
+    wh = _warehouse(spark)
+    bars = _one_market(spark, directory)
+    load_staging(wh, _bar_files(spark, bars), MARKET, "full", _TIME)
+    late = bars.where((F.year("time") == 1997) & (F.dayofmonth("time") == 1))
+    load_staging(wh, _bar_files(spark, late.withColumn("close", F.col("close") + 1)), MARKET, "incremental", _LATER)
+    return rounded(wh.table("staging").select("market", "time", "open", "close"), "open", "close")
+
+
+@query
+def log_folded_between_loads(spark, directory):
+    """Loads of a log that was folded before the resets came."""
+    events = _with_reset(spark, directory)
+    wh = _logged(spark, events.where(F.col("event") != "reset"))
+    audit.fold_log(wh)
+    audit.record(wh, events.where(F.col("event") == "reset"))
+    runs = audit.audit_runs(wh, audit.LANDING)
+    return runs.groupBy("market", "status", "is_stored").agg(
+        F.count(F.lit(1)).alias("n"), F.count("finish_time").alias("n_closed"), F.max("start_time").alias("last_start")
+    )
+
+
 @query
 def run_times_out_of_order(spark, directory):
     """A landing run whose time lies before the last staging run is taken up all the same."""

@@ -39,7 +39,7 @@ class Warehouse:
 
     @property
     def log(self) -> VersionLog:
-        return VersionLog(self.spark, self.root)
+        return versions.log_of(self.spark, self.root)
 
     def table(self, table: str, state: State | None = None, within: Iterable[tuple[str, ...]] | None = None) -> DataFrame:
         """A table as of a state, by default the newest; optionally only slices that begin like some values.
@@ -114,12 +114,11 @@ def init_tables(
     options = {"price_type": price_type.replace(" ", ""), "carry": str(carry).lower(), "missing": missing}
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {sink.quote(database)} LOCATION {sink.text_literal(root)}")
     root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
-    log = VersionLog(spark, root)
+    log = versions.log_of(spark, root)
     if drop:
         for folder in {*map(_folder, _definitions(price_type)), versions.FOLDER}:
             remove_path(spark, f"{log.root}/{folder}")
         versions.forget(log)
-        log = VersionLog(spark, root)
     kept = log.state().options
     wrong = [k for k, v in options.items() if k in kept and kept[k] != v]
     if wrong:

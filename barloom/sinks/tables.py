@@ -34,7 +34,7 @@ def text_literal(value: str) -> str:
 
 # Two appends to one folder at a time would clear each other's unfinished files.
 _appends = threading.Lock()
-_claims: dict[tuple[str, str], threading.Lock] = defaultdict(threading.Lock)
+_claims: dict[tuple[str, str], threading.RLock] = defaultdict(threading.RLock)
 
 
 @contextmanager
