@@ -264,6 +264,12 @@ ORACLE: dict[str, str] = {
                CAST(year(ts) AS VARCHAR) AS year_text, CAST((dayofweek(ts) + 6) % 7 AS INTEGER) AS weekday,
                strftime(ts, '%Y-%m-%d %H:%M:%S') AS text, ts > TIMESTAMP '1970-01-01' AS ever
         FROM events""",
+    "previous_event_value": f"""
+        SELECT event_id, {_r('value')}, round(lag(value) OVER (ORDER BY ts, event_id), 6) AS previous FROM events""",
+    "previous_bar_close": f"""
+        SELECT market, time, {_r('open')}, {_r('close')},
+               round(coalesce(lag(close) OVER (PARTITION BY market ORDER BY time), open), 6) AS prev_close
+        FROM ({EVENTS})""",
     "label_flags": """
         SELECT d.doc_id, coalesce(l.quality = 1, FALSE) AS is_good, CAST(NULL AS BOOLEAN) AS no_flag
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",

@@ -18,7 +18,9 @@ from barloom.functions.calendar import DAY, MONTH_NAMES, WEEKDAY_NAMES, weekday_
 from barloom.functions.parsing import bar_time, base_name, comma_text, flag, never, time_text, whole_second
 from barloom.operators.changes import as_double_prices, changes_of_prices, daily_changes, monthly_changes
 from barloom.operators.merge import except_keys, latest_wins, only_keys, upsert
-from barloom.operators.periods import period_open_close, with_previous_close
+from barloom.operators.periods import (
+    period_open_close, with_previous_bar_close, with_previous_close, with_previous_value,
+)
 from barloom.operators.pivots import (
     average_row, display_order, monthly_overview, overview_of_changes, pivot_months, weekday_overview,
 )
@@ -446,6 +448,21 @@ def event_times(spark, directory):
     )
 
 
+@query
+def previous_event_value(spark, directory):
+    """All events as one series, each with the value of the event before it; windows hold an hour."""
+    events = sample_table(spark, directory, "events").withColumn("series", F.lit("all"))
+    rows = with_previous_value(events, "series", ["ts", "event_id"], "value", F.date_trunc("hour", "ts"), "previous")
+    return rounded(rows.select("event_id", "value", "previous"), "value", "previous")
+
+
+@query
+def previous_bar_close(spark, directory):
+    """Event bars by type, each measured from the close before it over the turn of days."""
+    bars = with_previous_bar_close(_events(spark, directory).select("market", "time", "open", "close"))
+    return rounded(bars, "open", "close", "prev_close")
+
+
 @query
 def label_flags(spark, directory):
     """Text to boolean, with null for what is neither."""
