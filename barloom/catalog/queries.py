@@ -24,7 +24,7 @@ from barloom.operators.periods import (
 from barloom.operators.pivots import (
     average_row, display_order, monthly_overview, overview_of_changes, pivot_months, weekday_overview,
 )
-from barloom.operators.selection import any_row, newer_than, refresh_reach, slices_of, total_rows, yearly_rows
+from barloom.operators.selection import any_per_key, newer_than, refresh_reach, slices_of, total_rows, yearly_rows
 from barloom.plans import audit
 from barloom.plans.arguments import check_mode
 from barloom.plans.load import clean_to_staging, landing_rejects, load_landing, load_staging
@@ -609,12 +609,8 @@ def tables_of_markets(spark, directory):
 
 @query
 def markets_with_high_prices(spark, directory):
-    """Whether a market has any price above a mark: the test stops at the first row found."""
-    orders = _orders(spark, directory)
-    markets = [r["market"] for r in orders.select("market").distinct().collect()]
-    high = F.col("close") > 499950
-    rows = [(m, any_row(orders.where(F.col("market") == m), high)) for m in markets]
-    return spark.createDataFrame(rows, "market string, any_high boolean")
+    """Whether a market has any price above a mark."""
+    return any_per_key(_orders(spark, directory), ["market"], F.col("close") > 499950, "any_high")
 
 
 @query

@@ -49,6 +49,11 @@ def any_row(rows: DataFrame, condition: Column | None = None) -> bool:
     return not (rows if condition is None else rows.where(condition)).isEmpty()
 
 
+def any_per_key(rows: DataFrame, keys: list[str], condition: Column, name: str) -> DataFrame:
+    """Existence test for every key at once: one pass, a row per key and task reaches the shuffle."""
+    return rows.groupBy(*keys).agg(F.bool_or(F.coalesce(condition, F.lit(False))).alias(name))
+
+
 def refresh_reach(prices: DataFrame, changed: DataFrame, carry: bool) -> DataFrame:
     """Slices whose changes can differ after ``changed`` slices got new bars.
 
