@@ -207,7 +207,7 @@ def fold_log(wh: Warehouse) -> bool:
     stored = written.where(F.col("is_stored")).select("layer", "market", "run_id")
     taken_up = wh.rows("taken", old_taken).unionByName(took).join(stored, ["layer", "market", "run_id"], "left_semi")
     change.put("taken", wh.write("taken", taken_up.distinct()), old_taken)
-    change.put(PENDING, wh.write(PENDING, events.join(over, ["layer", "run_id"], "left_anti")), files)
+    change.put(PENDING, wh.write(PENDING, events.join(over, ["layer", "run_id"], "left_anti").coalesce(1)), files)
     try:
         wh.log.commit(change, state)
     except Overtaken:
