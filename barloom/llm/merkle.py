@@ -199,8 +199,9 @@ def _tops(tiers: list[DataFrame]) -> DataFrame:
 def manifest(leaves: DataFrame, order: list[str], carried: list[str]) -> Manifest:
     """The manifest of leaves (group string without nulls, digest binary, the order and carried columns).
 
-    Leaves of a group ascend by ``order`` and, where that ties, by digest; equal rows stay apart, each
-    with a leaf of its own. Groups ascend bytewise. No rows give a manifest without blocks.
+    Leaves of a group ascend by ``order``, null first, and where that ties by digest; equal rows stay apart,
+    each with a leaf of its own. Groups ascend bytewise. Texts are hashed whole where they lie, of any length, and
+    only digests are moved. No rows give a manifest without blocks. Further columns of the input are not read.
     """
     named = keep(leaves.withColumn("_no", F.monotonically_increasing_id()), "merkle-leaves")
     packed = keep(_packed(ranked(named, "group", [*order, "digest", "_no"], "merkle-sorted"), carried), "merkle-packed")
