@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from barloom.functions.parsing import never
 from barloom.operators.changes import of_market
-from barloom.operators.merge import only_keys
 from barloom.plans import audit
 from barloom.plans.arguments import FULL, check_mode, check_text
 from barloom.plans.staging import merge_into_staging
