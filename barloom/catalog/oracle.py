@@ -289,6 +289,14 @@ ORACLE: dict[str, str] = {
         FROM ({ONE_MARKET}) GROUP BY ALL""",
     "quoted_fields": """
         SELECT CAST(event_id AS VARCHAR) AS event_id, 'a;' || props AS props, CAST(NULL AS VARCHAR) AS bad_line FROM events""",
+    "fields_with_line_breaks": """
+        SELECT CAST(event_id AS VARCHAR) AS event_id, 'a;' || chr(10) || replace(props, ':', ':' || chr(10)) || chr(10) || 'z' AS props,
+               event_type, CAST(NULL AS VARCHAR) AS bad_line
+        FROM events""",
+    "contents_by_identity": f"""
+        SELECT CAST(year(time) * 100 + month(time) AS INTEGER) AS period, identity,
+               CASE identity WHEN 'lines' THEN 1 ELSE 2 END AS contents
+        FROM ({ONE_MARKET}), (SELECT unnest(['lines', 'bytes']) AS identity) GROUP BY ALL""",
     "short_and_long_rows": """
         SELECT CASE WHEN l_linenumber % 3 <> 1 THEN 'field count' WHEN l_quantity = 0 THEN 'open' END AS reject_reason,
                count(*) AS n

@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ from barloom.session import pin_session, scratch_path
 from barloom.sinks import exports, tables as sink
 from barloom.sources.adapters import events_bars, lineitem_bars, order_ticks, orders_bars, sample_table
 from barloom.sources.clean import clean_bars, parse_bars, rejected_bars, tag_load, valid_bars
-from barloom.sources.files import file_manifest, read_bars
+from barloom.sources.files import BYTES, LINES, file_manifest, read_bars, read_files
 from barloom.sources.tables import literal_rows, read_table, table_or_empty
 from barloom.streaming.ingest import ingest_stream
 
@@ -563,6 +564,39 @@ def quoted_fields(spark, directory):
     return read_bars(spark, path).select(F.col("time").alias("event_id"), F.col("open").alias("props"), "bad_line")
 
 
+@query
+def fields_with_line_breaks(spark, directory):
+    """Event properties, a line for each, as a field of a bar file that is read by records."""
+    events = sample_table(spark, directory, "events")
+    path = scratch_path(spark, "broken")
+    props = F.concat(F.lit("a;\n"), F.replace(F.col("props"), F.lit(":"), F.lit(":\n")), F.lit("\nz"))
+    rows = events.select(
+        F.col("event_id").cast("string").alias("time"), props.alias("open"), *(F.lit("1").alias(c) for c in ("high", "low", "close")),
+        F.col("event_type").alias("volume"),
+    )
+    exports.export_csv(rows, path)
+    found = read_files(file_manifest(spark, path))
+    return found.select(F.col("time").alias("event_id"), F.col("open").alias("props"), F.col("volume").alias("event_type"), "bad_line")
+
+
+@query
+def contents_by_identity(spark, directory):
+    """Bars of each month as files of either line end: one content by lines, two by bytes."""
+    bars = _one_market(spark, directory).withColumn("period", F.year("time") * 100 + F.month("time"))
+    found = []
+    for end in ("\n", "\r\n"):
+        path = scratch_path(spark, "months")
+        one_file = bars.repartition("period").sortWithinPartitions("period", "time")
+        text = one_file.select(F.concat_ws(";", time_text(F.col("time")), "open", "close").alias("value"), "period")
+        text.write.partitionBy("period").option("lineSep", end).text(path)
+        period = F.regexp_extract("uri", "period=([0-9]+)", 1).cast("int").alias("period")
+        for identity in (LINES, BYTES):
+            manifest = file_manifest(spark, f"{path}/*", identity=identity)
+            found.append(manifest.select(period, "checksum", F.lit(identity).alias("identity")))
+    every = reduce(DataFrame.unionByName, found)
+    return every.groupBy("period", "identity").agg(F.count_distinct("checksum").alias("contents"))
+
+
 @query
 def short_and_long_rows(spark, directory):
     """Line items as rows of five, six and seven fields."""

@@ -20,7 +20,7 @@ from barloom.session import scratch_folder
 from barloom.sinks.tables import claim, working_copy
 from barloom.sinks.versions import Change, Overtaken, State
 from barloom.sources.clean import parse_bars, rejected_bars, tag_load
-from barloom.sources.files import ROW_ORDER, file_key, list_files, read_bars, with_checksums
+from barloom.sources.files import ROW_ORDER, file_key, list_files, read_files, with_checksums
 
 
 @dataclass(frozen=True)
@@ -42,7 +42,7 @@ NOTHING = LoadReport(None)
 def pick_files(wh: Warehouse, layer: str, listed: DataFrame, mode: str, folder: str, market: str) -> DataFrame:
     """The files a run has to read: all (full) or those whose content its market has not seen, one per content."""
     known = audit.audit_runs(wh, layer, market).where(F.col("status") == audit.OK)
-    manifest = with_checksums(listed, known.select("uri", "file_size", "file_time", "checksum"))
+    manifest = with_checksums(listed, known.select("uri", "file_size", "file_time", "checksum"), wh.identity)
     if mode == FULL:
         picked = audit.one_per_checksum(manifest)
     else:
@@ -79,7 +79,7 @@ def load_landing(
         try:
             change, counts = Change(), None
             if paths:
-                change.put("landing", wh.write("landing", tag_load(read_bars(wh.spark, paths), market, run_id, time)))
+                change.put("landing", wh.write("landing", tag_load(read_files(files), market, run_id, time)))
                 landed = wh.rows("landing", change.add["landing"])
                 counts = landed.groupBy(F.col("source_file").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
 
@@ -231,7 +231,7 @@ def load_listed(
         try:
             batch, read, rejected, counts = None, 0, 0, None
             if paths:
-                raw = tag_load(read_bars(wh.spark, paths), market, run_id, time)
+                raw = tag_load(read_files(files), market, run_id, time)
                 batch, read, rejected = _typed_batch(wh, raw, run_id, time, ROW_ORDER, folder)
                 per_file = batch.groupBy("file_key").agg(F.count(F.lit(1)).alias("rows"))
                 names = files.select("file", file_key(F.col("file")).alias("file_key"))

@@ -15,6 +15,7 @@ from barloom.session import pin_session, remove_path
 from barloom.sinks import tables as sink
 from barloom.sinks import versions
 from barloom.sinks.versions import Change, DataFile, State, VersionLog
+from barloom.sources.files import LINES, check_identity
 
 # Number of a file within its slice, as a folder name.
 PART = "part"
@@ -26,8 +27,8 @@ class Warehouse:
     """Landing, staging and result tables below one root, with their audit log.
 
     All tables change by commits: a run's rows, what they replace and its audit events come at once.
-    ``carry`` and ``missing`` shape the stored result, so they belong to the installation and not to a
-    single run.
+    ``carry`` and ``missing`` shape the stored result, and ``identity`` says which files count as loaded before
+    (``sources.files.checksums``), so they belong to the installation and not to a single run.
     """
 
     spark: SparkSession
@@ -36,6 +37,7 @@ class Warehouse:
     price_type: str = schemas.DEFAULT_PRICE_TYPE
     carry: bool = False
     missing: str = "null"
+    identity: str = LINES
 
     @property
     def log(self) -> VersionLog:
@@ -104,6 +106,7 @@ def init_tables(
     drop: bool = False,
     carry: bool = False,
     missing: str = "null",
+    identity: str = LINES,
 ) -> Warehouse:
     """Create the database and its tables below ``root``, first dropping old ones if asked to.
 
@@ -111,7 +114,10 @@ def init_tables(
     of the database in the catalog.
     """
     pin_session(spark)
+    check_identity(identity)
     options = {"price_type": price_type.replace(" ", ""), "carry": str(carry).lower(), "missing": missing}
+    if identity != LINES:  # an installation that names none has this one
+        options["identity"] = identity
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {sink.quote(database)} LOCATION {sink.text_literal(root)}")
     root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
     log = versions.log_of(spark, root)
@@ -120,12 +126,13 @@ def init_tables(
             remove_path(spark, f"{log.root}/{folder}")
         versions.forget(log)
     kept = log.state().options
-    wrong = [k for k, v in options.items() if k in kept and kept[k] != v]
+    asked, had = ({"identity": LINES} | o for o in (options, kept))
+    wrong = [k for k, v in asked.items() if k in had and had[k] != v] if kept else []
     if wrong:
-        raise ValueError(", ".join(f"{k} is {kept[k]}, not {options[k]}" for k in wrong))
+        raise ValueError(", ".join(f"{k} is {had[k]}, not {asked[k]}" for k in wrong))
     if not kept:
         log.commit(Change(), log.state(), options=options)
-    return Warehouse(spark, database, log.root, price_type, carry, missing)
+    return Warehouse(spark, database, log.root, price_type, carry, missing, identity)
 
 
 def compact_logs(wh: Warehouse) -> None:
