@@ -50,7 +50,8 @@ def op2_licenses(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def op3_sharding(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents").select("doc_id", "text")
-    rows = sharding.sharded(docs, sharding.even_tree(16), sharding.even_tree(17))
+    tree = sharding.even_tree(16)
+    rows = sharding.sharded(docs, tree, sharding.grown(tree))
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 

@@ -109,14 +109,25 @@ def test_simhash_of_odd_rows(spark, odd):
     assert simhash.one_of_each(alone.unionByName(alone)).count() == 1
 
 
-def hashed(key, shard):
-    start = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
-    return xxhash.xxh64_intdigest(struct.pack("<q", shard), start)
+def draw(key, level, child, weight):
+    bits = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+    for part in (level, child):
+        bits = xxhash.xxh64_intdigest(struct.pack("<q", part), bits)
+    return -math.log(((bits >> 11) + 1) / 2.0**53) / weight
 
 
-def least_draw(key, weights):
-    draw = lambda s: -math.log(((hashed(key, s) >> 11) + 1) / 2.0**53) / weights[s]
-    return min(weights, key=draw)
+def mass(node):
+    return sum(map(mass, node.values())) if isinstance(node, dict) else node
+
+
+def path(key, tree):
+    """Region, rack and shard of a key, one level after the other."""
+    out, node = [], tree
+    while isinstance(node, dict):
+        child = min((c for c in node if mass(node[c])), key=lambda c: (draw(key, len(out), c, mass(node[c])), c))
+        out.append(child)
+        node = node[child]
+    return out
 
 
 def test_shards_equal_brute_force(spark, rows):
@@ -126,8 +137,8 @@ def test_shards_equal_brute_force(spark, rows):
     for r in got:
         raw = (texts[r["doc_id"]] or "").encode()
         assert (r["size"], r["text_crc32"], r["law"]) == (len(raw) + 1, zlib.crc32(raw), "key")
-        assert r["shard"] == least_draw(r["doc_id"], dict.fromkeys(range(16), 1.0))
-        assert r["grown_shard"] == least_draw(r["doc_id"], dict.fromkeys(range(17), 1.0))
+        assert r["shard"] == path(r["doc_id"], sharding.even_tree(16))[-1]
+        assert r["grown_shard"] == path(r["doc_id"], sharding.grown(sharding.even_tree(16)))[-1]
         assert r["grown_shard"] in (r["shard"], 16)
     check_slots(got)
 
@@ -138,19 +149,53 @@ def check_slots(got):
         assert own == list(range(len(own)))
 
 
-def test_shard_weights_and_movement(spark):
-    keys = spark.range(6000).withColumnRenamed("id", "doc_id")
-    tree = {0: {0: {0: 1.0, 1: 3.0}}, 1: {1: {2: 2.0}, 2: {3: 2.0}}}
-    heavier = {0: {0: {0: 1.0, 1: 3.0}}, 1: {1: {2: 4.0}, 2: {3: 2.0}}}
-    out = sharding.descended(sharding.descended(keys, tree, "doc_id", "a"), heavier, "doc_id", "b").collect()
-    share = Counter(r["a"] for r in out)
-    for shard, weight in {0: 1, 1: 3, 2: 2, 3: 2}.items():
-        assert abs(share[shard] - 6000 * weight / 8) < 250
-    assert {r["b"] for r in out if r["a"] != r["b"]} == {2}
+def moved(spark, tree, later, n=6000):
+    """(path before, path after) of the keys that move, and the count of keys in each shard before and after."""
+    keys = spark.range(n).withColumnRenamed("id", "doc_id").withColumn("_node", chat.F.lit("kept"))
+    out = sharding.descended(sharding.descended(keys, tree, "doc_id", "a"), later, "doc_id", "b").collect()
+    paths = [(path(r["doc_id"], tree), path(r["doc_id"], later)) for r in out]
+    assert [(a[-1], b[-1]) for a, b in paths] == [(r["a"], r["b"]) for r in out]
+    assert {r["_node"] for r in out} == {"kept"}
+    return [(a, b) for a, b in paths if a != b], Counter(r["a"] for r in out), Counter(r["b"] for r in out)
+
+
+TREE = {0: {0: {0: 1.0, 1: 3.0}}, 1: {1: {2: 2.0, 4: 1.0}, 2: {3: 2.0}}}
+
+
+def test_shards_hold_rows_by_weight(spark):
+    moves, before, after = moved(spark, TREE, TREE)
+    assert not moves
+    for shard, weight in {0: 1, 1: 3, 2: 2, 3: 2, 4: 1}.items():
+        assert abs(before[shard] - 6000 * weight / 9) < 250
+
+
+def test_a_shard_that_gains_weight_moves_rows_on_its_own_path_only(spark):
+    heavier = {0: TREE[0], 1: {1: {2: 4.0, 4: 1.0}, 2: {3: 2.0}}}
+    moves, before, after = moved(spark, TREE, heavier)
+    # Level by level: into region 1, or within it into rack 1, or within that into shard 2.
+    assert {(a[0], b[0]) for a, b in moves} == {(0, 1), (1, 1)}
+    assert {(a[1], b[1]) for a, b in moves if a[0] == b[0]} == {(2, 1), (1, 1)}
+    assert {(a[2], b[2]) for a, b in moves if a[:2] == b[:2]} == {(4, 2)}
+    assert all(abs(after[s] - 6000 * w / 11) < 250 for s, w in {0: 1, 1: 3, 2: 4, 3: 2, 4: 1}.items())
+
+
+def test_a_shard_that_loses_weight_gives_rows_away(spark):
+    lighter = {0: TREE[0], 1: {1: {2: 0.0, 4: 1.0}, 2: {3: 2.0}}}
+    moves, _, after = moved(spark, TREE, lighter)
+    assert {a[0] for a, _ in moves} == {1} and 2 not in after
+    assert {b[0] for a, b in moves if a[1] == 2} <= {0}
+
+
+@pytest.mark.parametrize("shards", [1, 5, 16])
+def test_a_shard_more_takes_rows_only_into_itself(spark, shards):
+    tree = sharding.even_tree(shards)
+    moves, _, after = moved(spark, tree, sharding.grown(tree))
+    assert {b[-1] for _, b in moves} == {shards}
+    assert len(moves) == after[shards] and abs(after[shards] - 6000 / (shards + 1)) < 250
 
 
 def test_shards_of_odd_rows(spark, odd):
-    out = sharding.sharded(odd, sharding.even_tree(16), sharding.even_tree(17)).collect()
+    out = sharding.sharded(odd, sharding.even_tree(16), sharding.grown(sharding.even_tree(16))).collect()
     assert len(out) == len(ODD)
     check_slots(out)
     assert {(r["size"], r["text_crc32"]) for r in out if r["doc_id"] in (1, 2)} == {(1, 0)}
