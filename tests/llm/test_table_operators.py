@@ -461,3 +461,85 @@ def test_pipeline_stages_on_odd_rows(spark, odd):
             out = stage(spark, out, SMALL)
             assert out.columns == docs.columns
         assert corpus_pipeline.STAGES[-1][1](spark, out, SMALL).count() == out.count()
+
+
+def site_truth(pages):
+    """Texts of unmarked pages, from whole lists: runs of near copies in order of path, nearest page beyond them."""
+    def alike(a, b):
+        shared = sum(len(v) for v in a if v in b)
+        return all(shared >= html_text.NEAR * sum(map(len, x)) for x in (a, b))
+
+    def agree(a, b):
+        return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+    found = {}
+    for host in {h for h, _, _ in pages}:
+        first = {}
+        for _, url_path, lines in sorted(p for p in pages if p[0] == host):
+            first.setdefault(tuple(lines), url_path)
+        line_up = sorted((url_path, lines) for lines, url_path in first.items())
+        run = [0]
+        for (_, a), (_, b) in zip(line_up, line_up[1:], strict=False):
+            run.append(run[-1] + (not alike(a, b)))
+        for i, (url_path, lines) in enumerate(line_up):
+            before = [j for j in range(i) if run[j] != run[i]][-1:]
+            after = [j for j in range(i, len(run)) if run[j] != run[i]][:1]
+            near = sorted(before + after, key=lambda j: (-agree(url_path, line_up[j][0]), j))
+            other = line_up[near[0]][1] if near else ()
+            found[host, lines] = "\n".join(v for v in lines if v not in other)
+    return found
+
+
+def test_near_copies_are_no_measure_of_what_a_site_repeats(spark):
+    story = [f"a sentence of the story number {i}, longer than a menu" for i in range(8)]
+    data = [("h", f"/a?page={i}", ["Home", "About", *story, f"date {i}"]) for i in (1, 2)]
+    data += [("h", "/b", ["Home", "About", "quite another story here", "date 3"]), ("alone", "/a", [*story, "x"]), ("alone", "/b", [*story, "y"])]
+    df = spark.createDataFrame(
+        [(i, f"http://{h}{p}", "".join(f"<p>{v}</p>" for v in lines)) for i, (h, p, lines) in enumerate(data)],
+        "page_id long, url string, html string",
+    )
+    got = {r["page_id"]: r["text"].split("\n") for r in html_text.extracted(df).collect()}
+    assert got[0] == [*story, "date 1"] and got[1] == [*story, "date 2"]
+    assert got[2] == ["quite another story here", "date 3"]
+    assert got[3] == [*story, "x"] and got[4] == [*story, "y"]
+
+
+def test_unmarked_sites_equal_brute_force(spark):
+    draw = random.Random(6)
+    data = []
+    for host in ("big", "small", "one"):
+        menu = [f"{host} menu {i}" for i in range(6)]
+        for n in range({"big": 150, "small": 12, "one": 1}[host]):
+            story = [f"{host} story {n} says this in line {i}" for i in range(draw.randint(1, 9))]
+            # A run of copies that differ in one short line; some runs are longer than a task's part.
+            for copy in range(40 if n == 70 else draw.choice([1, 1, 1, 2, 3])):
+                # Equal lines stand in one order on all pages, so there is one longest common subsequence.
+                top, bottom = ([m for m in part if draw.random() < 0.8] for part in (menu[:3], menu[3:]))
+                data.append((host, f"/{n // 10}/{n:03d}/{copy:02d}", [*top, *story, f"c{n}.{copy}", *bottom]))
+    data += [draw.choice(data) for _ in range(20)]
+    df = spark.createDataFrame(
+        [(i, f"http://{h}{p}", "".join(f"<div>{v}</div>" for v in lines)) for i, (h, p, lines) in enumerate(data)],
+        "page_id long, url string, html string",
+    )
+    truth = site_truth(data)
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")  # several parts, so runs reach over their edges
+    try:
+        got = {r["page_id"]: r["text"] for r in html_text.extracted(df.repartition(7)).collect()}
+    finally:
+        spark.conf.set(setting, before)
+    assert got == {i: truth[h, tuple(lines)] for i, (h, _, lines) in enumerate(data)}
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ('<article><p class="share-price">a</p><p id="notice-of-motion">b</p><p>c <em class="notice">d</em></article>', "a\nb\nc d"),
+    ('<article>a<div class="ad">x</div><div class="share-buttons">y</div><ul class="comment-list"><li>z</ul><p class="ad">w</p>b</article>', "a\nb"),
+    ('<div class="widget"><p>only text</p></div>', "only text"),
+    ('<div id="comments-off"><article><p>a</article></div>', "a"),
+    ('<div class="widget-page"><nav>m</nav><article>a</article></div>', "a"),
+    ('<div class="comments"><article>reader</article></div><article>writer</article>', "writer"),
+])
+def test_names_of_elements(page, text):
+    lines, inside = html_text.lines_of(page)
+    assert "\n".join(v for v, within in zip(lines, inside, strict=True) if within or not any(inside)) == text
