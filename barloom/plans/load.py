@@ -79,7 +79,7 @@ def load_landing(
         try:
             change, counts = Change(), None
             if paths:
-                change.put("landing", wh.write("landing", tag_load(read_files(files), market, run_id, time)))
+                change.put("landing", wh.write("landing", tag_load(read_files(files, wh.spark), market, run_id, time)))
                 landed = wh.rows("landing", change.add["landing"])
                 counts = landed.groupBy(F.col("source_file").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
 
@@ -231,7 +231,7 @@ def load_listed(
         try:
             batch, read, rejected, counts = None, 0, 0, None
             if paths:
-                raw = tag_load(read_files(files), market, run_id, time)
+                raw = tag_load(read_files(files, wh.spark), market, run_id, time)
                 batch, read, rejected = _typed_batch(wh, raw, run_id, time, ROW_ORDER, folder)
                 per_file = batch.groupBy("file_key").agg(F.count(F.lit(1)).alias("rows"))
                 names = files.select("file", file_key(F.col("file")).alias("file_key"))

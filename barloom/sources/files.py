@@ -141,9 +141,12 @@ def files_with_breaks(spark: SparkSession, paths: list[str]) -> list[str]:
     return [r.path for r in files.select("uri", "path").collect() if r.uri in found] if found else []
 
 
-def read_files(files: DataFrame) -> DataFrame:
-    """``read_bars`` of the files of a manifest, by lines or by records as their ``breaks`` ask for."""
-    spark = files.sparkSession
+def read_files(files: DataFrame, spark: SparkSession | None = None) -> DataFrame:
+    """``read_bars`` of the files of a manifest, by lines or by records as their ``breaks`` ask for.
+
+    ``spark`` reads them if not the session of ``files`` should, as for a micro-batch.
+    """
+    spark = spark or files.sparkSession
     listed = files.select("path", "breaks").collect()
     broken = [r.path for r in listed if r.breaks] + files_with_breaks(spark, [r.path for r in listed if r.breaks is None])
     return read_bars(spark, [r.path for r in listed], broken=broken)
