@@ -1,19 +1,19 @@
 """Main text of web pages, by markup and by differencing each page with the nearest one of its site.
 
 A page is cut into blocks, one line each. Lines within elements that are marked as something else
-(menus, page headers, footers, sidebars, adverts, forms, notices, reader comments) go. If the page
-marks its article, the lines within it are the text. On other pages, what the site repeats is found
-by differencing: pages are put in order of URL path within their host, each is paired with the
-neighbour whose path agrees with its own for longest, their lines are aligned by longest common
-subsequence, and the shared lines are deleted.
+(menus, page headers, footers, sidebars, adverts, forms, notices, reader comments) go. What the site
+repeats is found by differencing, for every page: pages are put in order of URL path within their host,
+each is paired with the neighbour whose path agrees with its own for longest, their lines are aligned
+by longest common subsequence, and the shared lines are deleted.
 
 Pages that share nearly all they say are copies and tell nothing of what the site repeats. Pages of
 equal lines are one page, under their least path; neighbours whose shared lines hold ``NEAR`` of the
 characters of both are of one run, and a page's neighbours are the pages before and after its run.
 
-Differencing alone would not do where articles are marked: copies of an article stand side by side
-on a host and would lose what they share, and menus drawn anew for each page would stay. Pages of hosts
-where every page marks its article are not paired.
+If a page marks its article, a check against the markup follows: lines outside of the article go, shared or
+not (menus drawn anew for each page would stay), and running lines of the article come back, shared or not
+(articles that quote one another would lose what they share). Lines of an article in blocks whose names
+hold a mark among other words ("related-stories") are in doubt, and of these differencing has the last word.
 
 Lines travel as 64-bit hashes. The order is made of range partitions with a page's digest as last key,
 so a host with most of the pages is spread over many tasks; only the first and last page of each
@@ -81,19 +81,19 @@ def marked(tag: str, attrs: str, inside: bool = False) -> str:
 
     A name is a whole mark if it has no words but marks and words for parts ("ad", "comment-list"), and a
     partial one if it holds a mark among others ("notice-of-motion"). An outermost article needs a name that is
-    a mark itself; within an article only whole marks of blocks that group others count, so no running text is lost
-    to a word of its class.
+    a mark itself; within an article only blocks are marked, and those of running text wholly by the mark itself only.
     """
-    if tag in PAGES or inside and (tag not in BLOCKS or tag in RUNNING and not _says(attrs, MARKS)):
+    if tag in PAGES or inside and tag not in BLOCKS:
         return ""
     found = ""
+    running = inside and tag in RUNNING and not _says(attrs, MARKS)
     for name in _names(attrs):
         words = {name} if tag == "article" and not inside else set(_WORD.findall(name))
         if MARKS.isdisjoint(words) or not STATES.isdisjoint(words):
             continue
-        if words <= MARKS | PARTS:
+        if words <= MARKS | PARTS and not running:
             return "whole"
-        found = "" if inside else "partly"
+        found = "partly"
     return found
 
 
@@ -105,29 +105,35 @@ def _says(attrs: str, names: set[str]) -> bool:
     return not names.isdisjoint(_names(attrs))
 
 
-def lines_of(page: str) -> tuple[list[str], list[bool]]:
-    """The unmarked lines of a page, and whether each is within its article.
+# Where a line stands: outside of any article, in a block of an article that is in doubt, or in the article.
+OUTSIDE, DOUBTED, WITHIN = 0, 1, 2
+
+
+def lines_of(page: str) -> tuple[list[str], list[int]]:
+    """The unmarked lines of a page, and where each stands.
 
     Where the names of elements leave no line at all, they are not believed: only the elements themselves count.
     """
-    lines, inside = _lines(page, names=True)
-    return (lines, inside) if lines else _lines(page, names=False)
+    lines, stands = _lines(page, names=True)
+    return (lines, stands) if lines else _lines(page, names=False)
 
 
-def _lines(page: str, names: bool) -> tuple[list[str], list[bool]]:
+def _lines(page: str, names: bool) -> tuple[list[str], list[int]]:
     lines: list[str] = []
-    inside: list[bool] = []
+    stands: list[int] = []
     text: list[str] = []
     article = 0
     # The element whose content goes, how many of its name are open within it, and whether an article ends it.
     aside, depth, doubtful = "", 0, False
+    # The block of the article whose lines are in doubt, and how many of its name are open within it.
+    doubted, open_doubted = "", 0
 
     def end_line() -> None:
         line = " ".join(html.unescape("".join(text)).split())
         text.clear()
         if line:
             lines.append(line)
-            inside.append(article > 0)
+            stands.append((DOUBTED if doubted else WITHIN) if article else OUTSIDE)
 
     at = 0
     for m in _SCAN.finditer(page):
@@ -153,11 +159,19 @@ def _lines(page: str, names: bool) -> tuple[list[str], list[bool]]:
             continue
         if tag in BLOCKS:
             end_line()
+            if doubted in RUNNING or doubted and closing and tag in ARTICLES:
+                doubted = ""  # running text ends at the edge of the next block
+            elif tag == doubted:
+                open_doubted += -1 if closing else 1
+                doubted = doubted if open_doubted else ""
         if closing:
             article = max(0, article - 1) if tag in ARTICLES else article
             continue
         mark = names and tag not in VOID and m["attrs"] and marked(tag, m["attrs"], article > 0)
-        if mark or tag in ASIDES and not (tag == "header" and article):
+        if mark == "partly" and article and tag not in ASIDES:
+            if not doubted:
+                doubted, open_doubted = tag, 1
+        elif mark or tag in ASIDES and not (tag == "header" and article):
             if tag not in BLOCKS:
                 text.append(" ")
             aside, depth, doubtful = tag, 1, mark == "partly" or tag in ("nav", "header", "menu")
@@ -166,7 +180,7 @@ def _lines(page: str, names: bool) -> tuple[list[str], list[bool]]:
     if not aside:
         text.append(page[at:])
     end_line()
-    return lines, inside
+    return lines, stands
 
 
 def shared(own: list[int], other: list[int]) -> list[int]:
@@ -220,8 +234,8 @@ def _common(a: list[int], b: list[int]) -> list[int]:
 
 
 PARSED = T.StructType([
-    T.StructField("article", T.StringType()),
     T.StructField("lines", T.ArrayType(T.StringType())),
+    T.StructField("fixed", T.ArrayType(T.BooleanType())),
     T.StructField("hashes", T.ArrayType(T.LongType())),
     T.StructField("sizes", T.ArrayType(T.IntegerType())),
 ])
@@ -229,20 +243,31 @@ PARSED = T.StructType([
 
 @F.pandas_udf(PARSED)
 def parsed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """The text of the marked article, or the lines to be differenced; hashes and lengths of all unmarked lines."""
+    """The unmarked lines, which of them the markup says to be of the article; hashes and lengths of all.
+
+    On a page with a marked article the lines outside of it are null. Without one no line is fixed.
+    """
     for pages in batches:
         rows = []
         for page in pages:
-            lines, inside = lines_of(page or "")
-            article = "\n".join(line for line, within in zip(lines, inside, strict=True) if within)
+            lines, stands = lines_of(page or "")
             hashes = np.array([xxhash.xxh64_intdigest(line.encode()) for line in lines], dtype=np.uint64).view(np.int64)
-            rows.append((article or None, [] if article else lines, hashes, [len(line) for line in lines]))
-        yield pd.DataFrame(rows, columns=["article", "lines", "hashes", "sizes"])
+            sizes = [len(line) for line in lines]
+            if any(stands):
+                lines = [line if where else None for line, where in zip(lines, stands, strict=True)]
+            rows.append((lines, [where == WITHIN for where in stands], hashes, sizes))
+        yield pd.DataFrame(rows, columns=["lines", "fixed", "hashes", "sizes"])
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def shared_places(own: pd.Series, other: pd.Series) -> pd.Series:
-    return pd.Series([shared(a.tolist(), b.tolist()) for a, b in zip(own, other, strict=True)], dtype=object)
+@F.pandas_udf(T.ArrayType(T.BooleanType()))
+def shared_lines(own: pd.Series, other: pd.Series) -> pd.Series:
+    """Which lines of a page are in the longest common subsequence with its neighbour's."""
+    found = []
+    for a, b in zip(own, other, strict=True):
+        marks = np.zeros(len(a), dtype=bool)
+        marks[shared(a.tolist(), b.tolist())] = True
+        found.append(marks)
+    return pd.Series(found, dtype=object)
 
 
 @F.pandas_udf(T.BooleanType())
@@ -341,16 +366,13 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", markup:
         parsed(markup).alias("page"),
     )
     rows = rows.select("key", "url", "host", "path", "page.*").withColumn("digest", F.xxhash64("hashes"))
-    rows = keep(rows, "lines")
-    done = rows.where("article is not null").select("key", "url", F.col("article").alias("text"))
-    unmarked = rows.where("article is null").select("host", "digest", "key", "url", "lines")
-    # All pages of their hosts are neighbours; only those without a marked article are differenced.
-    hosts = rows.join(unmarked.select("host").distinct(), "host", "left_semi")
-    pairs = nearest(hosts.select("host", "path", "digest", "hashes", "sizes"))
-    pairs = pairs.join(unmarked.select("host", "digest"), ["host", "digest"], "left_semi")
-    places = pairs.select("host", "digest", shared_places("hashes", "other").alias("places"))
-    diffed = unmarked.join(places, ["host", "digest"], "left")
-    own = F.filter("lines", lambda line, i: ~F.coalesce(F.array_contains("places", i), F.lit(False)))
-    diffed = diffed.select("key", "url", F.array_join(own, "\n").alias("text"))
-    out = done.unionByName(diffed)
+    # Read twice, as texts are larger than what it takes to pair the pages.
+    pairs = nearest(rows.select("host", "path", "digest", "hashes", "sizes"))
+    marks = pairs.select("host", "digest", shared_lines("hashes", "other").alias("shared"))
+    diffed = rows.select("key", "url", "host", "digest", "lines", "fixed").join(marks, ["host", "digest"], "left")
+
+    def stays(line: Column, i: Column) -> Column:
+        return line.isNotNull() & (F.get("fixed", i) | ~F.coalesce(F.get("shared", i), F.lit(False)))
+
+    out = diffed.select("key", "url", F.array_join(F.filter("lines", stays), "\n").alias("text"))
     return out.select(F.col("key").alias(key), F.col("url").alias(url), "text", F.length("text").cast("long").alias("n_chars"))

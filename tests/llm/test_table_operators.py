@@ -504,6 +504,21 @@ def test_near_copies_are_no_measure_of_what_a_site_repeats(spark):
     assert got[3] == [*story, "x"] and got[4] == [*story, "y"]
 
 
+def test_pages_with_marked_article_are_differenced(spark):
+    """Blocks that names put in doubt go if the site repeats them; the article's own running text stays."""
+    def page(n):
+        return (f'<div>Site {n}</div><article><p>story {n}</p><p>A quotation both stories have.</p><p>end {n}</p>'
+                f'<div class="related-stories"><p>More to read</p><div>of story {n}</div><p>Our best</p></div>'
+                f'<p class="share-price">Price today</p><p>told on day {n}</p></article><div>All rights</div>')
+
+    data = [(i, f"http://h/{i}", page(i)) for i in range(3)] + [(3, "http://alone/x", page(0))]
+    got = {r["page_id"]: r["text"].split("\n") for r in html_text.extracted(
+        spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    for i in range(3):
+        assert got[i] == [f"story {i}", "A quotation both stories have.", f"end {i}", f"of story {i}", f"told on day {i}"]
+    assert got[3] == ["story 0", "A quotation both stories have.", "end 0", "More to read", "of story 0", "Our best", "Price today", "told on day 0"]
+
+
 def test_unmarked_sites_equal_brute_force(spark):
     draw = random.Random(6)
     data = []
