@@ -24,7 +24,7 @@ from barloom.sinks.versions import Change, Overtaken, State
 
 LANDING, STAGING, OVERVIEW = "landing", "staging", "overview"
 OK, FAILED = "ok", "failed"
-# Files of events after which they are folded.
+# Writes of events after which they are folded.
 FOLD_AT = 32
 
 
@@ -110,7 +110,8 @@ def audit_finish(
         named = took.select("market", F.col("load_id").alias("source_id"))
         events = events.unionByName(_events(named, layer=layer, event="took", run_id=run_id, event_time=time))
     record(wh, events, change, seen, run_id)
-    if len(wh.log.state().files(PENDING)) >= FOLD_AT:
+    # A write is a folder; what a fold leaves pending is one, however many files it takes.
+    if len({f.path.rsplit("/", 1)[0] for f in wh.log.state().files(PENDING)}) >= FOLD_AT:
         fold_log(wh)
 
 
@@ -207,7 +208,9 @@ def fold_log(wh: Warehouse) -> bool:
     stored = written.where(F.col("is_stored")).select("layer", "market", "run_id")
     taken_up = wh.rows("taken", old_taken).unionByName(took).join(stored, ["layer", "market", "run_id"], "left_semi")
     change.put("taken", wh.write("taken", taken_up.distinct()), old_taken)
-    change.put(PENDING, wh.write(PENDING, events.join(over, ["layer", "run_id"], "left_anti").coalesce(1)), files)
+    # As few files as their size asks for; a single task would join and write all open runs.
+    still_open = events.join(over, ["layer", "run_id"], "left_anti").hint("rebalance")
+    change.put(PENDING, wh.write(PENDING, still_open), files)
     try:
         wh.log.commit(change, state)
     except Overtaken:

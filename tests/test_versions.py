@@ -296,6 +296,28 @@ def test_folding_the_log_changes_no_answer(spark, warehouse, monkeypatch):
     assert audit.fold_log(wh) is True and answers() == after
 
 
+def test_open_runs_are_folded_by_many_tasks(spark, warehouse):
+    """What stays pending is written by as many tasks as its size asks for, and counts as one write."""
+    wh = warehouse()
+    files = spark.range(20_000).select(
+        *(F.concat(F.lit(p), F.sha2(F.col("id").cast("string"), 256)).alias(n) for n, p in (("uri", "file:/in/"), ("file", ""), ("checksum", ""))),
+        F.lit(1).cast("bigint").alias("file_size"), F.lit("2020-01-01").cast("timestamp").alias("file_time"),
+    )
+    audit.audit_start(wh, audit.STAGING, "open", ts("2030-01-01"), "t", files, "A")
+    audit.audit_start(wh, audit.STAGING, "done", ts("2030-01-01"), "t", files.limit(1), "B")
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "100k")
+    try:
+        audit.audit_finish(wh, audit.STAGING, "done", ts("2030-01-02"))
+        assert audit.fold_log(wh) is True
+    finally:
+        spark.conf.set(size, before)
+    pending = wh.log.state().files("pending")
+    assert len(pending) > 1 and len({f.path.rsplit("/", 1)[0] for f in pending}) == 1
+    assert wh.table("pending").count() == 20_000
+
+
 def test_work_on_the_log_does_not_grow_with_it(spark, warehouse):
     """After folding, one market's loads are read from its own files."""
     wh = warehouse()
