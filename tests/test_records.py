@@ -61,6 +61,21 @@ def test_records_do_not_depend_on_splits(spark, tmp_path, small_splits):
     assert found.select("block_start").distinct().count() > 8
 
 
+def test_records_within_a_split_are_not_shuffled(spark, tmp_path, small_splits):
+    """Only lines of records that reach over the edge of a split are rows of their own, to be brought together."""
+    (tmp_path / "a.csv").write_text(HEADER + "\n" + "".join(f'{i};"a;\nb\n{i}";1;1;1;0\n' for i in range(100)))
+
+    def parts():
+        lines = records._lines(spark, [str(tmp_path)], ";")
+        rows = records._records(lines.join(records._splits(lines), records.SPLIT))
+        return rows.where("part").count(), rows.select("block").distinct().count()
+
+    found, splits = parts()
+    assert splits > 3 and found <= 3 * splits
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1g")
+    assert parts() == (0, 1)
+
+
 def test_a_record_longer_than_many_splits(spark, tmp_path, small_splits):
     long = "\n".join(f"line {i}" for i in range(500))
     (tmp_path / "a.csv").write_text(f'{HEADER}\nt1;1;1;1;1;1\nt2;"{long}";1;1;1;1\nt3;1;1;1;1;1\n')
