@@ -963,8 +963,10 @@ def lineitem_files_to_staging(spark, directory):
         F.col("l_returnflag").alias("market"), "l_orderkey", "l_linenumber",
     )
     for market in [r["market"] for r in bars.select("market").distinct().collect()]:
-        own = bars.where(F.col("market") == market).coalesce(1)
-        load_staging(wh, _bar_files(spark, own.sortWithinPartitions("l_orderkey", "l_linenumber")), market, "full")
+        path = scratch_path(spark, "bars")
+        own = bars.where(F.col("market") == market)
+        exports.export_in_order(own, path, ["l_orderkey", "l_linenumber"], lambda rows: exports.as_bar_text(rows, ORDER_PRICE))
+        load_staging(wh, path, market, "full")
     return rounded(wh.table("staging").select("market", "time", "open", "close"), "open", "close")
 
 

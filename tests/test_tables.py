@@ -168,3 +168,23 @@ def test_working_copy_keeps_schema_and_rows(spark):
     assert copy.collect() == df.collect()
     empty = sink.working_copy(df.limit(0), scratch_path(spark, "copy"))
     assert empty.isEmpty() and empty.columns == df.columns
+
+
+def test_a_file_in_order_is_strung_from_sorted_parts(spark, tmp_path):
+    """One file under a header, though its rows were sorted by many tasks, none of which had all of them."""
+    rows = spark.range(3000).select(((F.col("id") * 7919) % 3000).alias("id")).repartition(6)
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    before, tasks = spark.conf.get(merging), []
+
+    def as_text(df):
+        tasks.append(df.rdd.getNumPartitions())
+        return df.select("id", F.lit("a;\u00e4").alias("text"))
+
+    spark.conf.set(merging, "false")
+    try:
+        exports.export_in_order(rows, str(tmp_path / "out"), ["id"], as_text)
+    finally:
+        spark.conf.set(merging, before)
+    files = list((tmp_path / "out").glob("part-*"))
+    assert len(files) == 1 and tasks[0] > 1
+    assert files[0].read_text(encoding="utf-8").split("\n") == ["id;text", *(f'{i};"a;\u00e4"' for i in range(3000)), ""]
