@@ -72,7 +72,8 @@ def test_records_within_a_split_are_not_shuffled(spark, tmp_path, small_splits):
 
     found, splits = parts()
     assert splits > 3 and found <= 3 * splits
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1g")
+    for key in ("maxPartitionBytes", "openCostInBytes"):
+        spark.conf.set(f"spark.sql.files.{key}", "1g")
     assert parts() == (0, 1)
 
 
